@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,13 +13,10 @@ _DAY = r"(3[01]|[12]\d|0[1-9]| ?[1-9])"
 _MONTH = r"(1[0-2]|0[1-9]|[1-9])"
 _YEAR = r"((?!0000)\d{4})"
 
-# The three accepted shapes, in the order they are tried, each with the
-# group numbers of year, month and day.
-_SHAPES = (
-    (rf"^{_DAY}/{_MONTH}/{_YEAR}\z", (3, 2, 1)),
-    (rf"^{_YEAR}-{_MONTH}-{_DAY}\z", (1, 2, 3)),
-    (rf"^{_DAY}-{_MONTH}-{_YEAR}\z", (3, 2, 1)),
-)
+# The accepted shapes. The day-first two are turned round, in this order.
+_SLASHED = rf"^{_DAY}/{_MONTH}/{_YEAR}\z"
+_DASHED = rf"^{_DAY}-{_MONTH}-{_YEAR}\z"
+_ISO = rf"^{_YEAR}-{_MONTH}-{_DAY}\z"
 
 
 def check_size(size: str) -> str:
@@ -36,13 +31,10 @@ def parse_date(raw: Column) -> Column:
     Written with ``try_cast`` because ANSI mode turns a bad ``to_date`` into a failed job.
     """
     text = strip(raw)
-
-    def read(pattern: str, groups: tuple[int, int, int]) -> Column:
-        year, month, day = (F.trim(F.regexp_extract(text, pattern, g)) for g in groups)
-        iso = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-        return F.when(year != "", iso.try_cast("date"))
-
-    return F.coalesce(*(read(*shape) for shape in _SHAPES))
+    for shape in (_SLASHED, _DASHED):
+        text = F.regexp_replace(text, shape, "$3-$2-$1")
+    iso = F.regexp_extract(text, _ISO, 0)
+    return F.replace(iso, F.lit(" "), F.lit("")).try_cast("date")
 
 
 def format_site_date(d: Column) -> Column:
@@ -126,7 +118,3 @@ def windows(start: Column, end: Column, size: str) -> Column:
         )
 
     return F.transform(firsts, window)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

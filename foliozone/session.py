@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
