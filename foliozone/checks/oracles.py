@@ -120,7 +120,7 @@ p AS (SELECT o_orderkey, CASE k
 SELECT o_orderkey, raw, parsed, strftime(parsed, '%d/%m/%Y') AS site_date, parsed AS round_trip FROM p"""
 
 ORACLES["text_normalise"] = rf"""
-WITH r AS (SELECT doc_id, concat(chr(12288), ' ', chr(28),
+WITH r AS (SELECT doc_id, concat(chr(8195), ' ', chr(28),
     replace(replace(text, '. ', concat('. ', chr(9), chr(12))), ', ', concat(',', repeat(chr(10), 4), chr(160))),
     chr(160), chr(10)) AS t FROM documents)
 SELECT doc_id,

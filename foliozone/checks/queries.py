@@ -192,7 +192,7 @@ def date_parse(spark, sf_dir):
 def text_normalise(spark, sf_dir):
     """Whole document texts with ragged white space put in, tidied in four ways."""
     ragged = F.concat(
-        F.lit("  \x1c"),
+        F.lit("\u2003 \x1c"),
         F.replace(F.replace(F.col("text"), F.lit(". "), F.lit(". \t\f")), F.lit(", "), F.lit(",\n\n\n\n\xa0")),
         F.lit("\xa0\n"),
     )
