@@ -470,9 +470,8 @@ def repeat_references(spark, sf_dir):
     """Orders whose reference is already taken in their month and body."""
     start, _ = inputs.orders_range(spark, sf_dir)
     records = inputs.with_cell(inputs.order_records(spark, sf_dir), inputs.ORDERS_SITE, start)
-    items = records.withColumns(
-        {"has_payload": F.lit(True), "error_code": F.lit(None).cast("string"), "error_reason": F.lit(None).cast("string")}
-    )
+    none = F.lit(None).cast("string")
+    items = records.withColumns({"has_payload": F.lit(True), "error_code": none, "error_reason": none})
     settled = repeats.with_failures(repeats.mark_repeats(items))
     return settled.filter("error_code IS NOT NULL").select(
         "cell_seq", "item_seq", "body_code", "identifier", "error_code", "error_reason"
@@ -592,6 +591,7 @@ def _object_ids(spark, sf_dir) -> DataFrame:
         "body_code",
         "identifier",
         F.lit("text/html").alias("content_type"),
+        F.lit("html").alias("kind"),
         F.lit("2024-01").alias("period"),
     )
 
@@ -668,7 +668,8 @@ def curated_records(spark, sf_dir):
     )
     objects = named.select(
         F.col("file_path").alias("object_key"), "payload", "content_type", "identifier", "decision_date", "source_name",
-        F.lit(1).cast("bigint").alias("run_seq"), "cell_seq", "body_code", F.col("partition_date").alias("period"),
+        F.lit(1).cast("bigint").alias("run_seq"), "cell_seq", "body_code", zones.kind_of(F.col("content_type")).alias("kind"),
+        F.col("partition_date").alias("period"),
     )
     stored = landing.limit(0)
     result, _ = transform.plan_transform(
@@ -848,7 +849,7 @@ def _pages_run(spark, sf_dir, repeat: bool):
 def transform_run(spark, sf_dir):
     """The curated zone after both stages over all pages, shared file names included."""
     space, _ = _pages_run(spark, sf_dir, repeat=False)
-    return space.curated.current().select(
+    return space.curated.snapshot().current().select(
         "storage_id", "partition_date", "file_path", "file_hash", "content_fingerprint", "content_type"
     )
 
@@ -857,7 +858,7 @@ def transform_run(spark, sf_dir):
 def curated_objects(spark, sf_dir):
     """Stored objects of the curated zone: every metadata row's bytes are there and hash to it."""
     space, _ = _pages_run(spark, sf_dir, repeat=False)
-    return space.curated.objects().select(
+    return space.curated.snapshot().objects().select(
         "object_key", hashing.content_hash(F.col("payload")).alias("payload_hash")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliozone.functions import hashing, keys
+from foliozone.session import stage
 
 KEY = ["body_code", "identifier"]
 WRITTEN, UNCHANGED, FAILED = "written", "unchanged", "failed"
@@ -20,18 +21,23 @@ def stored_state(metadata: DataFrame) -> DataFrame:
     )
 
 
-def detect_changes(items: DataFrame, stored: DataFrame) -> DataFrame:
+def detect_changes(items: DataFrame, stored: DataFrame, spread_by: tuple[str, ...] = ("cell_seq",)) -> DataFrame:
     """Add ``action``, and ``keep_metadata`` on the row whose write is the last of its key.
 
     ``items`` carry ``cell_seq, body_code, identifier, content_fingerprint, file_path, error_code``.
     Cells run in order, so a row is compared with what the previous cell of the same key left
     behind, and only the first with the stored state. An unchanged row leaves exactly its own
-    fingerprint and path, so looking back one row is enough. A key has at most one row per cell
-    here, which bounds every window group by the number of cells; rows that already failed
-    bypass the shuffle.
+    fingerprint and path, so looking back one row is enough.
+
+    Live rows of a key number at most one per cell, which bounds their window group. Rows that
+    already failed take no part; a lane number spreads them over all tasks, so a reference
+    repeated any number of times does not pile up, and the input is still read once.
     """
-    live = items.filter("error_code IS NULL").join(stored, KEY, "left")
-    by_key = Window.partitionBy(*KEY)
+    alive = F.col("error_code").isNull()
+    lane = F.when(alive, F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)).cast("int") + 1)
+    key = [*KEY, "lane"]
+    compared = items.withColumn("lane", lane).join(stored.withColumn("lane", F.lit(0)), key, "left")
+    by_key = Window.partitionBy(*key)
     in_order = by_key.orderBy("cell_seq")
     before_print = F.lag("content_fingerprint").over(in_order)
     before_path = F.lag("file_path").over(in_order)
@@ -40,31 +46,31 @@ def detect_changes(items: DataFrame, stored: DataFrame) -> DataFrame:
         is_first,
         (F.col("content_fingerprint") == F.col("stored_fingerprint")) & (F.col("file_path") == F.col("stored_path")),
     ).otherwise((F.col("content_fingerprint") == before_print) & (F.col("file_path") == before_path))
-    decided = (
-        live.withColumn("action", F.when(F.coalesce(same, F.lit(False)), UNCHANGED).otherwise(WRITTEN))
-        .withColumn("last_write", F.max(F.when(F.col("action") == WRITTEN, F.col("cell_seq"))).over(by_key))
+    action = F.when(~alive, FAILED).when(F.coalesce(same, F.lit(False)), UNCHANGED).otherwise(WRITTEN)
+    last_write = F.max(F.when(F.col("action") == WRITTEN, F.col("cell_seq"))).over(by_key)
+    return (
+        compared.withColumn("action", action)
+        .withColumn("last_write", last_write)
         .withColumn("keep_metadata", (F.col("action") == WRITTEN) & (F.col("cell_seq") == F.col("last_write")))
-        .drop("last_write", "stored_fingerprint", "stored_path")
-    )
-    failed = items.filter("error_code IS NOT NULL").withColumns(
-        {"action": F.lit(FAILED), "keep_metadata": F.lit(False)}
+        .drop("last_write", "stored_fingerprint", "stored_path", "lane")
     )
-    return decided.unionByName(failed)
 
 
 def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
     """Add ``keep_object``: of several writes to one object key only the last one survives.
 
-    Written keys are counted first and only the collided ones are joined back, so a file name
-    shared by a large share of a cell costs one row per key, not one group in one task.
+    Written keys are counted first and only the collided ones are staged and joined back, so a
+    file name shared by a large share of a cell costs one row per key, not one group in one
+    task. ``decided`` is read twice, so pass a staged table.
     """
     place = F.struct(*order)
-    collided = (
+    collided = stage(
         decided.filter(F.col("action") == WRITTEN)
         .groupBy("file_path")
         .agg(F.count("*").alias("n"), F.max(place).alias("last_place"))
         .filter("n > 1")
-        .drop("n")
+        .drop("n"),
+        "collided_keys",
     )
     survives = F.col("last_place").isNull() | (place == F.col("last_place"))
     return (

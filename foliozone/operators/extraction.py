@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +32,17 @@ def _clean(payload: bytes, containers, stripped, return_text: str, template: str
     return (head + content.inner_html() + tail).encode("utf-8")
 
 
-def extract_content(documents: DataFrame, profile) -> DataFrame:
+def extract_content(documents: DataFrame, profile, html: Column | None = None) -> DataFrame:
     """Replace ``payload`` by its relevant content and add ``extract_error``.
 
     Non-HTML rows pass through unchanged and never enter a Python worker. Every other column
     travels along as Arrow buffers, untouched. A null payload stays null without an error.
+
+    ``html`` says which rows to clean and defaults to a test of ``content_type``. Over stored
+    objects it is a test of a directory column, so the two branches read different files.
     """
-    html = keys.is_html(F.col("content_type"))
+    if html is None:
+        html = keys.is_html(F.col("content_type"))
     fields = documents.schema.fields
     schema = T.StructType([*fields, T.StructField("extract_error", T.StringType())])
     column = documents.columns.index("payload")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone.functions.text import blank_to_null, quoted
+from foliozone.session import stage
 
 # Error codes and messages of failed rows.
 DUPLICATE = "duplicate_case_reference"
@@ -22,12 +23,13 @@ REFERENCE = ["cell_seq", "body_code", "identifier"]
 def mark_repeats(items: DataFrame) -> DataFrame:
     """Add ``first_url``: null for the first row of a reference in its cell, else that row's url.
 
-    Keys are counted with map-side combine, and only keys seen twice or more go back to the rows.
-    Those are few on real listings, so the join is a runtime broadcast and the rows do not move;
-    if one reference holds a large share of all rows the other side is still one row per key and
-    the skewed side can be split.
+    Keys are counted with map-side combine over key columns only, and just the keys seen twice or
+    more are staged and go back to the rows. Those are few on real listings, so the planner
+    broadcasts them by file size and the rows do not move. If there are many, or one reference
+    holds a large share of all rows, their side is still one row per key and the rows' side can
+    be split.
     """
-    repeated = (
+    repeated = stage(
         items.groupBy(*REFERENCE)
         .agg(
             F.count("*").alias("n"),
@@ -35,7 +37,8 @@ def mark_repeats(items: DataFrame) -> DataFrame:
             F.min_by("document_url", "item_seq").alias("kept_url"),
         )
         .filter("n > 1")
-        .drop("n")
+        .drop("n"),
+        "repeated_references",
     )
     first_url = F.when(F.col("item_seq") > F.col("first_seq"), F.col("kept_url"))
     return items.join(repeated, REFERENCE, "left").withColumn("first_url", first_url).drop("first_seq", "kept_url")

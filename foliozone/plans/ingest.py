@@ -15,7 +15,7 @@ from foliozone.plans.periods import join_cells
 from foliozone.session import stage
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture
-from foliozone.sources.zones import Zone, period_of
+from foliozone.sources.zones import Zone, kind_of, period_of
 
 STAGE = "ingest"
 
@@ -31,7 +31,10 @@ class StageResult:
 
 
 def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) -> DataFrame:
-    """Captured rows without their payloads: both hashes and the landing key are taken at the scan."""
+    """Captured rows without their payloads: both hashes and the landing key are taken at the scan.
+
+    ``items`` come with ``first_url`` from the repeat check.
+    """
     payload = F.col("payload")
     named = join_cells(
         items.select(
@@ -40,6 +43,7 @@ def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) ->
             *schemas.RECORD_COLUMNS,
             "error_code",
             "error_reason",
+            "first_url",
             payload.isNotNull().alias("has_payload"),
             hashing.content_hash(payload).alias("file_hash"),
             hashing.content_hash(adapter.normalise(payload, F.col("content_type"))).alias("content_fingerprint"),
@@ -71,10 +75,14 @@ def reachable(capture: Capture) -> Capture:
 
 
 def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter) -> DataFrame:
-    """The outcome of every captured row, as one lazy plan over all cells."""
-    settled = repeats.with_failures(repeats.mark_repeats(fingerprinted(items, cells, adapter)))
-    decided = changes.detect_changes(settled, changes.stored_state(stored))
-    return changes.keep_last_object(decided, ["cell_seq", "item_seq"])
+    """The outcome of every captured row, over all cells at once.
+
+    Payloads are read in one pass, for their hashes; what is shuffled and staged is narrow.
+    """
+    settled = repeats.with_failures(fingerprinted(repeats.mark_repeats(items), cells, adapter))
+    place = ("cell_seq", "item_seq")
+    decided = stage(changes.detect_changes(settled, changes.stored_state(stored), place), "ingest_decided")
+    return changes.keep_last_object(decided, list(place))
 
 
 def collection_failures(capture: Capture) -> DataFrame:
@@ -107,7 +115,7 @@ def account(
 def plan_ingest(
     capture: Capture, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter, start: date, end: date
 ) -> StageResult:
-    """Everything the stage computes, nothing written."""
+    """Everything the stage computes, with no zone written."""
     capture = reachable(capture)
     decided = decide(capture.items, cells, stored, adapter)
     return account(
@@ -124,6 +132,7 @@ def landing_objects(items: DataFrame, cells: DataFrame, adapter: SourceAdapter,
         {
             "object_key": _landing_key(adapter),
             "period": period_of(F.col("decision_date")),
+            "kind": kind_of(F.col("content_type")),
             "run_seq": F.lit(run_seq).cast("bigint"),
         }
     )
@@ -142,9 +151,10 @@ def ingest(
 
     ``capture.items`` must be a stored table (hand-off or staged), as it is scanned twice.
     """
-    run_seq = zone.next_run()
+    before = zone.snapshot()
+    run_seq = max(before.runs, default=0) + 1
     capture = reachable(capture)
-    decided = stage(decide(capture.items, cells, zone.current(), adapter), "ingest_decided")
+    decided = decide(capture.items, cells, before.current(), adapter)
     if not decided.filter("keep_metadata").isEmpty():
         on = ["cell_seq", "item_seq"]
         payloads = changes.matching(capture.items, decided, on, F.col("keep_object"))

@@ -13,10 +13,6 @@ from foliozone.sources.adapter import Body, SourceAdapter
 # Fixed value: the first day of the backfill grid.
 GRID_START = date(2015, 1, 1)
 
-# A grid of days x bodies stays far below this; beyond it the join is left to shuffle.
-BROADCAST_CELLS = 1_000_000
-
-
 def check_range(start: date, end: date) -> None:
     if end <= start:
         raise ValueError(f"end_date {end} must be after start_date {start}")
@@ -107,13 +103,8 @@ def backfill_cells(spark: SparkSession, adapter: SourceAdapter, until: date, siz
 
 
 def join_cells(df: DataFrame, cells: DataFrame, on: str | list[str] = "cell_seq") -> DataFrame:
-    """Attach cell columns. The grid is broadcast only when its own row count says it is small."""
-    return df.join(bounded(cells, BROADCAST_CELLS), on)
-
-
-def bounded(df: DataFrame, most: int) -> DataFrame:
-    """Mark for broadcast if the table has at most ``most`` rows; the check reads ``most + 1``."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """Attach cell columns. No hint: the planner broadcasts the grid by its size, or does not."""
+    return df.join(cells, on)
 
 
 def placed(df: DataFrame, cells: DataFrame, start: date, end: date, size: str) -> DataFrame:

@@ -13,7 +13,7 @@ from foliozone.plans.ingest import StageResult, account
 from foliozone.plans.periods import placed
 from foliozone.session import stage
 from foliozone.sources.adapter import SourceAdapter
-from foliozone.sources.zones import Zone, period_of, range_scan, stored_only
+from foliozone.sources.zones import HTML, Zone, kind_of, period_of, range_scan, stored_only
 
 STAGE = "transform"
 
@@ -43,7 +43,7 @@ def with_objects(collected: DataFrame, object_ids: DataFrame) -> DataFrame:
         F.col("object_key").alias("file_path"),
         F.col("run_seq").alias("object_run"),
         F.struct("body_code", "identifier").alias("writer"),
-        keys.is_html(F.col("content_type")).alias("object_html"),
+        (F.col("kind") == HTML).alias("object_html"),
         "period",
     )
     own = (
@@ -62,7 +62,7 @@ def with_objects(collected: DataFrame, object_ids: DataFrame) -> DataFrame:
 
 def _versions(objects: DataFrame) -> DataFrame:
     return objects.withColumnRenamed("run_seq", "object_run").select(
-        *VERSION, "payload", "content_type", "identifier", "body_code", "decision_date", "period"
+        *VERSION, "payload", "content_type", "identifier", "body_code", "decision_date", "kind", "period"
     )
 
 
@@ -74,35 +74,36 @@ def extracted_content(needed: DataFrame, objects: DataFrame, adapter: SourceAdap
     read on behalf of another record are picked by an equality join; they are rare, and each is
     still extracted only once.
     """
-    months = (period_of(F.lit(start)), period_of(F.date_sub(F.lit(end), 1)))
-    in_months = _versions(objects).filter(F.col("period").between(*months))
-    own_ids = needed.filter("own").select(F.col("file_path").alias("object_key"), "object_run").distinct()
-    # The id list is narrow: the same scan without its payload column.
-    ids = stage(
-        in_months.select(*VERSION).join(own_ids.withColumn("wanted", F.lit(True)), VERSION, "left").select(
-            *VERSION, F.coalesce("wanted", F.lit(False)).alias("wanted")
-        ),
-        "object_ids",
+    in_range = _versions(objects).filter(
+        F.col("period").between(period_of(F.lit(start)), period_of(F.date_sub(F.lit(end), 1)))
+        & F.col("body_code").isin(*sorted({b.code for b in adapter.bodies()}))
     )
-    usual = (
-        changes.matching(in_months, ids, VERSION, F.col("wanted"))
-        .withColumns({"html": keys.is_html(F.col("content_type")), "own": F.lit(True)})
-        .select(*VERSION, "html", "own", "payload", "content_type", "identifier", "body_code", "decision_date")
+    own_ids = needed.filter("own").select(F.col("file_path").alias("object_key"), "object_run").distinct()
+    # every id of the range: the same scan without its payload column
+    ids = stage(_wanted(in_range, own_ids), "object_ids")
+    columns = [*VERSION, "html", "own", "payload", "content_type", "identifier", "body_code", "decision_date"]
+    usual = adapter.extract(
+        changes.matching(in_range, ids, VERSION, F.col("wanted"))
+        .withColumns({"html": F.col("kind") == HTML, "own": F.lit(True)})
+        .select(*columns),
+        F.col("html"),
     )
-    parts = [usual]
     foreign = needed.filter("NOT own AND object_run IS NOT NULL").select(
         F.col("file_path").alias("object_key"), "object_run", "html"
     )
-    if not foreign.isEmpty():
-        served = F.when(F.col("html"), F.lit(keys.DEFAULT_CONTENT_TYPE)).otherwise(F.lit("application/octet-stream"))
-        parts.append(
-            _versions(objects)
-            .join(foreign.distinct(), VERSION)
-            .withColumns({"own": F.lit(False), "content_type": served})
-            .select(*usual.columns)
-        )
-    whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return adapter.extract(whole)
+    if foreign.isEmpty():
+        return usual
+    # the reader's content type, not the writer's, says whether these are cleaned
+    shared = _versions(objects).join(foreign.distinct(), VERSION).withColumn("own", F.lit(False))
+    return usual.unionByName(adapter.extract(shared.select(*columns), F.col("html")))
+
+
+def _wanted(versions: DataFrame, ids: DataFrame) -> DataFrame:
+    """All version ids of a table with a mark on those in ``ids``."""
+    marked = ids.withColumn("mark", F.lit(True))
+    return versions.select(*VERSION).join(marked, VERSION, "left").select(
+        *VERSION, F.col("mark").isNotNull().alias("wanted")
+    )
 
 
 def curated_key(adapter: SourceAdapter, label: Column, landing_path: Column) -> Column:
@@ -137,7 +138,7 @@ def decide(needed: DataFrame, content: DataFrame, stored: DataFrame, adapter: So
         .withColumn("file_path", curated_key(adapter, F.col("label"), F.col("landing_path")))
         .drop("content_hash", "extract_error", "storage_id", "scraped_at", "run_seq")
     )
-    decided = changes.detect_changes(items, changes.stored_state(stored))
+    decided = stage(changes.detect_changes(items, changes.stored_state(stored)), "transform_decided")
     return changes.keep_last_object(decided, ["cell_seq", "decision_date", "identifier"])
 
 
@@ -190,12 +191,7 @@ def curated_objects(
     label = dates.window_of(F.col("decision_date"), F.lit(start), F.lit(end), size)["label"]
     own = content.filter("own AND extract_error IS NULL")
     own_ids = written.filter("own").select(F.col("landing_path").alias("object_key"), "object_run").distinct()
-    ids = stage(
-        own.select(*VERSION).join(own_ids.withColumn("wanted", F.lit(True)), VERSION, "left").select(
-            *VERSION, F.coalesce("wanted", F.lit(False)).alias("wanted")
-        ),
-        "curated_ids",
-    )
+    ids = stage(_wanted(own, own_ids), "curated_ids")
     landing_key = F.col("object_key")
     named = changes.matching(own, ids, VERSION, F.col("wanted")).withColumn(
         "object_key", curated_key(adapter, label, landing_key)
@@ -221,6 +217,7 @@ def curated_objects(
         {
             "source_name": F.lit(adapter.name),
             "period": period_of(F.col("decision_date")),
+            "kind": kind_of(F.col("content_type")),
             "run_seq": F.lit(run_seq).cast("bigint"),
             "cell_seq": F.lit(None).cast("bigint"),
         }
@@ -239,25 +236,25 @@ def transform(
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
     """Run the stage. Landing comes in as tables to read; only ``curated`` is written."""
-    run_seq = curated.next_run()
+    source, before = landing.snapshot(), curated.snapshot()
+    run_seq = max(before.runs, default=0) + 1
     codes = tuple(b.code for b in adapter.select_bodies(body_codes))
-    objects = landing.objects().filter(F.col("body_code").isin(*sorted(set(codes))))
     planned, content = plan_transform(
-        landing.current(codes),
-        objects,
-        landing.current_objects(),
+        source.current(codes),
+        source.objects(),
+        source.current_objects(),
         cells,
-        curated.current(codes),
+        before.current(codes),
         adapter,
         start,
         end,
         size,
     )
-    decided = stage(planned.decided, "transform_decided")
+    decided = planned.decided
     if not decided.filter("keep_metadata").isEmpty():
         curated.append(
             run_seq,
             curated_objects(content, decided, adapter, start, end, size, run_seq),
             changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts), run_seq),
         )
-    return account_transform(decided, cells, adapter, start, end)
+    return planned

@@ -13,11 +13,12 @@ STORAGE = "file_path STRING, file_hash STRING, content_fingerprint STRING, scrap
 METADATA = f"storage_id STRING, {RECORD}, {STORAGE}, run_seq BIGINT, cell_seq BIGINT"
 
 # One stored version per object key and run. It repeats the few record columns that let the
-# transform prune by period and build its own keys without joining metadata to payloads.
+# transform prune by period and build its own keys without joining metadata to payloads. The
+# last three are directories; ``kind`` keeps HTML and other files apart, so that each is read once.
 OBJECTS = (
     "object_key STRING, payload BINARY, content_type STRING, identifier STRING, "
     "decision_date DATE, source_name STRING, run_seq BIGINT, cell_seq BIGINT, "
-    "body_code STRING, period STRING"
+    "body_code STRING, kind STRING, period STRING"
 )
 
 CAPTURED = f"cell_seq BIGINT, item_seq BIGINT, {RECORD}, payload BINARY, error_code STRING, error_reason STRING"

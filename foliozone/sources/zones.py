@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliozone import schemas
-from foliozone.functions import dates
+from foliozone.functions import dates, keys
 from foliozone.operators.changes import KEY
+from foliozone.session import stage
 
 _COMMITS = "run_seq BIGINT, kind STRING, base_seq BIGINT"
 
@@ -41,70 +42,40 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("rn")
 
 
-@dataclass(frozen=True)
-class Zone:
-    """One zone under a root path on shared storage. One writer at a time; any number of readers."""
+HTML, OTHER = "html", "other"
 
-    spark: SparkSession
-    root: str
 
-    # -- versions ---------------------------------------------------------------------------
+def kind_of(content_type: Column) -> Column:
+    return F.when(keys.is_html(content_type), HTML).otherwise(OTHER)
 
-    def committed(self) -> list[int]:
-        """Live run numbers: those since the last compaction, which replaces all before it."""
-        commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json")
-        base = commits.agg(F.max("base_seq").alias("b")).first()["b"] or 0
-        rows = commits.filter(F.col("run_seq") >= base).select("run_seq").distinct().orderBy("run_seq").collect()
-        return [r["run_seq"] for r in rows]
 
-    def next_run(self) -> int:
-        return max(self.committed(), default=0) + 1
+def _columns(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
-    def _publish(self, run_seq: int, kind: str, base_seq: int | None = None) -> None:
-        row = self.spark.createDataFrame([(run_seq, kind, base_seq)], _COMMITS).coalesce(1)
-        row.write.mode("append").json(f"{self.root}/commits")
 
-    def append(self, run_seq: int, objects: DataFrame, metadata: DataFrame, kind: str = "run") -> None:
-        """Objects first, metadata second, visible last."""
-        wide = [f.strip().split()[0] for f in schemas.OBJECTS.split(",")]
-        narrow = [f.strip().split()[0] for f in schemas.METADATA.split(",")]
-        objects.select(*wide).drop("run_seq").write.mode("overwrite").partitionBy("body_code", "period").parquet(
-            f"{self.root}/objects/run_seq={run_seq}"
-        )
-        metadata.select(*narrow).drop("run_seq").write.mode("overwrite").partitionBy("body_code").parquet(
-            f"{self.root}/metadata/run_seq={run_seq}"
-        )
-        self._publish(run_seq, kind, run_seq if kind == "compaction" else None)
+@dataclass(frozen=True)
+class Snapshot:
+    """A zone as of its last commit: whatever is appended later is not seen."""
 
-    def compact(self) -> int:
-        """Rewrite the current state as one version, after which the older ones are not read."""
-        run_seq = self.next_run()
-        objects = self.objects()
-        stale = self.object_ids().join(
-            self.current_objects().select("object_key", "run_seq"), ["object_key", "run_seq"], "left_anti"
-        )
-        live = objects.join(stale.select("object_key", "run_seq"), ["object_key", "run_seq"], "left_anti")
-        self.append(run_seq, live.drop("run_seq").withColumn("run_seq", F.lit(run_seq)), self.current(), "compaction")
-        return run_seq
+    spark: SparkSession
+    root: str
+    runs: tuple[int, ...]
 
-    # -- reading ----------------------------------------------------------------------------
+    def _read(self, name: str, schema: str) -> DataFrame:
+        if not self.runs:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        return rows.filter(F.col("run_seq").isin(*self.runs))
 
     def metadata(self) -> DataFrame:
-        runs = self.committed()
-        if not runs:
-            return self.spark.createDataFrame([], schemas.METADATA)
-        return self.spark.read.schema(schemas.METADATA).parquet(f"{self.root}/metadata").filter(
-            F.col("run_seq").isin(runs)
-        )
+        return self._read("metadata", schemas.METADATA)
 
     def objects(self) -> DataFrame:
-        """All committed object versions, payload included; select before use."""
-        runs = self.committed()
-        if not runs:
-            return self.spark.createDataFrame([], schemas.OBJECTS)
-        return self.spark.read.schema(schemas.OBJECTS).parquet(f"{self.root}/objects").filter(
-            F.col("run_seq").isin(runs)
-        )
+        """All object versions, payload included; select before use."""
+        return self._read("objects", schemas.OBJECTS)
+
+    def object_ids(self) -> DataFrame:
+        return self.objects().drop("payload")
 
     def current(self, body_codes: tuple[str, ...] | None = None) -> DataFrame:
         """The stored record per key. Bodies are part of the key and prune directories; any other
@@ -114,24 +85,69 @@ class Zone:
             rows = rows.filter(F.col("body_code").isin(*sorted(set(body_codes))))
         return latest(rows, KEY)
 
-    def object_ids(self) -> DataFrame:
-        return self.objects().drop("payload")
-
     def current_objects(self) -> DataFrame:
         """The newest version per object key, without payloads."""
         return latest(self.object_ids(), ["object_key"])
 
-    def find(self, keys: DataFrame) -> DataFrame:
+    def find(self, asked: DataFrame) -> DataFrame:
         """Stored records for a table of ``(body_code, identifier)``."""
-        return self.current().join(keys.select(*KEY).distinct(), KEY, "left_semi")
+        return self.current().join(asked.select(*KEY), KEY, "left_semi")
 
     def in_range(self, start, end, body_codes=None, source_name: str | None = None) -> DataFrame:
-        """Current records with ``start <= decision_date < end``."""
-        return range_scan(self.current(body_codes), start, end, source_name)
+        """Current records with ``start <= decision_date < end``, oldest first."""
+        return range_scan(self.current(body_codes), start, end, source_name).orderBy("decision_date")
 
-    def existing(self, keys: DataFrame) -> DataFrame:
+    def existing(self, asked: DataFrame) -> DataFrame:
         """Those of the given object keys that are stored."""
-        return keys.join(self.object_ids().select("object_key"), "object_key", "left_semi")
+        return asked.join(self.object_ids().select("object_key"), "object_key", "left_semi")
+
+
+@dataclass(frozen=True)
+class Zone:
+    """One zone under a root path on shared storage. One writer at a time; any number of readers."""
+
+    spark: SparkSession
+    root: str
+
+    def snapshot(self) -> Snapshot:
+        """Runs since the last compaction, which replaces all before it; one small row per run."""
+        commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json").collect()
+        base = max((c["base_seq"] or 0 for c in commits), default=0)
+        return Snapshot(self.spark, self.root, tuple(sorted({c["run_seq"] for c in commits if c["run_seq"] >= base})))
+
+    def next_run(self) -> int:
+        return max(self.snapshot().runs, default=0) + 1
+
+    def _publish(self, run_seq: int, kind: str, base_seq: int | None = None) -> None:
+        row = self.spark.createDataFrame([(run_seq, kind, base_seq)], _COMMITS).coalesce(1)
+        row.write.mode("append").json(f"{self.root}/commits")
+
+    def append(self, run_seq: int, objects: DataFrame, metadata: DataFrame, kind: str = "run") -> None:
+        """Objects first, metadata second, visible last.
+
+        Rows are gathered by directory before the write, so that a run does not leave one file
+        per task and directory; the rebalance splits directories that hold much and joins small
+        ones. Only rows to be written pay for it.
+        """
+        self._write("objects", run_seq, objects, schemas.OBJECTS, ["body_code", "kind", "period"])
+        self._write("metadata", run_seq, metadata, schemas.METADATA, ["body_code"])
+        self._publish(run_seq, kind, run_seq if kind == "compaction" else None)
+
+    def _write(self, name: str, run_seq: int, rows: DataFrame, schema: str, folders: list[str]) -> None:
+        shaped = rows.select(*(c for c in _columns(schema) if c != "run_seq"))
+        shaped.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).parquet(
+            f"{self.root}/{name}/run_seq={run_seq}"
+        )
+
+    def compact(self) -> int:
+        """Rewrite the current state as one version, after which the older ones are not read."""
+        now = self.snapshot()
+        run_seq = max(now.runs, default=0) + 1
+        version = ["object_key", "run_seq"]
+        stale = now.object_ids().select(*version).join(now.current_objects().select(*version), version, "left_anti")
+        live = now.objects().join(stage(stale, "stale_objects"), version, "left_anti")
+        self.append(run_seq, live, now.current(), "compaction")
+        return run_seq
 
 
 def range_scan(records: DataFrame, start, end, source_name: str | None = None) -> DataFrame:
