@@ -673,7 +673,8 @@ def curated_records(spark, sf_dir):
     )
     stored = landing.limit(0)
     result, _ = transform.plan_transform(
-        landing, objects, objects.drop("payload"), cells, stored, adapter, *YEAR, "weekly"
+        landing, objects, objects.drop("payload"), cells, stored, adapter, *YEAR, "weekly",
+        tuple(b.code for b in adapter.bodies()),
     )
     return result.decided.select("identifier", "body_code", "partition_date", "cell_seq", "file_path", "file_hash", "action")
 

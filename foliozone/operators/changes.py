@@ -9,6 +9,8 @@ from foliozone.functions import hashing, keys
 from foliozone.session import stage
 
 KEY = ["body_code", "identifier"]
+# A broadcast of this many ids stays within a few hundred megabytes.
+BROADCAST_IDS = 2_000_000
 WRITTEN, UNCHANGED, FAILED = "written", "unchanged", "failed"
 
 
@@ -21,7 +23,7 @@ def stored_state(metadata: DataFrame) -> DataFrame:
     )
 
 
-def detect_changes(items: DataFrame, stored: DataFrame, spread_by: tuple[str, ...] = ("cell_seq",)) -> DataFrame:
+def detect_changes(items: DataFrame, stored: DataFrame) -> DataFrame:
     """Add ``action``, and ``keep_metadata`` on the row whose write is the last of its key.
 
     ``items`` carry ``cell_seq, body_code, identifier, content_fingerprint, file_path, error_code``.
@@ -30,14 +32,10 @@ def detect_changes(items: DataFrame, stored: DataFrame, spread_by: tuple[str, ..
     fingerprint and path, so looking back one row is enough.
 
     Live rows of a key number at most one per cell, which bounds their window group. Rows that
-    already failed take no part; a lane number spreads them over all tasks, so a reference
-    repeated any number of times does not pile up, and the input is still read once.
+    already failed bypass the shuffle, so a reference repeated any number of times does not pile
+    up. ``items`` is read twice for that: pass narrow rows of a staged table, never payloads.
     """
-    alive = F.col("error_code").isNull()
-    lane = F.when(alive, F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)).cast("int") + 1)
-    key = [*KEY, "lane"]
-    compared = items.withColumn("lane", lane).join(stored.withColumn("lane", F.lit(0)), key, "left")
-    by_key = Window.partitionBy(*key)
+    by_key = Window.partitionBy(*KEY)
     in_order = by_key.orderBy("cell_seq")
     before_print = F.lag("content_fingerprint").over(in_order)
     before_path = F.lag("file_path").over(in_order)
@@ -46,14 +44,19 @@ def detect_changes(items: DataFrame, stored: DataFrame, spread_by: tuple[str, ..
         is_first,
         (F.col("content_fingerprint") == F.col("stored_fingerprint")) & (F.col("file_path") == F.col("stored_path")),
     ).otherwise((F.col("content_fingerprint") == before_print) & (F.col("file_path") == before_path))
-    action = F.when(~alive, FAILED).when(F.coalesce(same, F.lit(False)), UNCHANGED).otherwise(WRITTEN)
     last_write = F.max(F.when(F.col("action") == WRITTEN, F.col("cell_seq"))).over(by_key)
-    return (
-        compared.withColumn("action", action)
+    live = (
+        items.filter("error_code IS NULL")
+        .join(stored, KEY, "left")
+        .withColumn("action", F.when(F.coalesce(same, F.lit(False)), UNCHANGED).otherwise(WRITTEN))
         .withColumn("last_write", last_write)
         .withColumn("keep_metadata", (F.col("action") == WRITTEN) & (F.col("cell_seq") == F.col("last_write")))
-        .drop("last_write", "stored_fingerprint", "stored_path", "lane")
+        .drop("last_write", "stored_fingerprint", "stored_path")
+    )
+    failed = items.filter("error_code IS NOT NULL").withColumns(
+        {"action": F.lit(FAILED), "keep_metadata": F.lit(False)}
     )
+    return live.unionByName(failed)
 
 
 def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
@@ -95,12 +98,14 @@ def matching(wide: DataFrame, ids: DataFrame, on: list[str], keep: Column) -> Da
     """Rows of a wide table whose id is marked in ``ids``, which lists every id of the table.
 
     Payloads should not be shuffled, so the smaller of the two sets is the one that travels: the
-    kept ids as a semi join, or the others as an anti join. Either is exact; the engine
-    broadcasts it if it fits and falls back to a shuffled join if not. ``ids`` is read twice, so
-    pass a staged table.
+    kept ids as a semi join, or the others as an anti join. Either is exact. The set is staged
+    and counted; up to ``BROADCAST_IDS`` rows it is broadcast, beyond that the join shuffles.
+    ``ids`` is read twice, so pass a staged table.
     """
     flagged = ids.select(*on, keep.alias("keep"))
     kept, total = flagged.agg(F.count_if("keep"), F.count("*")).first()
-    if kept * 2 <= total:
-        return wide.join(flagged.filter("keep").select(*on), on, "left_semi")
-    return wide.join(flagged.filter(~F.col("keep")).select(*on), on, "left_anti")
+    few_kept = kept * 2 <= total
+    travelling = stage(flagged.filter(F.col("keep") == few_kept).select(*on), "ids")
+    if min(kept, total - kept) <= BROADCAST_IDS:
+        travelling = F.broadcast(travelling)
+    return wide.join(travelling, on, "left_semi" if few_kept else "left_anti")

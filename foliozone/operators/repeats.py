@@ -27,7 +27,7 @@ def mark_repeats(items: DataFrame) -> DataFrame:
     more are staged and go back to the rows. Those are few on real listings, so the planner
     broadcasts them by file size and the rows do not move. If there are many, or one reference
     holds a large share of all rows, their side is still one row per key and the rows' side can
-    be split.
+    be split. ``items`` is read twice: pass narrow rows.
     """
     repeated = stage(
         items.groupBy(*REFERENCE)

@@ -31,10 +31,7 @@ class StageResult:
 
 
 def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) -> DataFrame:
-    """Captured rows without their payloads: both hashes and the landing key are taken at the scan.
-
-    ``items`` come with ``first_url`` from the repeat check.
-    """
+    """Captured rows without their payloads: both hashes and the landing key are taken at the scan."""
     payload = F.col("payload")
     named = join_cells(
         items.select(
@@ -43,7 +40,6 @@ def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) ->
             *schemas.RECORD_COLUMNS,
             "error_code",
             "error_reason",
-            "first_url",
             payload.isNotNull().alias("has_payload"),
             hashing.content_hash(payload).alias("file_hash"),
             hashing.content_hash(adapter.normalise(payload, F.col("content_type"))).alias("content_fingerprint"),
@@ -77,12 +73,13 @@ def reachable(capture: Capture) -> Capture:
 def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter) -> DataFrame:
     """The outcome of every captured row, over all cells at once.
 
-    Payloads are read in one pass, for their hashes; what is shuffled and staged is narrow.
+    Payloads are read in one pass without a shuffle, for their hashes. Everything after that
+    works on the staged narrow rows.
     """
-    settled = repeats.with_failures(fingerprinted(repeats.mark_repeats(items), cells, adapter))
-    place = ("cell_seq", "item_seq")
-    decided = stage(changes.detect_changes(settled, changes.stored_state(stored), place), "ingest_decided")
-    return changes.keep_last_object(decided, list(place))
+    rows = stage(fingerprinted(items, cells, adapter), "ingest_rows")
+    settled = repeats.with_failures(repeats.mark_repeats(rows))
+    decided = stage(changes.detect_changes(settled, changes.stored_state(stored)), "ingest_decided")
+    return changes.keep_last_object(decided, ["cell_seq", "item_seq"])
 
 
 def collection_failures(capture: Capture) -> DataFrame:

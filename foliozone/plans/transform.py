@@ -66,7 +66,14 @@ def _versions(objects: DataFrame) -> DataFrame:
     )
 
 
-def extracted_content(needed: DataFrame, objects: DataFrame, adapter: SourceAdapter, start: date, end: date) -> DataFrame:
+def extracted_content(
+    needed: DataFrame,
+    objects: DataFrame,
+    adapter: SourceAdapter,
+    start: date,
+    end: date,
+    body_codes: tuple[str, ...],
+) -> DataFrame:
     """Clean every needed object version once: ``object_key, object_run, html, own, payload, extract_error``.
 
     The usual case reads only the months and bodies of the range and drops stale versions by a
@@ -76,7 +83,7 @@ def extracted_content(needed: DataFrame, objects: DataFrame, adapter: SourceAdap
     """
     in_range = _versions(objects).filter(
         F.col("period").between(period_of(F.lit(start)), period_of(F.date_sub(F.lit(end), 1)))
-        & F.col("body_code").isin(*sorted({b.code for b in adapter.bodies()}))
+        & F.col("body_code").isin(*sorted(set(body_codes)))
     )
     own_ids = needed.filter("own").select(F.col("file_path").alias("object_key"), "object_run").distinct()
     # every id of the range: the same scan without its payload column
@@ -156,6 +163,7 @@ def plan_transform(
     start: date,
     end: date,
     size: str,
+    body_codes: tuple[str, ...],
 ) -> tuple[StageResult, DataFrame]:
     """Decide the stage without writing a zone; also returns the staged content.
 
@@ -164,7 +172,7 @@ def plan_transform(
     """
     collected = collect(landing.drop("cell_seq"), cells, adapter, start, end, size)
     needed = stage(with_objects(collected, object_ids), "transform_needed")
-    content = stage(hashed(extracted_content(needed, objects, adapter, start, end)), "extracted")
+    content = stage(hashed(extracted_content(needed, objects, adapter, start, end, body_codes)), "extracted")
     decided = decide(needed, content, stored, adapter)
     return account_transform(decided, cells, adapter, start, end), content
 
@@ -249,6 +257,7 @@ def transform(
         start,
         end,
         size,
+        codes,
     )
     decided = planned.decided
     if not decided.filter("keep_metadata").isEmpty():
