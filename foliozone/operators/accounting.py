@@ -26,18 +26,27 @@ def cell_summary(
     ``outcomes`` needs ``cell_seq, action``; ``totals`` is the site's own count and, where it is
     absent, found means collected, which reconciles trivially unless a collection failed.
     """
-    counted = outcomes.groupBy("cell_seq").agg(
-        F.count("*").alias("collected"),
+    none = F.lit(None).cast("int")
+
+    def contribution(df: DataFrame, **values: Column) -> DataFrame:
+        columns = {"action": F.lit(None).cast("string"), "collected": F.lit(0), "unread": F.lit(0), "total": none, **values}
+        return df.select("cell_seq", *(c.alias(n) for n, c in columns.items()))
+
+    parts = [
+        contribution(outcomes, action=F.col("action"), collected=F.lit(1)),
+        contribution(collection_failures, unread=F.lit(1)),
+    ]
+    if totals is not None:
+        parts.append(contribution(totals, total=F.col("reported_total")))
+    # one aggregation with map-side combine, whatever feeds a cell
+    counted = reduce(lambda a, b: a.unionByName(b), parts).groupBy("cell_seq").agg(
+        F.sum("collected").alias("collected"),
         F.count_if(F.col("action") == WRITTEN).alias("records_written"),
         F.count_if(F.col("action") == UNCHANGED).alias("records_unchanged"),
+        F.sum("unread").alias("unread"),
+        F.max("total").alias("reported_total"),
     )
-    unread = collection_failures.groupBy("cell_seq").agg(F.count("*").alias("unread"))
-    joined = cells.join(counted, "cell_seq", "left").join(unread, "cell_seq", "left")
-    joined = (
-        joined.join(totals.groupBy("cell_seq").agg(F.max("reported_total").alias("reported_total")), "cell_seq", "left")
-        if totals is not None
-        else joined.withColumn("reported_total", F.lit(None).cast("int"))
-    )
+    joined = cells.join(counted, "cell_seq", "left")
 
     def or_zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0)).cast("bigint")

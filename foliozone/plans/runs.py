@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -38,10 +39,19 @@ class Workspace:
         return RunLog(self.spark, f"{self.root}/runs")
 
 
-def _logged(workspace: Workspace, result: StageResult, run_ts: datetime) -> StageResult:
-    for name in ("cell_summary", "run_summary", "failures"):
-        workspace.log.append(name, getattr(result, name).withColumn("run_ts", F.lit(run_ts)))
-    return result
+def _logged(
+    workspace: Workspace, result: StageResult, stage: str, source: str, start: date, end: date, run_ts: datetime
+) -> StageResult:
+    """Store the run's summaries and failures and return them as stored."""
+    run_id, stamp = f"{stage}-{uuid.uuid4().hex}", F.lit(run_ts)
+    cells = workspace.log.append("cell_summary", run_id, result.cell_summary.withColumn("run_ts", stamp))
+    total = accounting.run_summary(cells, stage, source, start, end)
+    return StageResult(
+        result.decided,
+        cells.drop("run_ts"),
+        workspace.log.append("run_summary", run_id, total.withColumn("run_ts", stamp)).drop("run_ts"),
+        workspace.log.append("failures", run_id, result.failures.withColumn("run_ts", stamp)).drop("run_ts"),
+    )
 
 
 def ingest_date_range(
@@ -55,9 +65,8 @@ def ingest_date_range(
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
     cells = plan_cells(workspace.spark, adapter, start, end, size, body_codes)
-    return _logged(
-        workspace, ingest_stage.ingest(workspace.landing, capture, cells, adapter, start, end, run_ts), run_ts
-    )
+    result = ingest_stage.ingest(workspace.landing, capture, cells, adapter, start, end, run_ts)
+    return _logged(workspace, result, ingest_stage.STAGE, adapter.name, start, end, run_ts)
 
 
 def transform_date_range(
@@ -73,7 +82,7 @@ def transform_date_range(
     result = transform_stage.transform(
         workspace.landing, workspace.curated, cells, adapter, start, end, run_ts, size, body_codes
     )
-    return _logged(workspace, result, run_ts)
+    return _logged(workspace, result, transform_stage.STAGE, adapter.name, start, end, run_ts)
 
 
 def ingest_single_cell(

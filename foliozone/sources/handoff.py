@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,7 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
     if payloads is None:
         payloads = spark.createDataFrame([], "path STRING, content BINARY")
     files = payloads.select(keys.path_only(F.col("path")).alias("local_path"), F.col("content").alias("payload"))
+    files = files.unionByName(_empty_files(records.select("local_path"), files.select("local_path")))
     return Capture.of(
         spark,
         records.join(files, "local_path", "left").drop("local_path"),
@@ -105,6 +108,28 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
     )
 
 
+def _empty_files(recorded: DataFrame, listed: DataFrame) -> DataFrame:
+    """Payloads of no bytes. File sources skip empty files, so paths they did not list are looked up.
+
+    An empty payload is a success and a missing file is not, so the two must not be confused.
+    """
+
+    def look_up(batches):
+        for batch in batches:
+            paths = [p for p in batch.column(0).to_pylist() if _size(p) == 0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array([b""] * len(paths), pa.binary())], names=["local_path", "payload"]
+            )
+
+    unlisted = recorded.filter("local_path IS NOT NULL").distinct().join(listed, "local_path", "left_anti")
+    return unlisted.mapInArrow(look_up, "local_path STRING, payload BINARY")
+
+
+def _size(path: str) -> int | None:
+    files, inside = fs.FileSystem.from_uri(path)
+    return files.get_file_info(inside).size
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")

@@ -164,13 +164,16 @@ def stored_only(records: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RunLog:
-    """Summaries and failures of every run, appended as tables."""
+    """Summaries and failures of every run, one directory per run and table."""
 
     spark: SparkSession
     root: str
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/{name}")
+    def append(self, name: str, run_id: str, rows: DataFrame) -> DataFrame:
+        """Write a run's rows and hand them back as stored, so that no one computes them again."""
+        path = f"{self.root}/{name}/run_id={run_id}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
