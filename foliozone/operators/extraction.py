@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliozone.functions import keys
+from foliozone.sources import markup
 
 NO_CONTAINER = "no decision content container found on page"
 
 
 def _clean(payload: bytes, containers, stripped, return_text: str, template: str) -> bytes | None:
-    from foliozone.sources import markup
-
     page = markup.parse(payload)
     firsts = (markup.select_one(page, steps) for steps in containers)
     content = next((node for node in firsts if node is not None and node.stripped_text()), None)
     if content is None:
         return None
-    for steps in stripped:
-        for node in list(markup.select(content, steps)):
-            node.remove()
+    for node in [n for n in content.walk() if any(markup.matches(n, steps) for steps in stripped)]:
+        node.remove()
     for anchor in [n for n in content.walk() if n.name == "a"]:
         if anchor.stripped_text().lower() == return_text:
             anchor.remove()
@@ -50,8 +48,6 @@ def extract_content(documents: DataFrame, profile, html: Column | None = None) -
     return_text, template = profile.return_link_text, profile.curated_template
 
     def clean(batches):
-        from foliozone.sources import markup
-
         inside = [markup.compile_selector(s) for s in containers]
         outside = [markup.compile_selector(s) for s in stripped]
         for batch in batches:

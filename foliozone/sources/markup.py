@@ -93,6 +93,10 @@ class _Builder(HTMLParser):
         self.open = {}
         self.buffer = []
 
+    def updatepos(self, i, j):
+        # line numbers are not wanted
+        return j
+
     def flush(self):
         if not self.buffer:
             return
@@ -190,25 +194,28 @@ def compile_selector(selector: str):
 
 def _fits(node, step):
     tag, classes, attrs = step
-    return (
-        (tag is None or node.name == tag)
-        and (not classes or classes <= set(node.attrs.get("class", "").split()))
-        and all(k in node.attrs and (v is None or node.attrs[k] == v) for k, v in attrs)
-    )
+    if tag is not None and node.name != tag:
+        return False
+    if classes and ("class" not in node.attrs or not classes.issubset(node.attrs["class"].split())):
+        return False
+    return all(k in node.attrs and (v is None or node.attrs[k] == v) for k, v in attrs)
+
+
+def matches(node: Element, steps) -> bool:
+    """Does the element itself fit the last step, inside ancestors that fit the ones before?"""
+    if not _fits(node, steps[-1]):
+        return False
+    wanted, outer = len(steps) - 2, node.parent
+    while wanted >= 0 and outer is not None:
+        if _fits(outer, steps[wanted]):
+            wanted -= 1
+        outer = outer.parent
+    return wanted < 0
 
 
 def select(root: Element, steps):
     """Matches below ``root`` in document order; ancestors may lie outside it."""
-    for node in root.walk():
-        if not _fits(node, steps[-1]):
-            continue
-        wanted, outer = len(steps) - 2, node.parent
-        while wanted >= 0 and outer is not None:
-            if _fits(outer, steps[wanted]):
-                wanted -= 1
-            outer = outer.parent
-        if wanted < 0:
-            yield node
+    return (node for node in root.walk() if matches(node, steps))
 
 
 def select_one(root: Element, steps):
