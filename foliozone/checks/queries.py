@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliozone import schemas
 from foliozone.checks import inputs
 from foliozone.checks.inputs import RUN_TS, YEAR, table
 from foliozone.functions import dates, hashing, keys, text
@@ -671,7 +672,7 @@ def curated_records(spark, sf_dir):
         F.lit(1).cast("bigint").alias("run_seq"), "cell_seq", "body_code", zones.kind_of(F.col("content_type")).alias("kind"),
         F.col("partition_date").alias("period"),
     )
-    stored = landing.limit(0)
+    stored = spark.createDataFrame([], schemas.METADATA)
     result, _ = transform.plan_transform(
         landing, objects, objects.drop("payload"), cells, stored, adapter, *YEAR, "weekly",
         tuple(b.code for b in adapter.bodies()),
@@ -690,9 +691,7 @@ def _plan_orders(spark, sf_dir) -> ingest.StageResult:
         spark.range(0, 3).select(F.col("id").alias("cell_seq"), F.lit("crawl failed").alias("reason")),
     )
     cells = periods.plan_cells(spark, inputs.ORDERS_SITE, start, end)
-    stored = inputs.order_records(spark, sf_dir).limit(0).withColumns(
-        {c: F.lit(None).cast("string") for c in ("content_fingerprint", "file_hash", "file_path")}
-    )
+    stored = spark.createDataFrame([], schemas.METADATA)
     return ingest.plan_ingest(capture, cells, stored, inputs.ORDERS_SITE, start, end)
 
 

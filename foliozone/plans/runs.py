@@ -13,7 +13,7 @@ from foliozone.operators import accounting
 from foliozone.plans import ingest as ingest_stage
 from foliozone.plans import transform as transform_stage
 from foliozone.plans.ingest import StageResult
-from foliozone.plans.periods import plan_cells, window_starting_at
+from foliozone.plans.periods import as_date, plan_cells, window_starting_at
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture
 from foliozone.sources.zones import RunLog, Zone
@@ -58,12 +58,13 @@ def ingest_date_range(
     workspace: Workspace,
     adapter: SourceAdapter,
     capture: Capture,
-    start: date,
-    end: date,
+    start: date | str,
+    end: date | str,
     run_ts: datetime,
     size: str = "monthly",
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
+    start, end = as_date(start), as_date(end)
     cells = plan_cells(workspace.spark, adapter, start, end, size, body_codes)
     result = ingest_stage.ingest(workspace.landing, capture, cells, adapter, start, end, run_ts)
     return _logged(workspace, result, ingest_stage.STAGE, adapter.name, start, end, run_ts)
@@ -72,12 +73,13 @@ def ingest_date_range(
 def transform_date_range(
     workspace: Workspace,
     adapter: SourceAdapter,
-    start: date,
-    end: date,
+    start: date | str,
+    end: date | str,
     run_ts: datetime,
     size: str = "monthly",
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
+    start, end = as_date(start), as_date(end)
     cells = plan_cells(workspace.spark, adapter, start, end, size, body_codes)
     result = transform_stage.transform(
         workspace.landing, workspace.curated, cells, adapter, start, end, run_ts, size, body_codes
@@ -86,16 +88,16 @@ def transform_date_range(
 
 
 def ingest_single_cell(
-    workspace: Workspace, adapter: SourceAdapter, capture: Capture, start: date, body_code: str, run_ts: datetime, size: str = "monthly"
+    workspace: Workspace, adapter: SourceAdapter, capture: Capture, start: date | str, body_code: str, run_ts: datetime, size: str = "monthly"
 ) -> StageResult:
-    first, end = window_starting_at(start, size)
+    first, end = window_starting_at(as_date(start), size)
     return ingest_date_range(workspace, adapter, capture, first, end, run_ts, size, (body_code,))
 
 
 def transform_single_cell(
-    workspace: Workspace, adapter: SourceAdapter, start: date, body_code: str, run_ts: datetime, size: str = "monthly"
+    workspace: Workspace, adapter: SourceAdapter, start: date | str, body_code: str, run_ts: datetime, size: str = "monthly"
 ) -> StageResult:
-    first, end = window_starting_at(start, size)
+    first, end = window_starting_at(as_date(start), size)
     return transform_date_range(workspace, adapter, first, end, run_ts, size, (body_code,))
 
 
@@ -103,8 +105,8 @@ def run(
     workspace: Workspace,
     adapter: SourceAdapter,
     capture: Capture,
-    start: date,
-    end: date,
+    start: date | str,
+    end: date | str,
     run_ts: datetime,
     size: str = "monthly",
     body_codes: tuple[str, ...] | None = None,

@@ -15,16 +15,26 @@ SETTINGS = {
     # Payload rows are large: small batches to the Python workers, small splits per task.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.files.maxPartitionBytes": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# AQE joins small shuffle partitions but splits only skewed ones, so a cluster starts with many.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def build_session(master: str | None = None, app: str = "foliozone", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    cluster = {} if master and master.startswith("local") else CLUSTER_SETTINGS
+    for key, value in {**SETTINGS, **cluster, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -61,6 +61,12 @@ def test_cells_keep_request_order_and_repeats(spark):
     assert len(got) == 6
 
 
+def test_date_arguments_may_be_text():
+    assert {periods.as_date(v) for v in ("05/02/2024", "2024-02-05", " 05-02-2024 ", date(2024, 2, 5))} == {date(2024, 2, 5)}
+    with pytest.raises(ValueError, match="unrecognised"):
+        periods.as_date("5 Feb 2024")
+
+
 def test_single_window():
     assert periods.window_starting_at(date(2024, 12, 1), "monthly") == (date(2024, 12, 1), date(2025, 1, 1))
     assert periods.window_starting_at(date(2024, 1, 31), "monthly") == (date(2024, 1, 31), date(2024, 2, 1))

@@ -62,7 +62,7 @@ def only(df):
 
 
 def test_first_run_stores_every_record(spark, workspace):
-    result = runs.ingest_date_range(workspace, ADAPTER, capture(spark), JAN, FEB, RUN_TS)
+    result = runs.ingest_date_range(workspace, ADAPTER, capture(spark), "01/01/2024", "01/02/2024", RUN_TS)
     total = only(result.run_summary)
     assert (total["partitions"], total["records_found"], total["records_written"], total["records_failed"]) == (4, 3, 3, 0)
     assert total["accounted_for"] and total["collection_complete"]
