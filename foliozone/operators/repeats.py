@@ -10,6 +10,11 @@ from foliozone.session import stage
 
 # Error codes and messages of failed rows.
 DUPLICATE = "duplicate_case_reference"
+REPEATED = (
+    "case reference ",
+    " is already used in this partition by ",
+    "; this row is a different document at ",
+)
 DUPLICATE_REASON = "case reference already seen in this partition"
 DOWNLOAD_ERROR = "DocumentDownloadError"
 DOWNLOAD_REASON = "document could not be downloaded"
@@ -45,14 +50,8 @@ def mark_repeats(items: DataFrame) -> DataFrame:
 
 
 def repeat_reason(identifier: Column, first_url: Column, url: Column) -> Column:
-    return F.concat(
-        F.lit("case reference "),
-        quoted(identifier),
-        F.lit(" is already used in this partition by "),
-        first_url,
-        F.lit("; this row is a different document at "),
-        url,
-    )
+    named, kept, this = (F.lit(part) for part in REPEATED)
+    return F.concat(named, quoted(identifier), kept, first_url, this, url)
 
 
 def with_failures(items: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from foliozone.operators import accounting, changes, listing, repeats
 from foliozone.plans.periods import join_cells
 from foliozone.session import stage
 from foliozone.sources.adapter import SourceAdapter
-from foliozone.sources.handoff import Capture
+from foliozone.sources.handoff import Capture, captured_rows
 from foliozone.sources.zones import Zone, kind_of, period_of
 
 STAGE = "ingest"
@@ -171,7 +171,9 @@ def capture_pages(
     """Captured listing pages and documents -> a capture, and the rows set aside.
 
     ``documents`` holds ``cell_seq, document_url, payload, served_content_type, error_code,
-    error_reason``, one row per fetched url and cell. Pages are parsed once and staged.
+    error_reason``, one row per fetched url and cell. Pages are parsed once and staged. Joining
+    the two tables shuffles the fetched payloads once; a hand-off that already carries its
+    payloads does without.
     """
     spark = pages.sparkSession
     read = stage(adapter.listing_rows(pages), "listing_rows")
@@ -184,8 +186,6 @@ def capture_pages(
     rejected = entries.filter("reject_reason IS NOT NULL")
     records = entries.filter("reject_reason IS NULL").drop("reject_reason", "page_number", "position")
     fetched = records.join(documents, ["cell_seq", "document_url"], "left")
-    from foliozone.sources.handoff import captured_rows
-
     items = stage(captured_rows(fetched), "captured_items")
     failures = walked.filter(unread).select("cell_seq", "page_number", "url", "error_code", "error_reason")
     return Capture.of(spark, items, listing.listing_totals(walked.filter(~unread)), failures), rejected
