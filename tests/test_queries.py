@@ -4,6 +4,8 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as contract
+from foliozone.checks.oracles import ORACLES
+from foliozone.checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,14 +16,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     outcome = compare(spark, con, contract.queries()[name], contract.oracle_sql()[name], SF)
     assert outcome.startswith("ok ") and "types differ" not in outcome, outcome
