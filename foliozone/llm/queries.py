@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination
+from foliozone.llm import decontamination, simhash, token_counts
 from foliozone.llm.tables import table
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.digest(decontamination.decontaminate(docs, items))
@@ -18,6 +26,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op7_token_counts,
+        op8_simhash_near_dedup,
         op10_benchmark_decontamination,
     )
 }
