@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from foliozone.llm.components import components
 from foliozone.llm.tables import small_batches, text_key
@@ -65,7 +66,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return out
 
 
-@arrow_udf("bigint")
+@arrow_udf(LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     found = np.fromiter((fingerprint((t or "").encode()) for t in texts.to_pylist()), dtype=np.uint64, count=len(texts))
     return pa.array(found.view(np.int64))

@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import json
 import re
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +42,23 @@ def vocabulary(name: str) -> tuple[str, str]:
     return public_tokenizers.path(f"{name}.json"), public_tokenizers.path(f"{name}.tiktoken")
 
 
-@cache
+_LOADED: dict[tuple[str, str], tuple[tiktoken.Encoding, re.Pattern | None]] = {}
+
+
 def _encoding(described: str, ranks: str) -> tuple[tiktoken.Encoding, re.Pattern | None]:
     """Once in a worker: the encoder, and the pattern of special strings."""
     import public_tokenizers
 
+    if (described, ranks) in _LOADED:
+        return _LOADED[described, ranks]
     with open(ranks, "rb") as lines:
         known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     with open(described, encoding="utf-8") as file:
         special = [x["content"] for x in json.load(file)["added_tokens"]]
     split = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={}), split
+    encoder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+    _LOADED[described, ranks] = encoder, split
+    return encoder, split
 
 
 def pieces(text: str, size: int = PIECE) -> list[str]:
