@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, simhash, token_counts
+from foliozone.llm import decontamination, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.repeated_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_substring_dedup,
         op7_token_counts,
         op8_simhash_near_dedup,
         op10_benchmark_decontamination,
@@ -34,6 +39,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL over the same tables.
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT rid, i, md5(array_to_string(w[i : i + 34], ' ')) AS g FROM s),
+r AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1),
+p AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM h SEMI JOIN r USING (g)),
+x AS (SELECT rid, count(*) AS n_removed, list(p) AS gone FROM p GROUP BY rid),
+k AS (SELECT doc_id, rid, w, coalesce(n_removed, 0) AS n_removed FROM d LEFT JOIN x USING (rid)),
+u AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+t AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept FROM u ANTI JOIN p USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k LEFT JOIN t USING (rid)
+""",
     "op10_benchmark_decontamination": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
