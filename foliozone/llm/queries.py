@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, simhash, substrings, token_counts
+from foliozone.llm import decontamination, licenses, quality, secret_scan, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
@@ -14,6 +14,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.repeated_spans(table(spark, sf_dir, "documents")))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.digest(decontamination.decontaminate(docs, items))
@@ -31,8 +43,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
+        op4_secret_scans,
+        op6_quality_rules,
         op7_token_counts,
         op8_simhash_near_dedup,
+        op9_license_scans,
         op10_benchmark_decontamination,
     )
 }
@@ -50,6 +65,25 @@ k AS (SELECT doc_id, rid, w, coalesce(n_removed, 0) AS n_removed FROM d LEFT JOI
 u AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
 t AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept FROM u ANTI JOIN p USING (rid, p) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k LEFT JOIN t USING (rid)
+""",
+    "op6_quality_rules": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT rid, i, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+r AS (SELECT rid, g FROM g GROUP BY rid, g HAVING count(*) > 1),
+n AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 3)) AS p FROM g SEMI JOIN r USING (rid, g)) GROUP BY rid),
+l AS (SELECT rid, source, line, length(line) AS chars, lower(trim(regexp_replace(line, '[0-9\x20\x09-\x0D]+', ' ', 'g'))) AS norm
+  FROM (SELECT rid, source, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
+c AS (SELECT l.source, norm FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, norm, docs HAVING count(DISTINCT rid) > 10 AND count(DISTINCT rid) > 0.02 * docs),
+a AS (SELECT rid, sum(chars) AS chars, count(*) - count(DISTINCT line) AS n_dup_lines, sum(CASE WHEN c.norm IS NULL THEN 0 ELSE chars END) AS lost
+  FROM l LEFT JOIN c ON l.source IS NOT DISTINCT FROM c.source AND l.norm = c.norm GROUP BY rid),
+b AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(chars, 0) AS chars, coalesce(lost, 0) AS lost
+  FROM d LEFT JOIN n USING (rid) LEFT JOIN a USING (rid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND chars - lost >= 0.5 * chars AS kept, CAST(lost AS BIGINT) AS n_chars_lost
+FROM b
 """,
     "op10_benchmark_decontamination": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
