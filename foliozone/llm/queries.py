@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, licenses, quality, secret_scan, simhash, substrings, token_counts
+from foliozone.llm import decontamination, language, licenses, main_text, quality, secret_scan, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.repeated_spans(table(spark, sf_dir, "documents")))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -42,7 +50,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_substring_dedup,
+        op3_html_extraction,
         op4_secret_scans,
         op6_quality_rules,
         op7_token_counts,
