@@ -1,8 +1,78 @@
-"""A training corpus out of raw documents, in stages."""
+"""A training corpus out of raw documents, in stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; all
+but the last return the columns of ``docs``. ``run`` writes every stage's result and reads it back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliozone.llm import decontamination, language, secret_scan, sentence_pieces, simhash
+from foliozone.llm.tables import small_batches, table, text_key
+from foliozone.session import stage
+
+#: A document goes if its language is unknown or less sure than this.
+LEAST_SCORE = 0.3
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter, and those whose language is not clear."""
+    small_batches(spark)
+    model = language.train(docs.filter(~language.held_out()))
+    found = docs.withColumn("_found", language.identified("text", model))
+    if not model.languages:  # nothing labelled to learn from: only texts without letters can be judged
+        return found.filter(F.col("text").rlike(r"\p{L}")).select(docs.columns)
+    return found.filter((F.col("_found.lang") != "und") & (F.col("_found.score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first document of every component of near-duplicates."""
+    return simhash.first_of_each(docs, simhash.near_duplicates(docs))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes documents that hold benchmark passages."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_bad_key")).distinct()
+    keyed = docs.withColumn("_text_key", text_key())
+    on = keyed["doc_id"].eqNullSafe(bad["_doc_id"]) & keyed["_text_key"].eqNullSafe(bad["_bad_key"])
+    return keyed.join(bad, on, "left_anti").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts; every document stays."""
+    found = secret_scan.scan(docs.withColumnsRenamed({c: f"_own_{c}" for c in ("base", "spans") if c in docs.columns}))
+    some = F.size("spans") > 0
+    clean = F.when(some, secret_scan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    columns = {c: F.col(f"_own_{c}") if c in ("base", "spans") else F.col(c) for c in docs.columns}
+    columns["text"] = clean
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(some, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return found.select(*(value.alias(name) for name, value in columns.items()))
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, the sampled pieces of the text and their number."""
+    ids = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"))
+    return ids.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"))
+
+
+STAGES = [
+    ("language ID", languages),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("secret scans", without_secrets),
+    ("SentencePiece encoding", tokenized),
+]
+
+#: Fingerprints, trained models and sampling have no SQL: tested against plain versions instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "_"))
+    return docs

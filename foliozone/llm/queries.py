@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, language, licenses, main_text, quality, secret_scan, simhash, substrings, token_counts
+from foliozone.llm import decontamination, language, licenses, main_text, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
@@ -26,6 +26,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_substring_dedup,
         op3_html_extraction,
         op4_secret_scans,
+        op5_sentencepiece,
         op6_quality_rules,
         op7_token_counts,
         op8_simhash_near_dedup,

@@ -260,6 +260,19 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return seen.join(rooted.select("fp", "root").join(smallest, "root"), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, one for each component.
+
+    A component without a doc_id that is not null keeps the row of the smallest text key.
+    """
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    kept = found.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_key")
+    keyed = docs.withColumn("_text_key", text_key())
+    kept = kept.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_key"})
+    on = keyed["doc_id"].eqNullSafe(kept["_doc_id"]) & keyed["_text_key"].eqNullSafe(kept["_key"])
+    return keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(docs.columns)
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The columns of the query."""
     return result.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
