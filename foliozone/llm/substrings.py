@@ -297,7 +297,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     found = keyed.join(wanted, same(keyed, wanted, "doc_id", "text_key")).select("whole", "n_words", "text", "keys")
     windows = found.mapInArrow(_candidate_windows(span), "whole bigint, n_words bigint, start int, h bigint, back bigint")
     windows = stage(windows, "windows")
-    again = windows.groupBy("h", "back").count().filter("count > 1").select("h", "back")
+    # written, so that the join below reads plain exchanges, whose hot partitions Spark can split
+    again = stage(windows.groupBy("h", "back").count().filter("count > 1").select("h", "back"), "repeated_hashes")
     hits = windows.join(again, ["h", "back"], "left_semi").groupBy("whole", "n_words").agg(F.collect_set("start").alias("starts"))
     # texts with copies go in whole: only the others are read again
     hits = stage(hits.join(copied, ["whole", "n_words"], "left_anti").join(texts.select("whole", "n_words", "rep"), ["whole", "n_words"]), "repeated_windows")
