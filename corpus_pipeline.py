@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliozone.llm import decontamination, language, secret_scan, sentence_pieces, simhash
-from foliozone.llm.tables import small_batches, table, text_key
+from foliozone.llm.tables import same, small_batches, table, wrapped
 from foliozone.session import stage
 
 #: A document goes if its language is unknown or less sure than this.
@@ -21,10 +21,10 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, and those whose language is not clear."""
     small_batches(spark)
     model = language.train(docs.filter(~language.held_out()))
-    found = docs.withColumn("_found", language.identified("text", model))
     if not model.languages:  # nothing labelled to learn from: only texts without letters can be judged
-        return found.filter(F.col("text").rlike(r"\p{L}")).select(docs.columns)
-    return found.filter((F.col("_found.lang") != "und") & (F.col("_found.score") >= LEAST_SCORE)).select(docs.columns)
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = wrapped(docs).select("doc", language.identified("text", model).alias("found"))
+    return found.filter((F.col("found.lang") != "und") & (F.col("found.score") >= LEAST_SCORE)).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,21 +35,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes documents that hold benchmark passages."""
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_bad_key")).distinct()
-    keyed = docs.withColumn("_text_key", text_key())
-    on = keyed["doc_id"].eqNullSafe(bad["_doc_id"]) & keyed["_text_key"].eqNullSafe(bad["_bad_key"])
-    return keyed.join(bad, on, "left_anti").select(docs.columns)
+    bad = found.filter("contaminated").select("doc_id", "text_key").distinct()
+    rows = wrapped(docs)
+    return rows.join(bad, same(rows, bad, "doc_id", "text_key"), "left_anti").select("doc.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; every document stays."""
-    found = secret_scan.scan(docs.withColumnsRenamed({c: f"_own_{c}" for c in ("base", "spans") if c in docs.columns}))
-    some = F.size("spans") > 0
-    clean = F.when(some, secret_scan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    columns = {c: F.col(f"_own_{c}") if c in ("base", "spans") else F.col(c) for c in docs.columns}
-    columns["text"] = clean
+    clean = F.when(F.size("spans") > 0, secret_scan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    found = secret_scan.scan(docs).select("doc", (F.size("spans") > 0).alias("changed"), clean.alias("clean"))
+    columns = {c: F.col("doc")[c] for c in docs.columns} | {"text": F.col("clean")}
     if "n_chars" in columns:
-        columns["n_chars"] = F.when(some, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        n = F.length("clean").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("changed"), n).otherwise(columns["n_chars"])
     return found.select(*(value.alias(name) for name, value in columns.items()))
 
 

@@ -237,10 +237,10 @@ def held_out() -> Column:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs``, and lang_pred, lang_score and lang_spans."""
+    """All columns of ``docs`` but those named lang_*, and lang_pred, lang_score and lang_spans."""
     small_batches(docs.sparkSession)
-    names = {"lang_pred": F.col("_found.lang"), "lang_score": F.col("_found.score"), "lang_spans": F.col("_found.spans")}
-    return docs.withColumn("_found", identified("text", model)).withColumns(names).drop("_found")
+    found = docs.select(*(c for c in docs.columns if not c.startswith("lang_")), identified("text", model).alias("lang_found"))
+    return found.withColumns({"lang_pred": F.col("lang_found.lang"), "lang_score": F.col("lang_found.score"), "lang_spans": F.col("lang_found.spans")}).drop("lang_found")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ with its number of characters and of tags, its container, and whether the page i
 something else than content (by element, role, class or id). On the other lines the text-to-tag
 ratio is smoothed with a Gaussian and split in two clusters by a threshold between their means, on
 a logarithmic scale; lines of the upper cluster are content. A region is content if it holds such a
-line: an ``article`` or ``main`` element where the page has one with text, else the container of
+line that also reaches the threshold by its own ratio: an ``article`` or ``main`` element where the page has one with text, else the container of
 the line. All unlabelled lines of content regions are kept, in page order, so that short paragraphs
 and headings stay with their article.
 
@@ -200,10 +200,13 @@ def content(lines: list[Line]) -> list[str]:
         lines = [x for x in lines if x.region]
     if not lines:
         return []
-    ratios = smoothed([math.log1p(len(x.text) / max(1, x.tags)) for x in lines])
+    own = [math.log1p(len(x.text) / max(1, x.tags)) for x in lines]
+    ratios = smoothed(own)
     cut = threshold(ratios)
     place = lambda x: (x.region, 0 if x.region else x.container)
-    regions = {place(x) for x, r in zip(lines, ratios, strict=True) if r >= cut}
+    # a line that is high by its neighbours alone makes no region
+    regions = {place(x) for x, r, o in zip(lines, ratios, own, strict=True) if r >= cut and o >= cut}
+    regions = regions or {place(lines[own.index(max(own))])}
     return [x.text for x in lines if place(x) in regions]
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone.llm.native import indices, let, matches, no_nulls
+from foliozone.llm.tables import wrapped
 
 #: The base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,7 +93,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
 
 
 def scan(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
-    """All columns of ``docs`` and ``base`` and ``spans``: arrays of (first, kind, end, found)."""
+    """doc (the whole row), doc_id, text, base and spans, the last two arrays of (first, kind, end, found)."""
     ratios = train(docs) if ratios is None else ratios
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     text = no_nulls()
@@ -105,7 +106,7 @@ def scan(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
     tokens = _of(text, TOKEN, 3)
     both = F.struct(base.alias("base"), tokens.alias("tokens"))
     added = let(both, lambda s: F.struct(s["base"].alias("base"), F.array_sort(F.concat(s["base"], F.filter(s["tokens"], lambda k: _outside(k, s["base"]) & likely(k["found"])))).alias("spans")))
-    return docs.withColumn("_scan", added).withColumns({"base": F.col("_scan.base"), "spans": F.col("_scan.spans")}).drop("_scan")
+    return wrapped(docs).select("doc", "doc_id", "text", added.alias("found")).select("doc", "doc_id", "text", "found.*")
 
 
 def described(spans: str) -> Column:
@@ -121,7 +122,11 @@ def digest(result: DataFrame) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, or spans that meet, replaced by ``mark``."""
+    """The text with every span, or spans that meet, replaced by ``mark``.
+
+    Not to be selected under the name of the text column beside other uses of it: inside lambdas
+    Spark would take the new column for the old.
+    """
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def cut(acc: Column, s: Column) -> Column:

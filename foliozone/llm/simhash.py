@@ -34,7 +34,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
 from foliozone.llm.components import components
-from foliozone.llm.tables import small_batches, text_key
+from foliozone.llm.tables import same, small_batches, text_key, wrapped
 from foliozone.session import stage
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -267,10 +267,8 @@ def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     kept = found.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_key")
-    keyed = docs.withColumn("_text_key", text_key())
-    kept = kept.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_key"})
-    on = keyed["doc_id"].eqNullSafe(kept["_doc_id"]) & keyed["_text_key"].eqNullSafe(kept["_key"])
-    return keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(docs.columns)
+    rows = wrapped(docs)
+    return rows.join(kept, same(rows, kept, "doc_id", "text_key"), "left_semi").dropDuplicates(["doc_id", "text_key"]).select("doc.*")
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -31,3 +31,9 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for name in names[1:]:
         on = on & left[name].eqNullSafe(right[name])
     return on
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """doc (the whole row), doc_id, text and text_key: names that meet no others; ``doc.*`` unwraps."""
+    row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("doc")
+    return docs.select(row, "doc_id", "text", text_key().alias("text_key"))
