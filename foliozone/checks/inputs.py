@@ -116,7 +116,7 @@ def order_items(spark: SparkSession, sf_dir: str, start: date, elapsed: str, edi
         *(c for c in records.columns if not c.startswith("o_")),
         F.when(~failed, F.encode(page, "UTF-8")).alias("payload"),
         F.when(failed & (F.col("description") != "5-LOW"), F.lit("504")).alias("error_code"),
-        F.when(failed, F.lit("504 Gateway Timeout")).alias("error_reason"),
+        F.when(failed, F.lit("no answer in time")).alias("error_reason"),
     )
 
 

@@ -183,24 +183,47 @@ SELECT 'content_fingerprint', count(*), CAST(count_if(regexp_replace(html, '<!--
        <> regexp_replace(again, '<!--\s*ad [^>]*-->', '', 'g')) AS BIGINT) FROM t"""
 
 ORACLES["reported_total"] = """
-SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderkey * 37 AS INTEGER) END AS reported_total FROM orders"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderkey * 3700000 AS BIGINT) END AS reported_total FROM orders"""
 
 ORACLES["captured_split"] = f"""
 WITH {RECORDS}
 SELECT cell_seq, item_seq, identifier, body_code, decision_date, document_url,
        CASE WHEN failed AND o_orderpriority <> '5-LOW' THEN '504' END AS error_code,
-       CASE WHEN failed THEN '504 Gateway Timeout' END AS error_reason FROM records"""
+       CASE WHEN failed THEN 'no answer in time' END AS error_reason FROM records"""
+
+ORACLES["handoff_bad_lines"] = """
+SELECT CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey END AS item_seq,
+       CASE WHEN o_orderkey % 9 <> 0 THEN 'record' ELSE 'handoff_line_unreadable' END AS outcome FROM orders"""
+
+ORACLES["unplaced_rows"] = f"""
+WITH {RECORDS}
+SELECT CASE WHEN item_seq % 5 = 0 THEN NULL WHEN item_seq % 7 = 0 THEN cell_seq + 1000000 ELSE cell_seq END AS cell_seq,
+       identifier, document_url AS url FROM records WHERE item_seq % 5 = 0 OR item_seq % 7 = 0 OR item_seq % 11 = 0"""
+
+ORACLES["listing_chain"] = """
+WITH filled AS (SELECT o_orderkey // 10 AS page, count(*) AS n FROM orders GROUP BY 1),
+cells AS (SELECT DISTINCT page // 10 AS cell_seq FROM filled),
+pages AS (SELECT page // 10 AS cell_seq, page % 10 + 1 AS page_number, n, page % 13 = 3 AS unread, page % 17 = 4 AS rejects FROM filled WHERE page % 19 <> 5
+          UNION ALL SELECT cell_seq, 11, 0, false, false FROM cells WHERE cell_seq % 2 = 0),
+seen AS (SELECT *, unread OR rejects OR n = 0 AS stop, row_number() OVER w AS place,
+                coalesce(sum(CASE WHEN unread OR rejects OR n = 0 THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped
+         FROM pages WINDOW w AS (PARTITION BY cell_seq ORDER BY page_number)),
+walked AS (SELECT * FROM seen WHERE place = page_number AND stopped = 0),
+ends AS (SELECT cell_seq, max(page_number) AS last, bool_or(stop) AS ended FROM walked GROUP BY 1)
+SELECT cell_seq, CAST(page_number AS INTEGER) AS page_number, CASE WHEN unread THEN 'unread' WHEN rejects THEN 'rejected' ELSE 'records' END AS outcome,
+       CASE WHEN unread THEN 1 ELSE n END AS n FROM walked WHERE n > 0
+UNION ALL SELECT cell_seq, CAST(coalesce(last, 0) + 1 AS INTEGER), 'listing_page_missing', 1 FROM cells LEFT JOIN ends USING (cell_seq) WHERE NOT coalesce(ended, false)"""
 
 _COUNTED = f"{RECORDS}, counted AS (SELECT cell_seq, body_code, count(*) AS n FROM records GROUP BY ALL)"
 
 ORACLES["handoff_totals"] = f"""
-WITH {_COUNTED} SELECT cell_seq, CAST(n AS INTEGER) AS reported_total FROM counted WHERE n % 2 = 0"""
+WITH {_COUNTED} SELECT cell_seq, n AS reported_total FROM counted WHERE n % 2 = 0"""
 
 _UNREAD = """
 unread AS (SELECT cell_seq, CAST(NULL AS VARCHAR) AS identifier,
          concat('https://example.test/en/search/?pageNumber=5&cell=', cell_seq) AS url,
          CASE WHEN n % 2 = 0 THEN '504' ELSE 'listing_page_unreadable' END AS error_code,
-         CASE WHEN n % 3 = 0 THEN '504 Gateway Timeout' ELSE 'listing page could not be read' END AS reason,
+         CASE WHEN n % 3 = 0 THEN 'no answer in time' ELSE 'listing page could not be read' END AS reason,
          true AS is_collection FROM counted WHERE body_code = 'o')
 """
 
@@ -233,7 +256,7 @@ SELECT item_seq // 10 AS cell_seq, CAST(item_seq % 10 AS INTEGER) AS position, {
 FROM records WHERE {_REJECT} IS NOT NULL"""
 
 ORACLES["listing_page_totals"] = """
-SELECT o_orderkey // 10 AS cell_seq, CAST(count(*) AS INTEGER) AS reported_total FROM orders GROUP BY 1"""
+SELECT o_orderkey // 10 AS cell_seq, count(*) AS reported_total FROM orders GROUP BY 1"""
 
 _SETTLED = f"""
 {RECORDS},
@@ -243,7 +266,7 @@ settled AS (SELECT *, CASE WHEN rn > 1 THEN 'duplicate_case_reference'
                            WHEN failed THEN CASE WHEN o_orderpriority <> '5-LOW' THEN '504' ELSE 'DocumentDownloadError' END END AS error_code,
                    CASE WHEN rn > 1 THEN concat('case reference ''', identifier, ''' is already used in this partition by ',
                              kept_url, '; this row is a different document at ', document_url)
-                        WHEN failed THEN '504 Gateway Timeout' END AS error_reason FROM numbered)
+                        WHEN failed THEN 'no answer in time' END AS error_reason FROM numbered)
 """
 
 ORACLES["repeat_references"] = f"""

@@ -307,7 +307,7 @@ def rerun_churn(spark, sf_dir):
 def reported_total(spark, sf_dir):
     """Counts printed in listing text, with thousands marks; a lone '1 result' is no total."""
     key = F.col("o_orderkey")
-    printed = F.format_number(key * 37, 0)
+    printed = F.format_number(key * 3700000, 0)
     shown = (
         F.when(key % 4 == 0, F.concat(F.lit("Showing 1 of "), printed, F.lit(" \n Results found")))
         .when(key % 4 == 1, F.concat(printed, F.lit("\xa0results, then 5 results")))
@@ -321,14 +321,14 @@ def _order_capture(spark, sf_dir) -> handoff.Capture:
     """Orders as a hand-off: every item, a total where it is even, an unread page for one body's cells."""
     start, _ = inputs.orders_range(spark, sf_dir)
     items = inputs.order_items(spark, sf_dir, start, "0")
-    per_cell = items.groupBy("cell_seq", "body_code").agg(F.count("*").cast("int").alias("n"))
+    per_cell = items.groupBy("cell_seq", "body_code").agg(F.count("*").alias("n"))
     totals = per_cell.select("cell_seq", F.when(F.col("n") % 2 == 0, F.col("n")).alias("reported_total"))
     busy = per_cell.filter("body_code = 'o'").select(
         "cell_seq",
         F.lit(5).alias("page_number"),
         F.concat(F.lit(f"{inputs.SITE}/en/search/?pageNumber=5&cell="), F.col("cell_seq").cast("string")).alias("url"),
         F.when(F.col("n") % 2 == 0, F.lit("504")).alias("error_code"),
-        F.when(F.col("n") % 3 == 0, F.lit("504 Gateway Timeout")).otherwise(F.lit("")).alias("error_reason"),
+        F.when(F.col("n") % 3 == 0, F.lit("no answer in time")).otherwise(F.lit("")).alias("error_reason"),
     )
     return handoff.Capture.of(spark, items, totals, busy)
 
@@ -357,6 +357,69 @@ def captured_split(spark, sf_dir):
     )
 
 
+@query
+def handoff_bad_lines(spark, sf_dir):
+    """A hand-off with cut lines and untyped rows: cut ones are failures, untyped ones records."""
+    import uuid
+
+    lines = handoff.to_lines(handoff.Capture.of(spark, inputs.order_items(spark, sf_dir, inputs.orders_range(spark, sf_dir)[0], "0")))
+    kind = F.when(F.col("item_seq") % 4 == 1, F.lit(None)).when(F.col("item_seq") % 4 == 2, F.lit("note")).otherwise(F.col("row_type"))
+    row = F.to_json(F.struct(*(kind.alias(c) if c == "row_type" else F.col(c) for c in lines.columns)))
+    path = f"{shared_folder(spark)}/handoff/{uuid.uuid4().hex}"
+    lines.select(F.when(F.col("item_seq") % 9 == 0, F.substring(row, 1, 30)).otherwise(row).alias("value")).write.text(path)
+    capture = handoff.split_lines(handoff.read_lines(spark, path))
+    return capture.items.select("item_seq", F.lit("record").alias("outcome")).unionByName(
+        capture.listing_failures.select(F.lit(None).cast("bigint").alias("item_seq"), F.col("error_code").alias("outcome"))
+    )
+
+
+@query
+def unplaced_rows(spark, sf_dir):
+    """Rows without a cell, of an unknown cell, and with another cell's label: all of them fail."""
+    start, end = inputs.orders_range(spark, sf_dir)
+    key = F.col("item_seq")
+    items = inputs.order_items(spark, sf_dir, start, "0").withColumns(
+        {
+            "cell_seq": F.when(key % 5 == 0, F.lit(None)).when(key % 7 == 0, F.col("cell_seq") + 1_000_000).otherwise(F.col("cell_seq")),
+            "partition_date": F.when(key % 11 == 0, F.lit("1900-01")).otherwise(F.col("partition_date")),
+        }
+    )
+    cells = periods.plan_cells(spark, inputs.ORDERS_SITE, start, end)
+    stored = spark.createDataFrame([], schemas.METADATA)
+    result = ingest.plan_ingest(handoff.Capture.of(spark, items), cells, stored, inputs.ORDERS_SITE, start, end)
+    return result.failures.filter(F.col("error_code") == repeats.UNPLACED).select("cell_seq", "identifier", "url")
+
+
+@query
+def listing_chain(spark, sf_dir):
+    """Listing chains with unread pages, pages of rejects, gaps, and ends that were never captured."""
+    key = F.col("item_seq")
+    entry = F.concat(
+        F.lit('<li class="each-item"><h2 class="title"><a href="'), F.col("document_url"), F.lit('">Case</a></h2>'),
+        F.when(F.col("page") % 17 == 4, F.lit("")).otherwise(F.lit('<span class="date">01/02/2024</span>')),
+        F.lit("</li>"),
+    )
+    rows = inputs.order_records(spark, sf_dir).select(F.floor(key / 10).cast("bigint").alias("page"), "document_url", "item_seq")
+    filled = rows.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("entries"))
+    empty = filled.select(F.floor(F.col("page") / 10).alias("c")).distinct().filter("c % 2 = 0")
+    pages = filled.filter("page % 19 <> 5").select(
+        F.floor(F.col("page") / 10).cast("bigint").alias("cell_seq"),
+        (F.col("page") % 10 + 1).cast("int").alias("page_number"),
+        F.when(F.col("page") % 13 != 3, F.encode("entries", "UTF-8")).alias("payload"),
+    ).unionByName(empty.select(F.col("c").cast("bigint").alias("cell_seq"), F.lit(11).alias("page_number"), F.encode(F.lit("<p>0 results</p>"), "UTF-8").alias("payload")))
+    none = F.lit(None).cast("string")
+    pages = stage(pages.withColumns({"url": none, "error_code": none, "error_reason": none}), "chain_pages")
+    cells = filled.select(F.floor(F.col("page") / 10).cast("bigint").alias("cell_seq")).distinct().withColumns(
+        {"label": F.lit("2024-02"), "body_code": F.lit("f"), "body_name": F.lit("Body f")}
+    )
+    documents = spark.createDataFrame([], "cell_seq BIGINT, document_url STRING, payload BINARY, served_content_type STRING, error_code STRING, error_reason STRING")
+    capture, rejected = ingest.capture_pages(pages, documents, stage(cells, "chain_cells"), inputs.ORDERS_SITE)
+    failed = capture.listing_failures.select("cell_seq", "page_number", F.coalesce("error_code", F.lit("unread")).alias("outcome"), F.lit(1).cast("bigint").alias("n"))
+    page = F.shiftright("item_seq", 32).cast("int").alias("page_number")
+    counts = lambda df, outcome: df.groupBy("cell_seq", page).agg(F.lit(outcome).alias("outcome"), F.count("*").alias("n"))
+    return failed.unionByName(counts(capture.items, "records")).unionByName(counts(rejected, "rejected"))
+
+
 @query
 def handoff_totals(spark, sf_dir):
     return _read_handoff(spark, sf_dir).totals
@@ -821,7 +884,7 @@ def ingest_run(spark, sf_dir):
     known = inputs.order_items(spark, sf_dir, start, "0")
     before = stage(known.filter(F.col("decision_date") < F.lit(middle)), "first_capture")
     after = stage(
-        inputs.order_items(spark, sf_dir, start, "0.0156", F.col("o_orderpriority") == "2-HIGH"), "second_capture"
+        inputs.order_items(spark, sf_dir, start, "0.27", F.col("o_orderpriority") == "2-HIGH"), "second_capture"
     )
     runs.ingest_date_range(space, inputs.ORDERS_SITE, handoff.Capture.of(spark, before), start, end, RUN_TS)
     second = runs.ingest_date_range(space, inputs.ORDERS_SITE, handoff.Capture.of(spark, after), start, end, RUN_TS)

@@ -21,7 +21,7 @@ _ISO = rf"^{_YEAR}-{_MONTH}-{_DAY}\z"
 
 def check_size(size: str) -> str:
     if size not in SIZES:
-        raise ValueError(f"unsupported partition size: {size}")
+        raise ValueError(f"periods are {', '.join(SIZES)}, not {size!r}")
     return size
 
 

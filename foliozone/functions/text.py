@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 # Unicode white space plus the four ASCII separators U+001C..U+001F.
 ANY_SPACE = r"(?U)[\s\x1c-\x1f]"
+#: The same characters one by one, for trimming.
+SPACES = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 INLINE_SPACE = r"[ \t\r\f\x0B]+"
 
 
 def strip(c: Column) -> Column:
     """Cut Unicode white space at both ends; ``trim`` would only cut U+0020."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -56,4 +58,4 @@ def reported_total(c: Column) -> Column:
     """The count a listing prints about itself: ``1,234 results`` -> 1234, else null."""
     # Fixed value: the phrase is part of the captured pages' format.
     digits = F.regexp_extract(c, r"(?iu)([0-9,]+)(?:[\s\x1c-\x1f\x85\xa0])+results", 1)
-    return F.replace(digits, F.lit(","), F.lit("")).try_cast("int")
+    return F.replace(digits, F.lit(","), F.lit("")).try_cast("bigint")

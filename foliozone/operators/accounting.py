@@ -23,10 +23,12 @@ def cell_summary(
 ) -> DataFrame:
     """One row per planned cell, including the ones that hold nothing.
 
-    ``outcomes`` needs ``cell_seq, action``; ``totals`` is the site's own count and, where it is
+    Rows and failures of no planned cell get a row without partition, which is never complete, so
+    that nothing that was captured leaves the count. (A total alone, of a cell that another run
+    plans, is nobody's row.) ``outcomes`` needs ``cell_seq, action``; ``totals`` is the site's own count and, where it is
     absent, found means collected, which reconciles trivially unless a collection failed.
     """
-    none = F.lit(None).cast("int")
+    none = F.lit(None).cast("bigint")
 
     def contribution(df: DataFrame, **values: Column) -> DataFrame:
         columns = {"action": F.lit(None).cast("string"), "collected": F.lit(0), "unread": F.lit(0), "total": none, **values}
@@ -46,7 +48,8 @@ def cell_summary(
         F.sum("unread").alias("unread"),
         F.max("total").alias("reported_total"),
     )
-    joined = cells.join(counted, "cell_seq", "left")
+    planned = cells.withColumn("planned", F.lit(True))
+    joined = planned.join(counted, "cell_seq", "full").filter("planned OR collected > 0 OR unread > 0")
 
     def or_zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
@@ -61,7 +64,7 @@ def cell_summary(
         or_zero("records_written").alias("records_written"),
         or_zero("records_unchanged").alias("records_unchanged"),
         failed.alias("records_failed"),
-        (or_zero("unread") == 0).alias("collection_complete"),
+        (F.col("planned").isNotNull() & (or_zero("unread") == 0)).alias("collection_complete"),
     ).withColumn("accounted_for", accounted_for())
 
 
@@ -80,7 +83,7 @@ def run_summary(summary: DataFrame, stage: str, source: str, start: date, end: d
         return F.coalesce(F.bool_and(name), F.lit(True)).alias(name)
 
     return summary.agg(
-        F.count("*").alias("partitions"),
+        F.count("partition").alias("partitions"),
         *(total(n) for n in ("records_found", "records_written", "records_unchanged", "records_failed")),
         every("collection_complete"),
         every("accounted_for"),
@@ -107,7 +110,7 @@ def failure_rows(cells: DataFrame, stage: str, failed: DataFrame, collection_fai
     named = cells.select("cell_seq", F.col("label").alias("partition"), F.col("body_code").alias("body"))
     return (
         records.unionByName(collection_failures)
-        .join(named, "cell_seq")
+        .join(named, "cell_seq", "left")
         .select(
             F.lit(stage).alias("stage"),
             "cell_seq",
@@ -126,10 +129,6 @@ def failure_breakdown(failures: DataFrame) -> DataFrame:
     return failures.groupBy("stage", "error_code").agg(F.count("*").alias("failures"))
 
 
-def normalise_failure(error_code: Column, error_type: Column) -> Column:
-    return F.coalesce(error_code, error_type)
-
-
 def dead_cells_as_failures(dead: DataFrame) -> DataFrame:
     return dead.select(
         "cell_seq",

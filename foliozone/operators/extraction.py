@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from foliozone.functions import keys
 from foliozone.sources import markup
 
+# Fixed value: the reason of a page without content.
 NO_CONTAINER = "no decision content container found on page"
 
 

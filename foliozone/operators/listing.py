@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone.functions import dates, keys, text
-from foliozone.plans.periods import join_cells
 from foliozone.sources import markup
 
 _ROW = "struct<href:string,link_text:string,date_text:string,reference:string,description:string>"
@@ -19,6 +18,8 @@ _TOTAL = re.compile(r"([\d,]+)\s+results", re.IGNORECASE)
 
 INCOMPLETE = "listing_row_incomplete"
 BAD_DATE = "listing_row_bad_date"
+NO_END = "listing_page_missing"
+NO_END_REASON = "the listing was not read to its end: no page "
 
 
 def read_listing_rows(pages: DataFrame, profile) -> DataFrame:
@@ -91,6 +92,25 @@ def trim_chain(pages: DataFrame, is_stop: Column) -> DataFrame:
     )
 
 
+def open_chains(walked: DataFrame, is_stop: Column, cells: DataFrame) -> DataFrame:
+    """Listing failures of cells whose chain was not read to its end.
+
+    A chain ends in an empty or unread page. If the last page that a walk reached holds rows, the
+    next one is missing: it was never captured, or numbering has a gap there. A planned cell
+    without any page misses the first.
+    """
+    last = walked.groupBy("cell_seq").agg(F.max("page_number").alias("last"), F.bool_or(is_stop).alias("ended"))
+    missing = last.filter(~F.col("ended")).select("cell_seq", (F.col("last") + 1).cast("int").alias("page_number"))
+    unseen = cells.select("cell_seq").distinct().join(last, "cell_seq", "left_anti").select("cell_seq", F.lit(1).alias("page_number"))
+    return missing.unionByName(unseen).select(
+        "cell_seq",
+        "page_number",
+        F.lit(None).cast("string").alias("url"),
+        F.lit(NO_END).alias("error_code"),
+        F.concat(F.lit(NO_END_REASON), F.col("page_number").cast("string")).alias("error_reason"),
+    )
+
+
 def listing_totals(read: DataFrame) -> DataFrame:
     """The reported total per cell, from page one only; cells that print none are absent."""
     total = text.reported_total(F.col("total_text"))
@@ -104,7 +124,8 @@ def listing_totals(read: DataFrame) -> DataFrame:
 def listing_records(read: DataFrame, cells: DataFrame, adapter) -> DataFrame:
     """One row per listing entry with its record columns and, for bad entries, ``reject_reason``.
 
-    A row without link or date, or with a date in no known shape, is never guessed at.
+    A row without link or date, or with a date in no known shape, is never guessed at. Rows of a
+    page whose cell is not planned keep a null label and body.
     """
     url = adapter.absolute_url(F.col("href"))
     title = text.collapse_whitespace(F.col("link_text"))
@@ -114,12 +135,12 @@ def listing_records(read: DataFrame, cells: DataFrame, adapter) -> DataFrame:
         .select("cell_seq", "page_number", "position", "entry.*")
         .withColumn("decision_date", dates.parse_date(F.col("date_text")))
     )
-    return join_cells(entries, cells.select("cell_seq", "label", "body_code", "body_name")).select(
+    return entries.join(cells.select("cell_seq", "label", "body_code", "body_name"), "cell_seq", "left").select(
         "cell_seq",
         "page_number",
         "position",
-        # page and position in one ascending number; a page holds far fewer than 2^20 rows
-        (F.shiftleft(F.col("page_number").cast("bigint"), 20) + F.col("position")).alias("item_seq"),
+        # page and position in one ascending number; an array holds fewer than 2^32 rows
+        (F.shiftleft(F.col("page_number").cast("bigint"), 32) + F.col("position")).alias("item_seq"),
         F.coalesce(text.collapse_whitespace(F.col("reference")), title).alias("identifier"),
         "body_code",
         "body_name",

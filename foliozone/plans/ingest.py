@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone import schemas
@@ -33,20 +33,42 @@ class StageResult:
 def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) -> DataFrame:
     """Captured rows without their payloads: both hashes and the landing key are taken at the scan."""
     payload = F.col("payload")
-    named = join_cells(
-        items.select(
-            "cell_seq",
-            "item_seq",
-            *schemas.RECORD_COLUMNS,
-            "error_code",
-            "error_reason",
-            payload.isNotNull().alias("has_payload"),
-            hashing.content_hash(payload).alias("file_hash"),
-            hashing.content_hash(adapter.normalise(payload, F.col("content_type"))).alias("content_fingerprint"),
-        ),
-        cells.select("cell_seq", F.col("label").alias("cell_label"), F.col("body_code").alias("cell_body")),
+    named = items.select(
+        "cell_seq",
+        "item_seq",
+        *schemas.RECORD_COLUMNS,
+        "error_code",
+        "error_reason",
+        payload.isNotNull().alias("has_payload"),
+        hashing.content_hash(payload).alias("file_hash"),
+        hashing.content_hash(adapter.normalise(payload, F.col("content_type"))).alias("content_fingerprint"),
+        F.monotonically_increasing_id().alias("row_id"),  # kept once staged
+    ).join(_named_cells(cells), "cell_seq", "left")
+    return (
+        named.withColumn("file_path", _landing_key(adapter))
+        .withColumns(
+            {
+                "error_code": F.when(placed_row(), F.col("error_code")).otherwise(repeats.UNPLACED),
+                "error_reason": F.when(placed_row(), F.col("error_reason")).otherwise(repeats.UNPLACED_REASON),
+            }
+        )
+        .drop("cell_label", "cell_body")
     )
-    return named.withColumn("file_path", _landing_key(adapter)).drop("cell_label", "cell_body")
+
+
+def _named_cells(cells: DataFrame) -> DataFrame:
+    return cells.select("cell_seq", F.col("label").alias("cell_label"), F.col("body_code").alias("cell_body"))
+
+
+def placed_row() -> Column:
+    """Whether a row's cell is planned and is the one that the row itself names.
+
+    Ordinals mean nothing across grids, so the label and body that a row carries have to agree;
+    a row that carries none goes by its ordinal.
+    """
+    label = F.coalesce("partition_date", "cell_label") == F.col("cell_label")
+    body = F.coalesce("body_code", "cell_body") == F.col("cell_body")
+    return F.coalesce(label & body, F.lit(False))
 
 
 def _landing_key(adapter: SourceAdapter):
@@ -153,7 +175,7 @@ def ingest(
     capture = reachable(capture)
     decided = decide(capture.items, cells, before.current(), adapter)
     if not decided.filter("keep_metadata").isEmpty():
-        on = ["cell_seq", "item_seq"]
+        on = ["cell_seq", "item_seq", "document_url"]
         payloads = changes.matching(capture.items, decided, on, F.col("keep_object"))
         zone.append(
             run_seq,
@@ -171,21 +193,26 @@ def capture_pages(
     """Captured listing pages and documents -> a capture, and the rows set aside.
 
     ``documents`` holds ``cell_seq, document_url, payload, served_content_type, error_code,
-    error_reason``, one row per fetched url and cell. Pages are parsed once and staged. Joining
+    error_reason``, one row per fetched url and cell. Pages are parsed once and staged; a chain
+    that does not end is a listing failure of its cell. Joining
     the two tables shuffles the fetched payloads once; a hand-off that already carries its
     payloads does without.
     """
     spark = pages.sparkSession
     read = stage(adapter.listing_rows(pages), "listing_rows")
-    walked = pages.drop("payload").join(
-        read.withColumn("rows_found", F.size("rows")), ["cell_seq", "page_number"], "left"
-    )
-    unread = F.col("rows_found").isNull()
-    walked = listing.trim_chain(walked, unread | (F.col("rows_found") == 0))
-    entries = listing.listing_records(walked.filter(~unread), cells, adapter)
-    rejected = entries.filter("reject_reason IS NOT NULL")
-    records = entries.filter("reject_reason IS NULL").drop("reject_reason", "page_number", "position")
+    entries = stage(listing.listing_records(read, cells, adapter), "listing_entries")
+    accepted = F.count_if(F.col("reject_reason").isNull())
+    yields = entries.groupBy("cell_seq", "page_number").agg(accepted.alias("accepted"))
+    was_read = read.select("cell_seq", "page_number", "total_text").withColumn("was_read", F.lit(True))
+    narrow = pages.drop("payload").join(was_read, ["cell_seq", "page_number"], "left").join(yields, ["cell_seq", "page_number"], "left")
+    # a page that yields no record ends the walk, whatever it lists
+    stop = F.col("was_read").isNull() | (F.coalesce("accepted", F.lit(0)) == 0)
+    walked = stage(listing.trim_chain(narrow, stop).withColumn("stop", stop), "walked_pages")
+    reached = entries.join(walked.select("cell_seq", "page_number").distinct(), ["cell_seq", "page_number"], "left_semi")
+    rejected = reached.filter("reject_reason IS NOT NULL")
+    records = reached.filter("reject_reason IS NULL").drop("reject_reason", "page_number", "position")
     fetched = records.join(documents, ["cell_seq", "document_url"], "left")
     items = stage(captured_rows(fetched), "captured_items")
-    failures = walked.filter(unread).select("cell_seq", "page_number", "url", "error_code", "error_reason")
-    return Capture.of(spark, items, listing.listing_totals(walked.filter(~unread)), failures), rejected
+    failures = walked.filter("was_read IS NULL").select("cell_seq", "page_number", "url", "error_code", "error_reason")
+    failures = failures.unionByName(listing.open_chains(walked, F.col("stop"), cells))
+    return Capture.of(spark, items, listing.listing_totals(walked.filter("was_read")), failures), rejected

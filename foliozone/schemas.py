@@ -23,7 +23,7 @@ OBJECTS = (
 
 CAPTURED = f"cell_seq BIGINT, item_seq BIGINT, {RECORD}, payload BINARY, error_code STRING, error_reason STRING"
 LISTING_FAILURES = "cell_seq BIGINT, page_number INT, url STRING, error_code STRING, error_reason STRING"
-TOTALS = "cell_seq BIGINT, reported_total INT"
+TOTALS = "cell_seq BIGINT, reported_total BIGINT"
 DEAD_CELLS = "cell_seq BIGINT, reason STRING"
 CELLS = (
     "cell_seq BIGINT, start DATE, end DATE, label STRING, body_code STRING, body_name STRING, external_id STRING"
@@ -35,7 +35,7 @@ HANDOFF = (
     "row_type STRING, cell_seq BIGINT, item_seq BIGINT, identifier STRING, body_code STRING, body_name STRING, "
     "title STRING, description STRING, decision_date STRING, source_url STRING, document_url STRING, "
     "partition_date STRING, content_type STRING, source_name STRING, local_path STRING, "
-    "error_code STRING, error_reason STRING, reported_total INT, url STRING, page_number INT"
+    "error_code STRING, error_reason STRING, reported_total BIGINT, url STRING, page_number INT, byte_count BIGINT"
 )
 
 FAILURES = (

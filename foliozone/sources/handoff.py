@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -15,6 +17,9 @@ from foliozone.functions import keys, text
 # The three kinds of row.
 RECORD, SUMMARY, LISTING_FAILURE = "record", "summary", "listing_failure"
 
+BAD_LINE = "handoff_line_unreadable"
+BAD_LINE_REASON = "not a JSON object: "
+
 
 @dataclass(frozen=True)
 class Capture:
@@ -41,6 +46,10 @@ class Capture:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Hand-off rows with their position. Blank lines are skipped; a missing path is an empty table.
 
+    A line that is no JSON object becomes a listing failure of its folder's cell, or of no cell,
+    so that no run with such a line reconciles. A row of any other type than summary and listing
+    failure, or of none, is a record.
+
     Cells come from the rows, or from ``cell_seq=N`` directories. ``line_order`` sorts the lines
     of one file as written: split offset, then order inside the split. Rows that carry no
     ``item_seq`` get one from it: the offset plus the line's ordinal in its task, which grows
@@ -58,21 +67,28 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         return empty.withColumn("line_order", F.lit(None).cast("struct<split:bigint,line:bigint>"))
     folder_cell = F.col("cell_seq").cast("bigint") if "cell_seq" in lines.columns else F.lit(None).cast("bigint")
     ordinal = F.col("line_order.line").bitwiseAND(F.lit((1 << 33) - 1))
+    bad = F.col("row").isNull() | F.col("row._bad").isNotNull()
+    given = lambda name: F.when(~bad, F.col(f"row.{name}"))
+    kind = F.when(bad, LISTING_FAILURE).when(F.col("row.row_type").isin(SUMMARY, LISTING_FAILURE), F.col("row.row_type"))
     filled = {
-        "cell_seq": F.coalesce("row.cell_seq", "folder_cell"),
-        "item_seq": F.coalesce(F.col("row.item_seq"), F.col("line_order.split") + ordinal),
+        "row_type": F.coalesce(kind, F.lit(RECORD)),
+        "error_code": F.when(bad, BAD_LINE).otherwise(F.col("row.error_code")),
+        "error_reason": F.when(bad, F.concat(F.lit(BAD_LINE_REASON), F.substring("value", 1, 200))).otherwise(F.col("row.error_reason")),
+        "cell_seq": F.coalesce(given("cell_seq"), "folder_cell"),
+        "item_seq": F.coalesce(given("item_seq"), F.col("line_order.split") + ordinal),
     }
     return (
         lines.select(
-            F.from_json("value", schemas.HANDOFF).alias("row"),
+            F.from_json("value", f"{schemas.HANDOFF}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"}).alias("row"),
             folder_cell.alias("folder_cell"),
             F.struct(
                 F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")
             ).alias("line_order"),
+            "value",
             (text.strip(F.col("value")) == "").alias("blank"),
         )
         .filter("NOT blank")
-        .select(*(filled.get(name, F.col(f"row.{name}")).alias(name) for name, _ in columns), "line_order")
+        .select(*(filled.get(name, given(name)).alias(name) for name, _ in columns), "line_order")
     )
 
 
@@ -90,14 +106,19 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
         keys.path_only(F.nullif(F.col("local_path"), F.lit(""))).alias("local_path"),
         "error_code",
         "error_reason",
+        "byte_count",
     )
     if payloads is None:
         payloads = spark.createDataFrame([], "path STRING, content BINARY")
     files = payloads.select(keys.path_only(F.col("path")).alias("local_path"), F.col("content").alias("payload"))
-    files = files.unionByName(_empty_files(records.select("local_path"), files.select("local_path")))
+    uncounted = records.filter("byte_count IS NULL").select("local_path")
+    files = files.unionByName(_empty_files(uncounted, files.select("local_path")))
+    empty = (F.col("byte_count") == 0) & F.col("local_path").isNotNull()
     return Capture.of(
         spark,
-        records.join(files, "local_path", "left").drop("local_path"),
+        records.join(files, "local_path", "left")
+        .withColumn("payload", F.coalesce("payload", F.when(empty, F.lit(b""))))
+        .drop("local_path", "byte_count"),
         lines.filter(F.col("row_type") == SUMMARY)
         .groupBy("cell_seq")
         .agg(F.max_by("reported_total", "line_order").alias("reported_total"))
@@ -111,7 +132,8 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
 def _empty_files(recorded: DataFrame, listed: DataFrame) -> DataFrame:
     """Payloads of no bytes. File sources skip empty files, so paths they did not list are looked up.
 
-    An empty payload is a success and a missing file is not, so the two must not be confused.
+    An empty payload is a success and a missing file is not, so the two must not be confused. Rows
+    that carry their ``byte_count`` need no look at the store.
     """
 
     def look_up(batches):
@@ -126,7 +148,9 @@ def _empty_files(recorded: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def _size(path: str) -> int | None:
-    files, inside = fs.FileSystem.from_uri(path)
+    """Spark's names of S3 stores are one scheme here; a relative path is one of the local disk."""
+    path = re.sub(r"^s3[an]://", "s3://", path)
+    files, inside = fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
     return files.get_file_info(inside).size
 
 

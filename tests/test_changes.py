@@ -34,14 +34,14 @@ def test_a_failed_first_row_still_owns_its_reference(spark):
     got = settle(
         spark,
         [
-            (0, 1, "b", "R", "u1", False, "504", "504 Gateway Timeout"),
+            (0, 1, "b", "R", "u1", False, "504", "no answer in time"),
             (0, 2, "b", "R", "u2", True, None, None),
             (0, 3, "b", "S", "u3", False, "", None),
             (0, 4, "b", "T", "u4", True, "504", "late note"),
             (0, 5, "b", "U", "u5", True, "duplicate_case_reference", None),
         ],
     )
-    assert got[(0, 1)] == ("504", "504 Gateway Timeout")
+    assert got[(0, 1)] == ("504", "no answer in time")
     assert got[(0, 2)][0] == "duplicate_case_reference"
     assert got[(0, 3)] == ("DocumentDownloadError", "document could not be downloaded")
     # an error note beside a payload is not a failure

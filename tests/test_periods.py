@@ -20,7 +20,7 @@ def test_a_year_is_twelve_months(spark):
 @pytest.mark.parametrize("size", dates.SIZES)
 @pytest.mark.parametrize(
     "start,end",
-    [(date(2024, 1, 15), date(2024, 4, 3)), (date(2023, 12, 31), date(2024, 1, 1)), (date(2024, 2, 1), date(2024, 3, 1))],
+    [(date(2024, 5, 9), date(2024, 7, 21)), (date(2023, 12, 31), date(2024, 1, 1)), (date(2024, 2, 1), date(2024, 3, 1))],
 )
 def test_windows_cover_each_day_once(spark, start, end, size):
     got = windows(spark, start, end, size)
@@ -35,11 +35,11 @@ def test_weekly_windows_open_on_the_first_day_of_the_range(spark):
 
 
 def test_inverted_and_unknown_are_refused(spark):
-    with pytest.raises(ValueError, match="must be after"):
+    with pytest.raises(ValueError, match="half-open range"):
         periods.plan_windows(spark, date(2024, 1, 2), date(2024, 1, 2), "daily")
-    with pytest.raises(ValueError, match="unsupported"):
+    with pytest.raises(ValueError, match="periods are"):
         periods.plan_windows(spark, date(2024, 1, 1), date(2024, 1, 2), "hourly")
-    with pytest.raises(ValueError, match="unknown body codes: x, y"):
+    with pytest.raises(ValueError, match="no body 'x' or 'y'"):
         periods.plan_cells(spark, ADAPTER, date(2024, 1, 1), date(2024, 1, 2), "daily", ("first", "x", "y"))
 
 
@@ -63,7 +63,7 @@ def test_cells_keep_request_order_and_repeats(spark):
 
 def test_date_arguments_may_be_text():
     assert {periods.as_date(v) for v in ("05/02/2024", "2024-02-05", " 05-02-2024 ", date(2024, 2, 5))} == {date(2024, 2, 5)}
-    with pytest.raises(ValueError, match="unrecognised"):
+    with pytest.raises(ValueError, match="no date such as"):
         periods.as_date("5 Feb 2024")
 
 

@@ -60,7 +60,7 @@ def test_repeat_counting_combines_before_the_shuffle(items, monkeypatch):
     repeats.mark_repeats(items)
     before_shuffle = seen[0][seen[0].index("Exchange") :]
     assert "Aggregate" in before_shuffle.split("Scan parquet")[0]
-    assert re.search(r"ReadSchema: struct<cell_seq:bigint,item_seq:bigint,identifier:string,body_code:string,document_url:string>", seen[0])
+    assert re.search(r"ReadSchema: struct<cell_seq:bigint,item_seq:bigint,identifier:string,body_code:string,document_url:string,error_code:string>", seen[0])
 
 
 def test_range_scan_prunes_and_pushes_down(spark, tmp_path):

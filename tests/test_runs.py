@@ -32,7 +32,7 @@ def capture(spark, page=decision(), first=THREE_ROWS, dead=(), unread=()):
         if cell in dead:
             continue
         if cell in unread:
-            rows.append((cell, 1, "https://site.example/?pageNumber=1", None, "504", "504 Gateway Timeout"))
+            rows.append((cell, 1, "https://site.example/?pageNumber=1", None, "504", "no answer in time"))
         elif cell == 0:
             rows += [(0, 1, "u", bytearray(first), None, None), (0, 2, "u", bytearray(NO_ROWS), None, None)]
         else:
@@ -77,7 +77,7 @@ def test_first_run_stores_every_record(spark, workspace):
 def test_second_run_writes_nothing_when_only_the_render_time_moved(spark, workspace):
     runs.ingest_date_range(workspace, ADAPTER, capture(spark), JAN, FEB, RUN_TS)
     before = landing_state(workspace)
-    again = runs.ingest_date_range(workspace, ADAPTER, capture(spark, decision(elapsed="0.0156031")), JAN, FEB, RUN_TS)
+    again = runs.ingest_date_range(workspace, ADAPTER, capture(spark, decision(elapsed="0.31")), JAN, FEB, RUN_TS)
     total = only(again.run_summary)
     assert (total["records_written"], total["records_unchanged"]) == (0, 3)
     assert landing_state(workspace) == before and workspace.landing.snapshot().runs == (1,)
