@@ -930,7 +930,7 @@ def curated_objects(spark, sf_dir):
 def full_run(spark, sf_dir):
     """Both stages twice over all pages; only volatile markers moved. Summaries of the second time."""
     _, (first, second, _) = _pages_run(spark, sf_dir, repeat=True)
-    return first.run_summary.unionByName(second.run_summary)
+    return first.run_summary.unionByName(second.run_summary).drop("duration_seconds")
 
 
 @query

@@ -140,6 +140,11 @@ def dead_cells_as_failures(dead: DataFrame) -> DataFrame:
     )
 
 
+def failure_lines(failures: DataFrame) -> DataFrame:
+    """Failures in their one-line form, under the names that such lines carry."""
+    return as_lines(failures.withColumnsRenamed({"identifier": "failed_identifier", "url": "failed_url"}))
+
+
 def as_lines(summary: DataFrame) -> DataFrame:
     """The one-line JSON form of summaries and failures."""
     return summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))

@@ -83,13 +83,12 @@ def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def stamp(rows: DataFrame, run_ts: Column, run_seq: int) -> DataFrame:
+def stamp(rows: DataFrame, run_ts: Column) -> DataFrame:
     """Storage columns of the rows about to be persisted; one clock value for the whole run."""
     return rows.withColumns(
         {
             "storage_id": keys.storage_id(F.col("body_code"), F.col("identifier")),
             "scraped_at": run_ts,
-            "run_seq": F.lit(run_seq).cast("bigint"),
         }
     )
 

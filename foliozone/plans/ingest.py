@@ -142,7 +142,7 @@ def plan_ingest(
     )
 
 
-def landing_objects(items: DataFrame, cells: DataFrame, adapter: SourceAdapter, run_seq: int) -> DataFrame:
+def landing_objects(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) -> DataFrame:
     """Captured rows in the shape of stored objects, computed in place from their own columns."""
     named = join_cells(
         items, cells.select("cell_seq", F.col("label").alias("cell_label"), F.col("body_code").alias("cell_body"))
@@ -152,7 +152,6 @@ def landing_objects(items: DataFrame, cells: DataFrame, adapter: SourceAdapter,
             "object_key": _landing_key(adapter),
             "period": period_of(F.col("decision_date")),
             "kind": kind_of(F.col("content_type")),
-            "run_seq": F.lit(run_seq).cast("bigint"),
         }
     )
 
@@ -171,16 +170,15 @@ def ingest(
     ``capture.items`` must be a stored table (hand-off or staged), as it is scanned twice.
     """
     before = zone.snapshot()
-    run_seq = max(before.runs, default=0) + 1
     capture = reachable(capture)
-    decided = decide(capture.items, cells, before.current(), adapter)
+    decided = decide(capture.items, cells, before.current(tuple(b.code for b in adapter.bodies())), adapter)
     if not decided.filter("keep_metadata").isEmpty():
         on = ["cell_seq", "item_seq", "document_url"]
         payloads = changes.matching(capture.items, decided, on, F.col("keep_object"))
         zone.append(
-            run_seq,
-            landing_objects(payloads, cells, adapter, run_seq),
-            changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts), run_seq),
+            before,
+            landing_objects(payloads, cells, adapter),
+            changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)),
         )
     return account(
         decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"

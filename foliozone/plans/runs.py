@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -9,11 +10,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliozone import schemas
 from foliozone.operators import accounting
 from foliozone.plans import ingest as ingest_stage
 from foliozone.plans import transform as transform_stage
 from foliozone.plans.ingest import StageResult
 from foliozone.plans.periods import as_date, plan_cells, window_starting_at
+from foliozone.session import released
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture
 from foliozone.sources.zones import RunLog, Zone
@@ -40,14 +43,16 @@ class Workspace:
 
 
 def _logged(
-    workspace: Workspace, result: StageResult, stage: str, source: str, start: date, end: date, run_ts: datetime
+    workspace: Workspace, result: StageResult, stage: str, source: str, start: date, end: date, run_ts: datetime, began: float
 ) -> StageResult:
-    """Store the run's summaries and failures and return them as stored."""
+    """Store the run's outcomes, summaries and failures and return them as stored."""
     run_id, stamp = f"{stage}-{uuid.uuid4().hex}", F.lit(run_ts)
     cells = workspace.log.append("cell_summary", run_id, result.cell_summary.withColumn("run_ts", stamp))
-    total = accounting.run_summary(cells, stage, source, start, end)
+    outcomes = result.decided.select(*(part.split()[0] for part in schemas.OUTCOMES.split(", ")))
+    outcomes = workspace.log.append("outcomes", run_id, outcomes.withColumn("run_ts", stamp)).drop("run_ts")
+    total = accounting.run_summary(cells, stage, source, start, end).withColumn("duration_seconds", F.lit(round(time.monotonic() - began, 3)))
     return StageResult(
-        result.decided,
+        outcomes,
         cells.drop("run_ts"),
         workspace.log.append("run_summary", run_id, total.withColumn("run_ts", stamp)).drop("run_ts"),
         workspace.log.append("failures", run_id, result.failures.withColumn("run_ts", stamp)).drop("run_ts"),
@@ -65,9 +70,11 @@ def ingest_date_range(
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
     start, end = as_date(start), as_date(end)
+    began = time.monotonic()
     cells = plan_cells(workspace.spark, adapter, start, end, size, body_codes)
-    result = ingest_stage.ingest(workspace.landing, capture, cells, adapter, start, end, run_ts)
-    return _logged(workspace, result, ingest_stage.STAGE, adapter.name, start, end, run_ts)
+    with released(workspace.spark):
+        result = ingest_stage.ingest(workspace.landing, capture, cells, adapter, start, end, run_ts)
+        return _logged(workspace, result, ingest_stage.STAGE, adapter.name, start, end, run_ts, began)
 
 
 def transform_date_range(
@@ -80,11 +87,13 @@ def transform_date_range(
     body_codes: tuple[str, ...] | None = None,
 ) -> StageResult:
     start, end = as_date(start), as_date(end)
+    began = time.monotonic()
     cells = plan_cells(workspace.spark, adapter, start, end, size, body_codes)
-    result = transform_stage.transform(
-        workspace.landing, workspace.curated, cells, adapter, start, end, run_ts, size, body_codes
-    )
-    return _logged(workspace, result, transform_stage.STAGE, adapter.name, start, end, run_ts)
+    with released(workspace.spark):
+        result = transform_stage.transform(
+            workspace.landing, workspace.curated, cells, adapter, start, end, run_ts, size, body_codes
+        )
+        return _logged(workspace, result, transform_stage.STAGE, adapter.name, start, end, run_ts, began)
 
 
 def ingest_single_cell(

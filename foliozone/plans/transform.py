@@ -187,7 +187,7 @@ def account_transform(decided: DataFrame, cells: DataFrame, adapter: SourceAdapt
 
 
 def curated_objects(
-    content: DataFrame, decided: DataFrame, adapter: SourceAdapter, start: date, end: date, size: str, run_seq: int
+    content: DataFrame, decided: DataFrame, adapter: SourceAdapter, start: date, end: date, size: str
 ) -> DataFrame:
     """Cleaned bytes of the written records, as stored objects.
 
@@ -226,7 +226,6 @@ def curated_objects(
             "source_name": F.lit(adapter.name),
             "period": period_of(F.col("decision_date")),
             "kind": kind_of(F.col("content_type")),
-            "run_seq": F.lit(run_seq).cast("bigint"),
             "cell_seq": F.lit(None).cast("bigint"),
         }
     )
@@ -245,7 +244,6 @@ def transform(
 ) -> StageResult:
     """Run the stage. Landing comes in as tables to read; only ``curated`` is written."""
     source, before = landing.snapshot(), curated.snapshot()
-    run_seq = max(before.runs, default=0) + 1
     codes = tuple(b.code for b in adapter.select_bodies(body_codes))
     planned, content = plan_transform(
         source.current(codes),
@@ -262,8 +260,8 @@ def transform(
     decided = planned.decided
     if not decided.filter("keep_metadata").isEmpty():
         curated.append(
-            run_seq,
-            curated_objects(content, decided, adapter, start, end, size, run_seq),
-            changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts), run_seq),
+            before,
+            curated_objects(content, decided, adapter, start, end, size),
+            changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)),
         )
     return planned

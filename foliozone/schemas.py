@@ -38,7 +38,20 @@ HANDOFF = (
     "error_code STRING, error_reason STRING, reported_total BIGINT, url STRING, page_number INT, byte_count BIGINT"
 )
 
+CELL_SUMMARY = (
+    "stage STRING, cell_seq BIGINT, partition STRING, body STRING, records_found BIGINT, records_written BIGINT, "
+    "records_unchanged BIGINT, records_failed BIGINT, collection_complete BOOLEAN, accounted_for BOOLEAN"
+)
+RUN_SUMMARY = (
+    "stage STRING, source STRING, start_date STRING, end_date STRING, partitions BIGINT, records_found BIGINT, "
+    "records_written BIGINT, records_unchanged BIGINT, records_failed BIGINT, collection_complete BOOLEAN, "
+    "accounted_for BOOLEAN, duration_seconds DOUBLE"
+)
+OUTCOMES = "cell_seq BIGINT, body_code STRING, identifier STRING, file_path STRING, action STRING, error_code STRING"
 FAILURES = (
     "stage STRING, cell_seq BIGINT, partition STRING, body STRING, identifier STRING, url STRING, "
     "error_code STRING, reason STRING, is_collection BOOLEAN"
 )
+
+# The tables of the run log.
+RUN_LOG = {"cell_summary": CELL_SUMMARY, "run_summary": RUN_SUMMARY, "failures": FAILURES, "outcomes": OUTCOMES}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,54 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     column pruning, which ``checkpoint()`` would lose.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_folder(spark)}/stage/{uuid.uuid4().hex}"
+    _staged.append(folder)
+    df.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+_staged: list[str] = []
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Removes the tables staged inside the block when it ends, however it ends.
+
+    What is to be read afterwards has to be written elsewhere first.
+    """
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        mine, _staged[mark:] = _staged[mark:], []
+        for folder in mine:
+            remove(spark, folder)
+
+
+def _store(spark: SparkSession, path: str):
+    """The session's own file system for a path, whatever its scheme, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _store(spark, path)
+    files.delete(place, True)
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet; False if it is there, also if another was faster."""
+    from py4j.protocol import Py4JJavaError
+
+    files, place = _store(spark, path)
+    if files.exists(place):
+        return False
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if files.exists(place):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True

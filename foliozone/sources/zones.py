@@ -1,13 +1,20 @@
 """A zone: stored metadata and objects, appended run by run on plain Parquet.
 
-A run writes ``objects/run_seq=N``, then ``metadata/run_seq=N``, then one commit line. Readers
-only look at committed runs, so metadata never points at missing objects and a run that died
-half-way is invisible; the next one takes the same number and overwrites its leftovers. A run
+A run writes ``objects/run=ID``, then ``metadata/run=ID``, under a name of its own, then one commit
+file whose name is the next number. The file is created only if it is not there, so of two runs
+that end at once one takes the number and the other looks again. Readers only look at committed
+runs: metadata never points at missing objects, and a run that died half-way is invisible. A run
 that changed nothing commits nothing.
+
+Runs may overlap, such as one run per cell. If a run that committed meanwhile wrote a key that this
+one writes too, this one's decisions are stale: it is refused with ``CommitConflict`` and has to be
+run again. Otherwise both are kept.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,9 +24,13 @@ from pyspark.sql import functions as F
 from foliozone import schemas
 from foliozone.functions import dates, keys
 from foliozone.operators.changes import KEY
-from foliozone.session import stage
+from foliozone.session import create_new, remove, stage
+
+_COMMITS = "run_seq BIGINT, run STRING, kind STRING, replaces ARRAY<STRING>"
+
 
-_COMMITS = "run_seq BIGINT, kind STRING, base_seq BIGINT"
+class CommitConflict(RuntimeError):
+    """Another run committed what this one decided on."""
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
@@ -59,13 +70,20 @@ class Snapshot:
 
     spark: SparkSession
     root: str
-    runs: tuple[int, ...]
+    names: tuple[tuple[int, str], ...]  # number and folder of each run that counts
+    last: int = 0  # the highest number taken
+
+    @property
+    def runs(self) -> tuple[int, ...]:
+        return tuple(number for number, _ in self.names)
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        if not self.runs:
+        if not self.names:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        return rows.filter(F.col("run_seq").isin(*self.runs))
+        rows = self.spark.read.schema(schema.replace("run_seq BIGINT", "run STRING")).parquet(f"{self.root}/{name}")
+        number = F.create_map(*(F.lit(v) for seq, run in self.names for v in (run, seq)))
+        named = rows.filter(F.col("run").isin(*(run for _, run in self.names)))
+        return named.withColumn("run_seq", F.element_at(number, F.col("run")).cast("bigint")).select(*_columns(schema))
 
     def metadata(self) -> DataFrame:
         return self._read("metadata", schemas.METADATA)
@@ -104,50 +122,82 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class Zone:
-    """One zone under a root path on shared storage. One writer at a time; any number of readers."""
+    """One zone under a root path on shared storage. Any number of writers and readers."""
 
     spark: SparkSession
     root: str
 
-    def snapshot(self) -> Snapshot:
-        """Runs since the last compaction, which replaces all before it; one small row per run."""
+    def _committed(self) -> Snapshot:
+        """One small row per run; ``vacuum`` removes those that a compaction replaced."""
         commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json").collect()
-        base = max((c["base_seq"] or 0 for c in commits), default=0)
-        return Snapshot(self.spark, self.root, tuple(sorted({c["run_seq"] for c in commits if c["run_seq"] >= base})))
-
-    def next_run(self) -> int:
-        return max(self.snapshot().runs, default=0) + 1
+        replaced = {run for c in commits for run in c["replaces"] or ()}
+        live = sorted((c["run_seq"], c["run"]) for c in commits if c["run"] not in replaced)
+        return Snapshot(self.spark, self.root, tuple(live), max((c["run_seq"] for c in commits), default=0))
 
-    def _publish(self, run_seq: int, kind: str, base_seq: int | None = None) -> None:
-        row = self.spark.createDataFrame([(run_seq, kind, base_seq)], _COMMITS).coalesce(1)
-        row.write.mode("append").json(f"{self.root}/commits")
+    def snapshot(self) -> Snapshot:
+        """Committed runs, without those a compaction replaced."""
+        return self._committed()
 
-    def append(self, run_seq: int, objects: DataFrame, metadata: DataFrame, kind: str = "run") -> None:
-        """Objects first, metadata second, visible last.
+    def append(self, before: Snapshot, objects: DataFrame, metadata: DataFrame, kind: str = "run") -> int:
+        """Objects first, metadata second, visible last. ``before``: what the rows were decided on.
 
         Rows are gathered by directory before the write, so that a run does not leave one file
         per task and directory; the rebalance splits directories that hold much and joins small
         ones. Only rows to be written pay for it.
         """
-        self._write("objects", run_seq, objects, schemas.OBJECTS, ["body_code", "kind", "period"])
-        self._write("metadata", run_seq, metadata, schemas.METADATA, ["body_code"])
-        self._publish(run_seq, kind, run_seq if kind == "compaction" else None)
+        run = uuid.uuid4().hex
+        self._write("objects", run, objects, schemas.OBJECTS, ["body_code", "kind", "period"])
+        self._write("metadata", run, metadata, schemas.METADATA, ["body_code"])
+        return self._publish(before, run, kind)
 
-    def _write(self, name: str, run_seq: int, rows: DataFrame, schema: str, folders: list[str]) -> None:
+    def _write(self, name: str, run: str, rows: DataFrame, schema: str, folders: list[str]) -> None:
         shaped = rows.select(*(c for c in _columns(schema) if c != "run_seq"))
-        shaped.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).parquet(
-            f"{self.root}/{name}/run_seq={run_seq}"
-        )
+        shaped.hint("rebalance", *folders).write.partitionBy(*folders).parquet(f"{self.root}/{name}/run={run}")
+
+    def _publish(self, before: Snapshot, run: str, kind: str) -> int:
+        """Take the next number, unless a run that came in between makes this one stale."""
+        while True:
+            now = self._committed()
+            newer = tuple(sorted(set(now.names) - set(before.names)))
+            gone = set(before.names) - set(now.names)
+            if kind == "compaction" and (newer or gone):
+                raise CommitConflict(f"{self.root}: {len(newer)} runs were committed during the compaction")
+            if newer and self._meets(Snapshot(self.spark, self.root, newer), run):
+                raise CommitConflict(f"{self.root}: a run committed meanwhile wrote the same keys; run again")
+            number = now.last + 1
+            replaces = [name for _, name in before.names] if kind == "compaction" else []
+            line = json.dumps({"run_seq": number, "run": run, "kind": kind, "replaces": replaces})
+            if create_new(self.spark, f"{self.root}/commits/{number:012d}.json", line + "\n"):
+                return number
+
+    def _meets(self, newer: Snapshot, run: str) -> bool:
+        own = self.spark.read.schema(schemas.METADATA.replace("run_seq BIGINT", "run STRING")).parquet(f"{self.root}/metadata")
+        own = own.filter(F.col("run") == run).select(*KEY)
+        return not newer.metadata().select(*KEY).join(own, KEY, "left_semi").isEmpty()
 
     def compact(self) -> int:
         """Rewrite the current state as one version, after which the older ones are not read."""
         now = self.snapshot()
-        run_seq = max(now.runs, default=0) + 1
         version = ["object_key", "run_seq"]
         stale = now.object_ids().select(*version).join(now.current_objects().select(*version), version, "left_anti")
         live = now.objects().join(stage(stale, "stale_objects"), version, "left_anti")
-        self.append(run_seq, live, now.current(), "compaction")
-        return run_seq
+        return self.append(now, live, now.current(), "compaction")
+
+    def vacuum(self) -> list[str]:
+        """Remove the folders and commits of runs that a compaction replaced; returns their names.
+
+        Only when no reader works on a snapshot from before the compaction. Folders of runs that
+        never committed are left alone, as such a run may still be going on.
+        """
+        commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json").collect()
+        replaced = {run for c in commits for run in c["replaces"] or ()}
+        for run in replaced:
+            for name in ("metadata", "objects"):
+                remove(self.spark, f"{self.root}/{name}/run={run}")
+        for c in commits:
+            if c["run"] in replaced:
+                remove(self.spark, f"{self.root}/commits/{c['run_seq']:012d}.json")
+        return sorted(replaced)
 
 
 def range_scan(records: DataFrame, start, end, source_name: str | None = None) -> DataFrame:
@@ -176,4 +226,4 @@ class RunLog:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return read_or_empty(self.spark, f"{self.root}/{name}", f"{schemas.RUN_LOG[name]}, run_ts TIMESTAMP, run_id STRING")

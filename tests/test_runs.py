@@ -163,7 +163,7 @@ def test_a_lost_landing_object_is_contained(spark, workspace):
     snap = workspace.landing.snapshot()
     kept = snap.objects().filter("identifier <> 'CASE-0001'")
     broken = runs.Workspace(spark, workspace.root + "-broken")
-    broken.landing.append(1, kept, snap.current())
+    broken.landing.append(broken.landing.snapshot(), kept, snap.current())
     result = runs.transform_date_range(broken, ADAPTER, JAN, FEB, RUN_TS)
     failure = only(result.failures)
     assert failure["error_code"] == "landing_object_unreadable"
@@ -294,3 +294,69 @@ def test_accounting_rules(spark):
     assert "\n" not in line["line"] and '"accounted_for":true' in line["line"]
     empty = only(accounting.run_summary(summary.limit(0), "ingest", "s", JAN, FEB))
     assert (empty["partitions"], empty["records_found"], empty["accounted_for"]) == (0, 0, True)
+
+
+def test_overlapping_runs_are_both_kept_or_refused(spark, workspace, monkeypatch):
+    """A run of one cell that commits while another is about to: both stay. The same cell: refused."""
+    from foliozone.sources.zones import CommitConflict, Zone
+
+    def cell(code, name):
+        page = listing(entry(name, f"/en/cases/2024/january/{name}.html"), total="1 result")
+        pages = spark.createDataFrame([(0, 1, "u", bytearray(page), None, None), (0, 2, "u", bytearray(NO_ROWS), None, None)], schemas.LISTING_PAGES)
+        url = f"https://site.example/en/cases/2024/january/{name}.html"
+        documents = spark.createDataFrame([(0, url, bytearray(decision(name)), "text/html", None, None)], "cell_seq BIGINT, document_url STRING, payload BINARY, served_content_type STRING, error_code STRING, error_reason STRING")
+        cells = periods.plan_cells(spark, ADAPTER, JAN, FEB, body_codes=(code,))
+        return ingest.capture_pages(pages, documents, cells, ADAPTER)[0]
+
+    original = Zone._publish
+
+    def overlapped(code, name):
+        def publish(self, *args):
+            monkeypatch.setattr(Zone, "_publish", original)
+            runs.ingest_single_cell(workspace, ADAPTER, cell(code, name), JAN, code, RUN_TS)
+            return original(self, *args)
+
+        monkeypatch.setattr(Zone, "_publish", publish)
+
+    overlapped("second", "B")
+    runs.ingest_single_cell(workspace, ADAPTER, cell("first", "A"), JAN, "first", RUN_TS)
+    snap = workspace.landing.snapshot()
+    assert snap.runs == (1, 2) and {r["storage_id"] for r in snap.current().collect()} == {"first:A", "second:B"}
+    assert snap.objects().count() == 2
+    overlapped("first", "C")
+    with pytest.raises(CommitConflict):
+        runs.ingest_single_cell(workspace, ADAPTER, cell("first", "C"), JAN, "first", RUN_TS)
+    assert workspace.landing.snapshot().current().count() == 3
+
+
+def test_vacuum_removes_what_a_compaction_replaced(spark, workspace, tmp_path):
+    for text in ("One.", "Two."):
+        runs.ingest_date_range(workspace, ADAPTER, capture(spark, decision(text)), JAN, FEB, RUN_TS)
+    workspace.landing.compact()
+    before = sorted(tuple(r) for r in workspace.landing.snapshot().current().collect())
+    assert len(workspace.landing.vacuum()) == 2
+    root = tmp_path / "zones" / "landing"
+    assert len(list((root / "objects").glob("run=*"))) == len(list((root / "metadata").glob("run=*"))) == 1
+    assert sorted(tuple(r) for r in workspace.landing.snapshot().current().collect()) == before
+    assert workspace.landing.snapshot().runs == (3,)
+
+
+def test_a_run_leaves_nothing_staged(spark, workspace):
+    from foliozone import session
+
+    got = capture(spark)
+    before = list(session._staged)
+    result = runs.ingest_date_range(workspace, ADAPTER, got, JAN, FEB, RUN_TS)
+    assert session._staged == before and result.decided.count() == 3
+    assert only(result.run_summary)["duration_seconds"] > 0
+    assert workspace.log.read("outcomes").filter("action = 'written'").count() == 3
+
+
+def test_rows_of_another_grid_are_not_taken(spark, workspace):
+    """A capture of the whole grid given to a run of its second body: the first body's rows fail."""
+    result = runs.ingest_single_cell(workspace, ADAPTER, capture(spark), JAN, "second", RUN_TS)
+    assert only(result.run_summary)["records_written"] == 0 and not only(result.run_summary)["accounted_for"] or result.failures.count() == 3
+    assert {r["error_code"] for r in result.failures.collect()} == {"row_of_no_planned_cell"}
+    assert workspace.landing.snapshot().runs == ()
+    (line,) = accounting.failure_lines(result.failures.limit(1)).collect()
+    assert '"failed_identifier"' in line["line"] and '"failed_url"' in line["line"]
