@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import uuid
 from datetime import date, datetime, timedelta
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,20 +39,9 @@ PAGES_MARKUP = {
 }
 
 
-@cache
-def _codes(path: str, sql: str) -> tuple[str, ...]:
-    spark = SparkSession.getActiveSession()
-    rows = spark.read.parquet(path).select(F.expr(sql).alias("c")).distinct().orderBy("c").collect()
-    return tuple(r["c"] for r in rows)
-
-
 def pages_site(sf_dir: str) -> SourceAdapter:
-    """The catalogue of bodies seen in page urls: a handful of language folders."""
-    return adapter_for(_codes(f"{sf_dir}/pages.parquet", PAGE_BODY), **PAGES_MARKUP)
-
-
-def documents_site(sf_dir: str) -> SourceAdapter:
-    return adapter_for(_codes(f"{sf_dir}/documents.parquet", "lang"))
+    """The catalogue of bodies: the language folders of page urls, a fixed list of the tables."""
+    return adapter_for(("de", "en", "es", "fr"), **PAGES_MARKUP)
 
 
 def orders_range(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
@@ -159,7 +147,7 @@ def re_served(items: DataFrame, which: Column | None = None) -> DataFrame:
 
 
 def document_rows(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
-    """Documents as stored (run 1: only the shorter ones were known) and as captured next (some edited)."""
+    """Documents as stored (run 1), and as captured next (run 2): some edited, and the benchmark's items new."""
     edited = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     documents = table(spark, sf_dir, "documents")
     identifier = F.concat(F.lit("DOC-"), F.col("doc_id").cast("string"))
@@ -168,9 +156,16 @@ def document_rows(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
         identifier.alias("identifier"),
         F.col("lang").alias("body_code"),
         (edited if run == 2 else F.col("text")).alias("text"),
-        "n_chars",
     )
-    return rows if run == 2 else rows.filter("n_chars < 4000")
+    if run == 1:
+        return rows
+    new = table(spark, sf_dir, "benchmark").select(
+        (F.col("item_id") + 1_000_000_000).alias("item_seq"),
+        F.concat(F.lit("DOC-"), (F.col("item_id") + 1_000_000_000).cast("string")).alias("identifier"),
+        F.lit("en").alias("body_code"),
+        "text",
+    )
+    return rows.unionByName(new)
 
 
 def document_state(rows: DataFrame) -> DataFrame:

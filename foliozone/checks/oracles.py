@@ -275,8 +275,9 @@ WITH {_SETTLED} SELECT cell_seq, item_seq, body_code, identifier, error_code, er
 ORACLES["failure_precedence"] = f"WITH {_SETTLED} SELECT item_seq, error_code FROM settled"
 
 _DOCS = """
-run1 AS (SELECT doc_id, lang, concat('sha256:', sha256(text)) AS h FROM documents WHERE n_chars < 4000),
-run2 AS (SELECT doc_id, lang, concat('sha256:', sha256(CASE WHEN doc_id % 7 = 0 THEN concat(text, '!') ELSE text END)) AS h FROM documents),
+run1 AS (SELECT doc_id, lang, concat('sha256:', sha256(text)) AS h FROM documents),
+run2 AS (SELECT doc_id, lang, concat('sha256:', sha256(CASE WHEN doc_id % 7 = 0 THEN concat(text, '!') ELSE text END)) AS h FROM documents
+         UNION ALL SELECT item_id + 1000000000, 'en', concat('sha256:', sha256(text)) FROM benchmark),
 compared AS (SELECT run2.*, run1.h AS old, CASE WHEN run1.h = run2.h THEN 'unchanged' ELSE 'written' END AS action
              FROM run2 LEFT JOIN run1 USING (doc_id))
 """
@@ -304,12 +305,12 @@ current AS (SELECT doc_id, lang, h, CASE WHEN action = 'written' THEN 2 ELSE 1 E
 ORACLES["upsert_current"] = f"""
 WITH {_CURRENT}
 SELECT concat(lang, ':DOC-', doc_id) AS storage_id, concat('example/', lang, '/2024-01/doc-', doc_id, '.html') AS file_path,
-       h AS file_hash, h AS content_fingerprint, CAST(run_seq AS INTEGER) AS run_seq FROM current"""
+       h AS file_hash, h AS content_fingerprint, CAST(run_seq AS BIGINT) AS run_seq FROM current"""
 
 ORACLES["lookup_by_key"] = f"""
 WITH {_CURRENT}
-SELECT concat('DOC-', doc_id) AS identifier, lang AS body_code, h AS file_hash, CAST(run_seq AS INTEGER) AS run_seq
-FROM current WHERE doc_id IN (SELECT doc_id FROM labels)"""
+SELECT concat('DOC-', doc_id) AS identifier, lang AS body_code, h AS file_hash, CAST(run_seq AS BIGINT) AS run_seq
+FROM current WHERE lang = 'en' AND doc_id IN (SELECT doc_id FROM labels UNION ALL SELECT item_id + 1000000000 FROM benchmark)"""
 
 ORACLES["range_scan"] = f"""
 WITH {RECORDS}
@@ -504,6 +505,14 @@ SELECT stage, 'example' AS source, '2024-01-01' AS start_date, '2025-01-01' AS e
        true AS collection_complete, true AS accounted_for
 FROM c, (VALUES ('ingest'), ('transform')) AS s(stage)"""
 
+ORACLES["side_by_side_cells"] = f"""
+WITH {RECORDS} SELECT concat(body_code, ':', identifier) AS storage_id, CASE body_code WHEN 'f' THEN 1 WHEN 'o' THEN 2 ELSE 3 END AS run_seq
+FROM records GROUP BY ALL"""
+
+ORACLES["compacted_state"] = f"""
+WITH {_CURRENT}
+SELECT concat(lang, ':DOC-', doc_id) AS storage_id, h AS payload_hash FROM current"""
+
 ORACLES["single_cell"] = f"""
 WITH {_SETTLED}, t AS (SELECT count(*) AS n, CAST(count_if(error_code IS NULL) AS BIGINT) AS w, min(partition_date) AS label FROM settled WHERE cell_seq = 0)
 SELECT 'ingest' AS stage, CAST(0 AS BIGINT) AS cell_seq, label AS partition, 'f' AS body, n AS records_found, w AS records_written,

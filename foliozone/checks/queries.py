@@ -591,36 +591,82 @@ def multi_cell_chain(spark, sf_dir):
     )
 
 
-def _versions(spark, sf_dir) -> DataFrame:
-    """Two runs of appended document rows; the second holds only what it wrote."""
-    first = inputs.document_state(inputs.document_rows(spark, sf_dir, 1))
-    items = inputs.document_state(inputs.document_rows(spark, sf_dir, 2)).withColumns(
+def _stored(spark, sf_dir):
+    """A zone after two stored runs over the documents; the second holds only what it wrote."""
+    zone = inputs.workspace(spark).landing
+    _store_documents(zone, inputs.document_rows(spark, sf_dir, 1), None)
+    _store_documents(zone, inputs.document_rows(spark, sf_dir, 2), zone.snapshot())
+    return zone
+
+
+def _store_documents(zone, rows: DataFrame, before) -> None:
+    before = before or zone.snapshot()
+    items = inputs.document_state(rows).withColumns(
         {"cell_seq": F.lit(0).cast("bigint"), "error_code": F.lit(None).cast("string")}
     )
-    second = changes.detect_changes(items, changes.stored_state(first)).filter("keep_metadata")
-    return first.withColumn("run_seq", F.lit(1)).unionByName(
-        second.select(*first.columns).withColumn("run_seq", F.lit(2))
+    decided = stage(changes.detect_changes(items, changes.stored_state(before.current())), "documents_decided")
+    written = decided.filter("keep_metadata")
+    none = [c for c in schemas.RECORD_COLUMNS if c not in ("identifier", "body_code")]
+    metadata = changes.stamp(written, F.lit(RUN_TS)).withColumns(
+        {c: F.lit(YEAR[0]) if c == "decision_date" else F.lit(None).cast("string") for c in none}
+    )
+    payloads = rows.select("identifier", "body_code", F.encode("text", "UTF-8").alias("payload"))
+    objects = payloads.join(written.select("identifier", "body_code", F.col("file_path").alias("object_key"), "cell_seq"), ["identifier", "body_code"])
+    zone.append(
+        before,
+        objects.withColumns(
+            {
+                "content_type": F.lit("text/html"), "decision_date": F.lit(YEAR[0]), "source_name": F.lit("example"),
+                "kind": F.lit("html"), "period": F.lit("2024-01"),
+            }
+        ),
+        metadata,
     )
 
 
 @query
 def upsert_current(spark, sf_dir):
-    """State after two runs: the newest row per key."""
-    return zones.latest(_versions(spark, sf_dir), changes.KEY).select(
-        keys.storage_id(F.col("body_code"), F.col("identifier")).alias("storage_id"),
-        "file_path",
-        "file_hash",
-        "content_fingerprint",
-        "run_seq",
+    """State of a zone after two runs: the newest row per key."""
+    return _stored(spark, sf_dir).snapshot().current().select(
+        "storage_id", "file_path", "file_hash", "content_fingerprint", "run_seq"
     )
 
 
+@query
+def compacted_state(spark, sf_dir):
+    """The same state after compaction and removal of what it replaced, objects read back."""
+    zone = _stored(spark, sf_dir)
+    zone.compact()
+    zone.vacuum()
+    after = zone.snapshot()
+    held = after.objects().select(F.col("object_key").alias("file_path"), hashing.content_hash(F.col("payload")).alias("payload_hash"))
+    return after.current().select("storage_id", "file_path").join(held, "file_path").drop("file_path")
+
+
 @query
 def lookup_by_key(spark, sf_dir):
-    """Stored records of every labelled document; keys not stored find nothing."""
-    asked = table(spark, sf_dir, "labels").select(F.concat(F.lit("DOC-"), F.col("doc_id").cast("string")).alias("identifier"))
-    current = zones.latest(_versions(spark, sf_dir), changes.KEY)
-    return current.join(asked.distinct(), "identifier", "left_semi").select("identifier", "body_code", "file_hash", "run_seq")
+    """Stored records of labelled and of new documents, asked for under one body: other bodies' keys find nothing."""
+    ids = table(spark, sf_dir, "labels").select("doc_id").union(table(spark, sf_dir, "benchmark").select(F.col("item_id") + 1_000_000_000))
+    asked = ids.distinct().select(F.lit("en").alias("body_code"), F.concat(F.lit("DOC-"), F.col("doc_id").cast("string")).alias("identifier"))
+    return _stored(spark, sf_dir).snapshot().find(asked).select("identifier", "body_code", "file_hash", "run_seq")
+
+
+@query
+def side_by_side_cells(spark, sf_dir):
+    """One run per body, all decided on the same empty snapshot: every row is there afterwards."""
+    start, end = inputs.orders_range(spark, sf_dir)
+    records = inputs.with_cell(inputs.order_records(spark, sf_dir), inputs.ORDERS_SITE, start)
+    zone = inputs.workspace(spark).landing
+    before = zone.snapshot()
+    firsts = records.groupBy("body_code", "identifier").agg(F.min("cell_seq").alias("cell_seq"), F.min_by("document_url", "item_seq").alias("document_url"))
+    none = F.lit(None).cast("string")
+    rows = firsts.withColumns({c: none for c in (*schemas.RECORD_COLUMNS, "file_path", "file_hash", "content_fingerprint") if c not in firsts.columns})
+    rows = stage(rows.withColumn("decision_date", F.lit(start)), "side_by_side")
+    for body in inputs.ORDERS_SITE.bodies():
+        own = rows.filter(F.col("body_code") == body.code)
+        objects = own.withColumns({"object_key": F.col("document_url"), "payload": F.encode("document_url", "UTF-8"), "kind": F.lit("html"), "period": F.lit("2024-01")})
+        zone.append(before, objects, changes.stamp(own, F.lit(RUN_TS)))
+    return zone.snapshot().current().select("storage_id", F.col("run_seq").cast("int").alias("run_seq"))
 
 
 @query
@@ -677,8 +723,10 @@ def object_read(spark, sf_dir):
 
 @query
 def object_exists(spark, sf_dir):
+    zone = inputs.workspace(spark).landing
+    _store_documents(zone, inputs.document_rows(spark, sf_dir, 1), None)
     asked = inputs.document_state(inputs.document_rows(spark, sf_dir, 2)).select(F.col("file_path").alias("object_key"))
-    return asked.join(_object_ids(spark, sf_dir), "object_key", "left_semi")
+    return zone.snapshot().existing(asked)
 
 
 @query
