@@ -152,7 +152,7 @@ def test_base_phrases_equal_the_plain_version(spark):
 
 
 def plain_detections(text, rules):
-    found = [(r["priority"], r["rank"], m.start(), m.end(), r["label"]) for r in rules if r["keyword"] in text.lower() for m in re.finditer(r["regex"], text)]
+    found = [(r["priority"], r["rank"], m.start(), m.end(), r["label"]) for r in rules if any(k in text.lower() for k in r["keywords"]) for m in re.finditer(r["regex"], text)]
 
     def loses(d, o):
         inside, equal = o[2] <= d[2] and d[3] <= o[3], o[2:4] == d[2:4]
