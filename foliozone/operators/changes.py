@@ -9,8 +9,8 @@ from foliozone.functions import hashing, keys
 from foliozone.session import stage
 
 KEY = ["body_code", "identifier"]
-# A broadcast of this many ids stays within a few hundred megabytes.
-BROADCAST_IDS = 2_000_000
+# An id set is broadcast up to so many bytes of its own columns.
+BROADCAST_BYTES = 128 << 20
 WRITTEN, UNCHANGED, FAILED = "written", "unchanged", "failed"
 
 
@@ -85,8 +85,10 @@ def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
 
 def stamp(rows: DataFrame, run_ts: Column) -> DataFrame:
     """Storage columns of the rows about to be persisted; one clock value for the whole run."""
+    version = {} if "landing_version" in rows.columns else {"landing_version": F.lit(None).cast("string")}
     return rows.withColumns(
-        {
+        version
+        | {
             "storage_id": keys.storage_id(F.col("body_code"), F.col("identifier")),
             "scraped_at": run_ts,
         }
@@ -98,13 +100,17 @@ def matching(wide: DataFrame, ids: DataFrame, on: list[str], keep: Column) -> Da
 
     Payloads should not be shuffled, so the smaller of the two sets is the one that travels: the
     kept ids as a semi join, or the others as an anti join. Either is exact. The set is staged
-    and counted; up to ``BROADCAST_IDS`` rows it is broadcast, beyond that the join shuffles.
+    and measured; up to ``BROADCAST_BYTES`` it is broadcast, beyond that the join shuffles.
     ``ids`` is read twice, so pass a staged table.
     """
     flagged = ids.select(*on, keep.alias("keep"))
-    kept, total = flagged.agg(F.count_if("keep"), F.count("*")).first()
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in on), F.lit(0))
+    kept, kept_bytes, total, all_bytes = flagged.agg(
+        F.count_if("keep"), F.sum(F.when(F.col("keep"), width)), F.count("*"), F.sum(width)
+    ).first()
+    kept_bytes, all_bytes = kept_bytes or 0, all_bytes or 0
     few_kept = kept * 2 <= total
     travelling = stage(flagged.filter(F.col("keep") == few_kept).select(*on), "ids")
-    if min(kept, total - kept) <= BROADCAST_IDS:
+    if (kept_bytes if few_kept else all_bytes - kept_bytes) <= BROADCAST_BYTES:
         travelling = F.broadcast(travelling)
     return wide.join(travelling, on, "left_semi" if few_kept else "left_anti")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ def collect(
 
 
 def with_objects(collected: DataFrame, object_ids: DataFrame) -> DataFrame:
-    """Find each record's object version; ``own`` marks the usual case, where it wrote it itself.
+    """Find each record's object version and its folder; ``own``: the usual case, it wrote it itself.
 
     Not own: another record overwrote the same key, so these bytes belong to both, or the object
     was stored as another kind. ``object_ids`` holds one narrow row per key.
@@ -45,6 +47,7 @@ def with_objects(collected: DataFrame, object_ids: DataFrame) -> DataFrame:
         F.struct("body_code", "identifier").alias("writer"),
         (F.col("kind") == HTML).alias("object_html"),
         "period",
+        F.struct("body_code", "kind", "period").alias("folder"),
     )
     own = (
         (F.col("writer.body_code") == F.col("body_code"))
@@ -60,6 +63,21 @@ def with_objects(collected: DataFrame, object_ids: DataFrame) -> DataFrame:
     )
 
 
+def with_known(needed: DataFrame, stored: DataFrame, adapter: SourceAdapter) -> DataFrame:
+    """Add ``landing_version``, and ``known_hash`` where the stored record was made from just that.
+
+    The version names the object's bytes, how they are read and by which extractor, so what came
+    out of it is what is stored and needs no second extraction.
+    """
+    version = F.concat_ws("|", "file_path", F.col("object_run").cast("string"), F.col("html").cast("string"), F.lit(adapter.extractor()))
+    before = stored.select(
+        *changes.KEY, F.col("landing_version").alias("known_version"), F.col("file_hash").alias("known_hash"), F.col("file_path").alias("known_path")
+    )
+    made = needed.withColumn("landing_version", F.when(F.col("object_run").isNotNull(), version)).join(before, changes.KEY, "left")
+    same = (F.col("known_version") == F.col("landing_version")) & (F.col("known_path") == curated_key(adapter, F.col("label"), F.col("file_path")))
+    return made.withColumn("known_hash", F.when(same, F.col("known_hash"))).drop("known_version", "known_path")
+
+
 def _versions(objects: DataFrame) -> DataFrame:
     return objects.withColumnRenamed("run_seq", "object_run").select(
         *VERSION, "payload", "content_type", "identifier", "body_code", "decision_date", "kind", "period"
@@ -78,8 +96,8 @@ def extracted_content(
 
     The usual case reads only the months and bodies of the range and drops stale versions by a
     small id set, so payloads go from the scan into the extractor without a shuffle. Versions
-    read on behalf of another record are picked by an equality join; they are rare, and each is
-    still extracted only once.
+    read on behalf of another record are picked in the same way out of the folders they lie in,
+    whose names (a few for each body and month) are collected; each is still extracted only once.
     """
     in_range = _versions(objects).filter(
         F.col("period").between(period_of(F.lit(start)), period_of(F.date_sub(F.lit(end), 1)))
@@ -96,13 +114,21 @@ def extracted_content(
         F.col("html"),
     )
     foreign = needed.filter("NOT own AND object_run IS NOT NULL").select(
-        F.col("file_path").alias("object_key"), "object_run", "html"
+        F.col("file_path").alias("object_key"), "object_run", "html", "folder"
     )
-    if foreign.isEmpty():
+    folders = [r["folder"] for r in foreign.select("folder").distinct().collect()]
+    if not folders:
         return usual
-    # the reader's content type, not the writer's, says whether these are cleaned
-    shared = _versions(objects).join(foreign.distinct(), VERSION).withColumn("own", F.lit(False))
-    return usual.unionByName(adapter.extract(shared.select(*columns), F.col("html")))
+    named = reduce(and_, (F.col(c).isin(*sorted({f[c] for f in folders})) for c in ("body_code", "kind", "period")))
+    shared = _versions(objects).filter(named)
+    for html in (True, False):
+        # the reader's content type, not the writer's, says whether these are cleaned
+        asked = stage(_wanted(shared, foreign.filter(F.col("html") == html).select(*VERSION).distinct()), "foreign_ids")
+        if asked.filter("wanted").isEmpty():
+            continue
+        picked = changes.matching(shared, asked, VERSION, F.col("wanted")).withColumns({"html": F.lit(html), "own": F.lit(False)})
+        usual = usual.unionByName(adapter.extract(picked.select(*columns), F.col("html")))
+    return usual
 
 
 def _wanted(versions: DataFrame, ids: DataFrame) -> DataFrame:
@@ -133,17 +159,17 @@ def decide(needed: DataFrame, content: DataFrame, stored: DataFrame, adapter: So
     items = (
         joined.withColumns(
             {
+                "content_hash": F.coalesce("content_hash", "known_hash"),
                 "error_code": F.when(unreadable, UNREADABLE).when(unclean, NOT_EXTRACTED),
                 "error_reason": F.when(unreadable, UNREADABLE_REASON).when(unclean, F.col("extract_error")),
                 "failed_url": F.when(unreadable, F.col("file_path")).otherwise(F.col("source_url")),
                 "landing_path": F.col("file_path"),
-                "file_hash": F.col("content_hash"),
-                # cleaned bytes are compared as they are
-                "content_fingerprint": F.col("content_hash"),
             }
         )
+        # cleaned bytes are compared as they are
+        .withColumns({"file_hash": F.col("content_hash"), "content_fingerprint": F.col("content_hash")})
         .withColumn("file_path", curated_key(adapter, F.col("label"), F.col("landing_path")))
-        .drop("content_hash", "extract_error", "storage_id", "scraped_at", "run_seq")
+        .drop("content_hash", "known_hash", "folder", "extract_error", "storage_id", "scraped_at", "run_seq")
     )
     decided = stage(changes.detect_changes(items, changes.stored_state(stored)), "transform_decided")
     return changes.keep_last_object(decided, ["cell_seq", "decision_date", "identifier"])
@@ -167,12 +193,14 @@ def plan_transform(
 ) -> tuple[StageResult, DataFrame]:
     """Decide the stage without writing a zone; also returns the staged content.
 
-    Extraction is the costly step, so its result is staged and then read twice: hashes for the
-    decision, bytes only for what has to be written.
+    Extraction is the costly step, so records that were made from the same object version before
+    are left out of it, and its result is staged and then read twice: hashes for the decision,
+    bytes only for what has to be written.
     """
-    collected = collect(landing.drop("cell_seq"), cells, adapter, start, end, size)
-    needed = stage(with_objects(collected, object_ids), "transform_needed")
-    content = stage(hashed(extracted_content(needed, objects, adapter, start, end, body_codes)), "extracted")
+    collected = collect(landing.drop("cell_seq", "landing_version"), cells, adapter, start, end, size)
+    needed = stage(with_known(with_objects(collected, object_ids), stored, adapter), "transform_needed")
+    unknown = needed.filter("known_hash IS NULL")
+    content = stage(hashed(extracted_content(unknown, objects, adapter, start, end, body_codes)), "extracted")
     decided = decide(needed, content, stored, adapter)
     return account_transform(decided, cells, adapter, start, end), content
 

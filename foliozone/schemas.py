@@ -10,7 +10,8 @@ RECORD_COLUMNS = tuple(part.split()[0] for part in RECORD.split(", "))
 STORAGE = "file_path STRING, file_hash STRING, content_fingerprint STRING, scraped_at TIMESTAMP"
 
 # One stored row per (body_code, identifier) and run that changed it.
-METADATA = f"storage_id STRING, {RECORD}, {STORAGE}, run_seq BIGINT, cell_seq BIGINT"
+# ``landing_version`` names, in the curated zone, the object version and the extractor it was made with.
+METADATA = f"storage_id STRING, {RECORD}, {STORAGE}, landing_version STRING, run_seq BIGINT, cell_seq BIGINT"
 
 # One stored version per object key and run. It repeats the few record columns that let the
 # transform prune by period and build its own keys without joining metadata to payloads. The

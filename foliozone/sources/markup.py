@@ -6,6 +6,7 @@ tag (or an outer one), so an unclosed ``<p>`` nests what follows, and nothing is
 
 from __future__ import annotations
 
+import codecs
 import re
 from html.parser import HTMLParser
 
@@ -14,6 +15,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset(("script", "style", "template"))
 KEEP_SPACE = frozenset(("pre", "textarea"))
 
+#: Longer marks first: that of UTF-32 begins like that of UTF-16.
+_MARKS = (
+    (codecs.BOM_UTF32_LE, "utf-32-le"),
+    (codecs.BOM_UTF32_BE, "utf-32-be"),
+    (codecs.BOM_UTF8, "utf-8"),
+    (codecs.BOM_UTF16_LE, "utf-16-le"),
+    (codecs.BOM_UTF16_BE, "utf-16-be"),
+)
+_XML_ENCODING = re.compile(rb"""\s*<\?xml[^>]*\bencoding\s*=\s*["']([A-Za-z0-9_.:-]+)""")
 _CHARSET = re.compile(rb"""<\s*meta[^>]+charset\s*=\s*["']?([^>]*?)[ /;'">]""", re.I)
 _COMPOUND = re.compile(r"""(?P<tag>^[\w-]+)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:=(?P<value>[\w-]+))?\]""")
 
@@ -153,10 +163,11 @@ class _Builder(HTMLParser):
 
 
 def decode(payload: bytes) -> str:
-    """Byte-order mark, declared charset, UTF-8, then windows-1252."""
-    if payload.startswith(b"\xef\xbb\xbf"):
-        return payload[3:].decode("utf-8", "replace")
-    declared = _CHARSET.search(payload)
+    """Byte-order mark, charset declared by XML or HTML, UTF-8, then windows-1252."""
+    for mark, name in _MARKS:
+        if payload.startswith(mark):
+            return payload[len(mark) :].decode(name, "replace")
+    declared = _XML_ENCODING.match(payload) or _CHARSET.search(payload)
     names = [declared.group(1).decode("ascii", "replace")] if declared else []
     for name in (*names, "utf-8", "windows-1252"):
         try:

@@ -112,7 +112,7 @@ def test_last_write_to_a_key_wins(spark):
 def test_matching_is_exact_whichever_set_travels(spark, monkeypatch):
     wide = spark.range(100).selectExpr("id", "repeat('x', 10) payload")
     for bound in (1_000_000, 0):
-        monkeypatch.setattr(changes, "BROADCAST_IDS", bound)
+        monkeypatch.setattr(changes, "BROADCAST_BYTES", bound)
         for few in (3, 97):
             ids = spark.range(100).withColumn("k", F.col("id") < few)
             got = changes.matching(wide, ids, ["id"], F.col("k"))

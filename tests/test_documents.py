@@ -139,3 +139,14 @@ def test_catalogue_drift_from_a_captured_panel(spark):
     assert status == {"101": "same", "102": "renamed", "103": "removed", "104": "removed", "109": "added"}
     changed = spark.createDataFrame([(bytearray(b"<html>no panel</html>"),)], "payload BINARY")
     assert [r["found"] for r in audits.observed_bodies(changed, PROFILE).collect()] == [False]
+
+
+def test_marks_and_xml_declarations_name_the_charset():
+    from foliozone.sources import markup
+
+    for name in ("utf-16", "utf-32", "utf-8-sig", "utf-16-be", "utf-32-be"):
+        text = "<p>caf\u00e9</p>"
+        mark = "\ufeff" if name.endswith("-be") else ""
+        assert markup.decode((mark + text).encode(name)) == text
+    page = '<?xml version="1.0" encoding="iso-8859-2"?><p>\u0159</p>'
+    assert markup.decode(page.encode("iso-8859-2")) == page

@@ -360,3 +360,17 @@ def test_rows_of_another_grid_are_not_taken(spark, workspace):
     assert workspace.landing.snapshot().runs == ()
     (line,) = accounting.failure_lines(result.failures.limit(1)).collect()
     assert '"failed_identifier"' in line["line"] and '"failed_url"' in line["line"]
+
+
+def test_an_unchanged_rerun_extracts_nothing(spark, workspace, monkeypatch):
+    from foliozone.sources.adapter import SourceAdapter
+
+    runs.ingest_date_range(workspace, ADAPTER, capture(spark), JAN, FEB, RUN_TS)
+    runs.transform_date_range(workspace, ADAPTER, JAN, FEB, RUN_TS)
+    original, counts = SourceAdapter.extract, []
+    monkeypatch.setattr(SourceAdapter, "extract", lambda self, documents, html=None: (counts.append(documents.count()), original(self, documents, html))[1])
+    again = only(runs.transform_date_range(workspace, ADAPTER, JAN, FEB, RUN_TS).run_summary)
+    assert again["records_unchanged"] == 3 and again["accounted_for"] and set(counts) == {0}
+    # another template is another extractor
+    other = type(ADAPTER)(replace(ADAPTER.profile, strip_selectors=(*ADAPTER.profile.strip_selectors, "h1")))
+    assert only(runs.transform_date_range(workspace, other, JAN, FEB, RUN_TS).run_summary)["records_written"] == 3
