@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from foliozone.llm.tables import small_batches
-from foliozone.llm.words import cuts, mix, nested, raw
+from foliozone.llm.words import cuts, int_lists, mix, nested, raw
 
 MODEL, ALPHA, SEED = "piece_bpe_32k.model", 1.0, 7
 PART = 1 << 20
@@ -251,7 +251,7 @@ def decoded(ids: str | Column, path: str | None = None, alpha: float = ALPHA) ->
 
     def decode(rows: pa.Array) -> pa.Array:
         v = vocabulary(path, alpha)
-        return pa.array([decode_ids(ids or [], v) for ids in rows.to_pylist()], pa.string())
+        return pa.array([decode_ids(ids, v) for ids in int_lists(rows)], pa.string())
 
     return arrow_udf(decode, "string")(ids)
 
@@ -266,4 +266,4 @@ def digest(docs: DataFrame) -> DataFrame:
     """The columns of the query: number and digest of the pieces, and whether they decode to the text."""
     ids = encode(docs.select("doc_id", "text"))
     back = decoded("piece_ids") == F.coalesce("text", F.lit(""))
-    return ids.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), back.alias("lossless"))
+    return ids.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), F.hex(F.xxhash64("piece_ids")).alias("ids_hash"), back.alias("lossless"))

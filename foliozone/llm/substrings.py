@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from foliozone.llm.tables import same, small_batches, text_key
-from foliozone.llm.words import PLAIN, Block, blocks, follow, mix, nested, pair
+from foliozone.llm.words import PLAIN, Block, blocks, follow, int_lists, mix, nested, pair
 from foliozone.session import stage
 
 SPAN = 35
@@ -261,7 +261,7 @@ def _removed(span: int):
 
     def remove(texts: pa.Array, starts: pa.Array) -> pa.Array:
         rows = []
-        for text, at in zip(texts.to_pylist(), starts.to_pylist(), strict=True):
+        for text, at in zip(texts.to_pylist(), int_lists(starts), strict=True):
             words, kept, last = (text or "").encode().split(), [], 0
             spans = spans_of(at, span)
             for a, b in spans:

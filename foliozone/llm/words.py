@@ -141,6 +141,14 @@ def blocks(texts: pa.Array, kind: np.ndarray, lower: bool = False, limit: int =
         yield Block(lo, hi, part, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
+def int_lists(rows: pa.Array) -> list[list[int]]:
+    """An Arrow list column of integers as Python lists, by way of one flat array; a null is empty."""
+    flat = rows.flatten().to_numpy(zero_copy_only=False).tolist()
+    sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def nested(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list for every row, of the given sizes."""
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
