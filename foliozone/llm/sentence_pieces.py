@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -31,7 +32,7 @@ from foliozone.llm.tables import small_batches
 from foliozone.llm.words import cuts, int_lists, mix, nested, raw
 
 MODEL, ALPHA, SEED = "piece_bpe_32k.model", 1.0, 7
-PART = 1 << 20
+PART = 1 << 18
 SPACE = 0x2581
 _STEP, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -106,7 +107,7 @@ def forward(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, v: Vocabul
     """(shares, ids): for each place after a character, the running shares of the lengths of the
     piece that ends there, and that piece for each length. Chunks stand one after another in ``codes``."""
     total, longest = len(codes), min(v.longest, int(sizes.max()))
-    score = np.full((total, longest), -np.inf)
+    score = np.full((total, longest), -np.inf, dtype=np.float32)
     ids = np.full((total, longest), -1, dtype=np.int32)
     end = np.repeat(starts + sizes, sizes)
     at, gram = np.arange(total), np.zeros(total, dtype=np.uint64)
@@ -123,7 +124,7 @@ def forward(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, v: Vocabul
             score[last, k - 1] = v.score[piece]
     lost = ids[:, 0] < 0
     score[lost, 0] = v.unknown
-    reach = np.empty(total)
+    reach = np.empty(total, dtype=np.float32)
     order = np.argsort(-sizes, kind="stable")
     live = len(order)
     ordered = sizes[order]
@@ -132,16 +133,20 @@ def forward(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, v: Vocabul
             live -= 1
         here = starts[order[:live]] + place
         width = min(place + 1, longest)
-        ways = score[here, :width]
+        ways = score[here] if width == longest else score[here, :width]
         if place:
             before = here[:, None] - 1 - np.arange(min(place, width))
             ways[:, : before.shape[1]] += reach[before]
         top = ways.max(axis=1)
-        ways = np.exp(ways - top[:, None])
-        sums = np.cumsum(ways, axis=1)
+        ways -= top[:, None]
+        sums = np.cumsum(np.exp(ways, out=ways), axis=1, out=ways)
         reach[here] = top + np.log(sums[:, -1])
-        score[here, :width] = sums / sums[:, -1:]
-        score[here, width:] = 1.0
+        sums /= sums[:, -1:].copy()
+        if width == longest:
+            score[here] = sums
+        else:
+            score[here, :width] = sums
+            score[here, width:] = 1.0
     return score, ids
 
 
@@ -230,8 +235,10 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def encoded(text: str | Column, key: str | Column, path: str | None = None, alpha: float = ALPHA, seed: int = SEED) -> Column:
     """The ids of a sampled segmentation; ``key``: a bigint column that seeds the row."""
-    path = path or model_path()
+    return arrow_udf(_encoder(path or model_path(), alpha, seed), "array<int>")(text, key)
+
 
+def _encoder(path: str, alpha: float, seed: int):
     def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
         v = vocabulary(path, alpha)
         own = mix(keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(seed))
@@ -242,18 +249,32 @@ def encoded(text: str | Column, key: str | Column, path: str | None = None, alph
             sizes.append(n)
         return nested(np.concatenate(ids).astype(np.int32), np.concatenate(sizes), pa.int32())
 
-    return arrow_udf(encode, "array<int>")(text, key)
+    return encode
+
+
+def round_trip(text: str | Column, key: str | Column, path: str | None = None, alpha: float = ALPHA, seed: int = SEED) -> Column:
+    """A struct of the ids and of whether they decode to the text, both in one call."""
+    path = path or model_path()
+    encode, decode = _encoder(path, alpha, seed), _decoder(path, alpha)
+
+    def both(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        ids = encode(texts, keys)
+        return pa.StructArray.from_arrays([ids, pc.equal(decode(ids), texts.fill_null(""))], names=["ids", "lossless"])
+
+    return arrow_udf(both, "struct<ids:array<int>,lossless:boolean>")(text, key)
 
 
 def decoded(ids: str | Column, path: str | None = None, alpha: float = ALPHA) -> Column:
     """The text of an array of ids."""
-    path = path or model_path()
+    return arrow_udf(_decoder(path or model_path(), alpha), "string")(ids)
 
+
+def _decoder(path: str, alpha: float):
     def decode(rows: pa.Array) -> pa.Array:
         v = vocabulary(path, alpha)
         return pa.array([decode_ids(ids, v) for ids in int_lists(rows)], pa.string())
 
-    return arrow_udf(decode, "string")(ids)
+    return decode
 
 
 def encode(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -264,6 +285,6 @@ def encode(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of the query: number and digest of the pieces, and whether they decode to the text."""
-    ids = encode(docs.select("doc_id", "text"))
-    back = decoded("piece_ids") == F.coalesce("text", F.lit(""))
-    return ids.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), F.hex(F.xxhash64("piece_ids")).alias("ids_hash"), back.alias("lossless"))
+    small_batches(docs.sparkSession)
+    rows = docs.select("doc_id", round_trip("text", F.xxhash64("doc_id")).alias("r"))
+    return rows.select("doc_id", F.size("r.ids").cast("bigint").alias("n_pieces"), F.hex(F.xxhash64("r.ids")).alias("ids_hash"), "r.lossless")
