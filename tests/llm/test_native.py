@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import messy_rows, prose, same_rows
+from samples import messy_rows, prose, same_rows
 from pyspark.sql import functions as F
 
 from foliozone.llm import licenses, native, quality, secret_scan

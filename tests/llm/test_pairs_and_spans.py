@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
-from conftest import messy_rows, prose, same_rows
+from samples import messy_rows, prose, same_rows
 
 from foliozone.llm import components, decontamination, simhash, substrings
 from foliozone.llm.words import ALNUM, PLAIN, blocks, follow

@@ -1,7 +1,7 @@
 """The pipeline's stages on messy rows, and the queries beside their SQL."""
 
 import pytest
-from conftest import prose
+from samples import prose
 
 import corpus_pipeline
 from foliozone.llm.queries import ORACLES, QUERIES

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
-from conftest import messy_rows, prose, same_rows
+from samples import messy_rows, prose, same_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
