@@ -15,6 +15,18 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture(autouse=True, scope="module")
+def generated_code(spark):
+    """Queries run as they do outside the tests, with code generation."""
+    usual = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in usual}
+    for key, value in usual.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
