@@ -14,7 +14,7 @@ from foliozone.llm.tables import same, small_batches, table, wrapped
 from foliozone.session import stage
 
 #: A document goes if its language is unknown or less sure than this.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
