@@ -15,6 +15,8 @@ from foliozone.session import stage
 
 #: A document goes if its language is unknown or less sure than this.
 LEAST_SCORE = 0.2
+#: Near-duplicates share this much of their shingles of so many words (Jaccard similarity).
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of every component of near-duplicates."""
-    return simhash.first_of_each(docs, simhash.near_duplicates(docs))
+    return simhash.first_of_each(docs, simhash.near_duplicates(docs, shingle=SHINGLE, similarity=SIMILARITY))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

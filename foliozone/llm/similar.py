@@ -1,0 +1,129 @@
+"""Sets of word shingles: bands of minima that similar sets share, and links by exact Jaccard similarity.
+
+Of every set the minima of ``BANDS * ROWS`` hash functions are taken; two sets of similarity s share
+a minimum with probability s, and some band of ``ROWS`` minima with 1 - (1 - s ** ROWS) ** BANDS:
+0.999 at 0.8, 0.21 at 0.5. Bands only propose groups; every link is verified on the sets themselves.
+
+A group is searched breadth first by the true similarity, which gives a spanning forest of its
+links instead of all pairs. A group of more than ``MOST`` sets is dealt to blocks, and every pair of
+blocks is searched so, in its own task.
+
+A text of fewer words than a shingle has one shingle of all its words; blank texts share one set.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+
+from foliozone.llm.words import PLAIN, blocks, follow, mix, nested, pair
+
+ROWS, BANDS, MOST = 7, 30, 4000
+#: Bits of the table by which texts outside all groups are left out before the join (512 KB).
+SLOTS = 1 << 22
+
+_ODD = np.random.default_rng(42).integers(0, 1 << 32, size=(BANDS * ROWS, 1), dtype=np.uint32) | np.uint32(1)
+
+
+def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The names of every text's shingles, each once and in order."""
+    for block in blocks(texts, PLAIN, lower=True):
+        names = block.names()
+        for a, b in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True):
+            yield np.unique(follow(names[a:b], min(shingle, b - a))) if b > a else np.zeros(1, dtype=np.uint64)
+
+
+def minima(names: np.ndarray) -> np.ndarray:
+    short = (names >> np.uint64(32)).astype(np.uint32)
+    return np.min([(short[k : k + 4096] * _ODD).min(axis=1) for k in range(0, len(short), 4096)], axis=0)
+
+
+def sketches(shingle: int):
+    """A column function: the key of a text's set and its bands."""
+
+    def sketch(texts: pa.Array) -> pa.Array:
+        keys, lows = np.zeros(len(texts), dtype=np.uint64), np.zeros((len(texts), BANDS, ROWS), dtype=np.uint64)
+        for i, names in enumerate(shingle_sets(texts, shingle)):
+            keys[i] = mix(names).sum(dtype=np.uint64)
+            lows[i] = minima(names).reshape(BANDS, ROWS)
+        bands = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(texts), BANDS))
+        for row in range(ROWS):
+            bands = pair(bands, lows[:, :, row])
+        bands = nested(np.ascontiguousarray(bands).ravel().view(np.int64), np.full(len(texts), BANDS, dtype=np.int64), pa.int64())
+        return pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), bands], names=["set_key", "bands"])
+
+    return arrow_udf(sketch, "struct<set_key:bigint,bands:array<bigint>>")
+
+
+def band_links(sets: DataFrame) -> DataFrame:
+    """(a, b): every set of a band beside the smallest; ``sets``: set_key, bands."""
+    keyed = sets.select("set_key", F.explode("bands").alias("band"))
+    shared = keyed.groupBy("band").agg(F.min("set_key").alias("one"), F.count("*").alias("n")).filter("n > 1").select("band", "one")
+    return keyed.join(shared, "band").filter("set_key <> one").select(F.col("set_key").alias("a"), F.col("one").alias("b")).distinct()
+
+
+def links_of(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links between the sets of one group that connect all that its links connect."""
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, left, out = np.zeros(len(names), dtype=np.int32), np.ones(len(sets), dtype=bool), []
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        queue, left[first] = [first], False
+        while queue and left.any():
+            at = queue.pop()
+            own = ids[starts[at] : starts[at] + sizes[at]]
+            mark[own] = 1
+            shared = np.add.reduceat(mark[ids], starts)
+            mark[own] = 0
+            near = left & (shared * (1 + similarity) >= similarity * (sizes + sizes[at]) - 1e-9)
+            left &= ~near
+            queue.extend(np.flatnonzero(near).tolist())
+            out.extend((at, k) for k in np.flatnonzero(near).tolist())
+    return out
+
+
+def similar_links(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): links of that similarity within groups; ``members``: grp, set_key, text."""
+
+    def linked(keys: list[int], texts: list[str]) -> pa.RecordBatch:
+        found = links_of(list(shingle_sets(pa.array(texts, pa.string()), shingle)), similarity)
+        return pa.RecordBatch.from_arrays([pa.array([keys[i] for i, _ in found], pa.int64()), pa.array([keys[k] for _, k in found], pa.int64())], names=["a", "b"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, texts = None, [], []
+        for batch in batches:
+            for grp, x, y, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != (grp, x, y):
+                    if len(keys) > 1:
+                        yield linked(keys, texts)
+                    at, keys, texts = (grp, x, y), [], []
+                keys.append(key)
+                texts.append(text or "")
+        if len(keys) > 1:
+            yield linked(keys, texts)
+
+    large = members.groupBy("grp").count().filter(F.col("count") > MOST).select("grp", F.ceil(F.col("count") / MOST).cast("int").alias("k"))
+    k = F.coalesce("k", F.lit(1))
+    block = F.pmod(F.xxhash64("set_key"), k).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), k - 1), lambda c: F.struct(F.least(block, c).alias("x"), F.greatest(block, c).alias("y")))
+    dealt = members.join(large, "grp", "left").select("grp", "set_key", "text", F.explode(pairs).alias("p")).select("grp", "p.x", "p.y", "set_key", "text")
+    return dealt.repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+
+
+def among(keys: DataFrame):
+    """A column function: whether a key may be one of ``keys`` (one column); a yes can be wrong, a no cannot."""
+    shift = 64 - (SLOTS.bit_length() - 1)
+    slots = keys.select(F.shiftrightunsigned(F.xxhash64(keys.columns[0]), shift).alias("slot")).distinct()  # at most SLOTS rows
+    bits = np.zeros(SLOTS, dtype=bool)
+    bits[slots.toArrow()["slot"].to_numpy()] = True
+    table = np.packbits(bits).tobytes()
+    look_up = arrow_udf(lambda at: pa.array(np.unpackbits(np.frombuffer(table, dtype=np.uint8)).astype(bool)[at.to_numpy(zero_copy_only=False)]), "boolean")
+    return lambda key: look_up(F.shiftrightunsigned(F.xxhash64(key), shift))

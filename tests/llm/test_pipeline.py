@@ -4,6 +4,7 @@ import pytest
 from samples import prose
 
 import corpus_pipeline
+from foliozone.llm import similar
 from foliozone.llm.queries import ORACLES, QUERIES
 from foliozone.llm.tables import text_key
 
@@ -36,6 +37,32 @@ def test_decisions_take_effect(spark):
     assert kept["secret scans"][1]["text"] == clean
 
 
+def test_copies_of_four_fifths_go_and_lesser_ones_stay(spark):
+    def edited(seed, every, n=300):
+        words = prose(seed, n, 3000).split()
+        return " ".join(f"z{seed}z{i}" if i % every == every - 1 else w for i, w in enumerate(words))
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    rows = []
+    for k in range(30):  # single words changed: 0.8 and more, and below
+        rows += [(10 * k, prose(700 + k, 300, 3000)), (10 * k + 1, edited(700 + k, 50)), (10 * k + 2, edited(700 + k, 20))]
+    text = dict(rows)
+    alike = lambda a, b: len(shingles(text[a]) & shingles(text[b])) / len(shingles(text[a]) | shingles(text[b]))
+    assert all(0.8 <= alike(10 * k, 10 * k + 1) < 0.9 and alike(10 * k, 10 * k + 2) < 0.7 for k in range(30))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == {i for i, _ in rows if i % 10 != 1}
+
+
+def test_large_groups_are_dealt_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similar, "MOST", 7)
+    rows = [(i, prose(1, 200, 3000) + f" tail{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()] == [0]
+
+
 def test_run_ends_in_pieces(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 150 and rows.filter("n_pieces <> size(piece_ids) or n_pieces = 0").count() == 0
