@@ -54,9 +54,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, the sampled pieces of the text and their number."""
-    ids = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"))
-    return ids.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"))
+    """doc_id, lang, source, the sampled pieces of the text, their number, and whether they decode to the text."""
+    small_batches(spark)
+    both = docs.select("doc_id", "lang", "source", sentence_pieces.round_trip("text", F.xxhash64("doc_id")).alias("r"))
+    return both.select("doc_id", "lang", "source", F.col("r.ids").alias("piece_ids"), F.size("r.ids").cast("bigint").alias("n_pieces"), "r.lossless")
 
 
 STAGES = [
@@ -64,7 +65,7 @@ STAGES = [
     ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminated),
     ("secret scans", without_secrets),
-    ("SentencePiece encoding", tokenized),
+    ("SentencePiece encoding and decoding", tokenized),
 ]
 
 #: Fingerprints, trained models and sampling have no SQL: tested against plain versions instead.

@@ -68,6 +68,11 @@ def test_run_ends_in_pieces(spark):
     assert rows.count() > 150 and rows.filter("n_pieces <> size(piece_ids) or n_pieces = 0").count() == 0
 
 
+def test_the_last_stage_tells_whether_pieces_decode(spark, messy):
+    rows = corpus_pipeline.STAGES[-1][1](spark, messy, SF)
+    assert rows.count() == messy.count() and rows.filter("lossless is null or not lossless").count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, name):
     from compare import compare, connect
