@@ -12,7 +12,9 @@ Before the join, documents drop fingerprints that no item can have by a bit tabl
 ``SLOTS`` bits; whatever passes it is joined exactly, so a larger benchmark only lets more pass.
 
 Null and empty texts have no words and no hits; an empty benchmark leaves all documents clean.
-Repeated rows get equal results, one each. Repeated items count once for each different item_id.
+Repeated rows get equal results, one each. Repeated items count once for each different item_id. Items without an id count like any other in
+n_hit and contaminated; all of them together are one item more in n_items, and add nothing to the
+digest of the ids.
 """
 
 from __future__ import annotations
@@ -183,19 +185,20 @@ def _extend(texts: pa.Array, items: pa.Array) -> pa.Array:
             for a, b in shared_spans(words, item, sizes[size]):
                 hit[a] += 1
                 hit[b] -= 1
-                found.add(str(each["item_id"]))
-        rows.append({"n_hit": int((np.cumsum(hit)[:-1] > 0).sum()), "item_ids": sorted(found)})
+                found.add(None if each["item_id"] is None else str(each["item_id"]))
+        ids = sorted(found - {None}) + [None] * (None in found)
+        rows.append({"n_hit": int((np.cumsum(hit)[:-1] > 0).sum()), "item_ids": ids})
     return pa.array(rows, pa.struct([("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string()))]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_words, n_hit, item_ids, contaminated), a row for every row of ``docs``.
 
-    ``item_ids``: the items with occurring windows, as sorted strings.
+    ``item_ids``: the items with occurring windows, as sorted strings, a null last for those without an id.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    items = stage(item_prints(benchmark.filter("item_id is not null")), "item_prints")
+    items = stage(item_prints(benchmark), "item_prints")
     short = tuple(sorted(r[0] for r in items.filter(F.col("n_words") < SPAN).select("n_words").distinct().collect()))
     shift = 64 - (SLOTS.bit_length() - 1)
     slots = items.select(F.shiftrightunsigned("fp", shift).alias("slot")).distinct()  # at most SLOTS rows

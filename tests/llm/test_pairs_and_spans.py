@@ -84,6 +84,16 @@ def test_decontamination_equals_the_plain_version(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == plain_decontamination(docs, items)
 
 
+def test_items_without_an_id_count(spark):
+    docs = [(1, prose(80, 20)), (2, prose(80, 20) + " " + prose(81, 20)), (3, prose(82, 20)), (4, prose(83, 20))]
+    items = [(None, prose(80, 20)), (None, prose(83, 20)), (None, prose(83, 15)), (7, prose(81, 20)), (None, None)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = decontamination.digest(decontamination.decontaminate(table, spark.createDataFrame(items, "item_id bigint, text string")))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = [(1, 20, 20, 1, sha(""), True), (2, 40, 40, 2, sha("7"), True), (3, 20, 0, 0, sha(""), False), (4, 20, 20, 1, sha(""), True)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_decontamination_of_empty_tables(spark, messy, empty):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.decontaminate(messy, none).filter("n_hit > 0 or contaminated").count() == 0
