@@ -4,6 +4,11 @@ Some hundred licenses and versions, each stated once with its name, and a handfu
 one (identifier tag, grant, name with "license", address) give several hundred regex rules; notices
 that name no license have rules of their own. A rule runs only on texts that hold one of its keywords.
 
+A space of a rule stands for any run of ASCII characters that are no word's, as in the base phrases:
+line ends, indents, comment marks, quotes. Where a rule may do without the separator ("gpl2"), only
+a space, a hyphen or a line end with its indent and comment marks may stand there, so that "GPL, 2
+files" is no version. Keywords are sought in the text with such runs made one space.
+
 Every match is a detection (rule, first, end). A detection whose interval lies inside another's of
 the same or a higher priority is dropped, of equal intervals the first rule's stays, and of two that
 cross, the one of lower priority. The labels left are the text's, with those of the base phrases;
@@ -27,6 +32,9 @@ from foliozone.llm.native import let, matches, no_nulls
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: What may stand where a rule needs no separator: blanks, or a line end with indent and comment marks.
+_LAYOUT = r"(?:-|[ \t]*[\r\n]\s*(?:[/*#;%!>|\"'-]+\s*)?|[ \t]+)?"
+
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
@@ -143,6 +151,17 @@ _COMMON = {"mit", "isc", "ruby", "vim", "json", "zlib", "w3c", "postgresql", "op
 _SPELLED = {"0": "zero", "1": "one", "2": "two", "3": "three", "4": "four"}
 
 
+def _spaced(regex: str) -> str:
+    """The regex with its spaces widened: ``[ -]?`` and `` ?`` to what layout puts there, others to any gap."""
+    parts = {"[ -]?": _LAYOUT, " ?": _LAYOUT, "[ -]": _GAP, " ": _GAP}
+    return re.sub(r"\[ -\]\??| \??", lambda m: parts[m[0]], regex)
+
+
+def _even(text: Column) -> Column:
+    """Lower case, gaps made one space, one at either end."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), _GAP, " "), F.lit(" "))
+
+
 def rules() -> list[dict]:
     """All rules in order: priority first, then as stated above."""
     out = []
@@ -155,10 +174,10 @@ def rules() -> list[dict]:
                 if way == "mention" and label in _COMMON:
                     continue
                 gate = keyword if way == "mention" or len(keyword) > 3 else "licen" if way in ("tag", "field", "name") else " under "
-                regex = rf"(?i)(?<![0-9a-z]){around.replace('{name}', full)}(?![0-9a-z])"
+                regex = rf"(?i)(?<![0-9a-z]){_spaced(around.replace('{name}', full))}(?![0-9a-z])"
                 out.append({"label": label.replace("{v}", v), "keywords": gate.split("|"), "regex": regex, "priority": priority, "score": confidence})
     for label, keyword, regex, priority, confidence in NOTICES:
-        out.append({"label": label, "keywords": keyword.split("|"), "regex": rf"(?i)(?<![0-9a-z]){regex}", "priority": priority, "score": confidence})
+        out.append({"label": label, "keywords": keyword.split("|"), "regex": rf"(?i)(?<![0-9a-z]){_spaced(regex)}", "priority": priority, "score": confidence})
     out.sort(key=lambda r: -r["priority"])
     return [r | {"rank": k} for k, r in enumerate(out)]
 
@@ -199,8 +218,9 @@ def detections(text: Column, all_rules: list[dict] | None = None) -> Column:
         return F.when(F.size(held) > 0, kept).otherwise(F.array().cast(_NONE))
 
     # a plain search for each keyword, which costs far less than one regex of them all
-    known = F.from_json(F.lit(json.dumps(keywords(all_rules))), "array<string>")
-    return let(let(F.lower(text), lambda low: F.filter(known, lambda k: F.contains(low, k))), judged)
+    known = F.from_json(F.lit(json.dumps([{"k": k, "even": re.sub(_GAP, " ", k)} for k in keywords(all_rules)])), "array<struct<k:string,even:string>>")
+    held = let(_even(text), lambda low: F.transform(F.filter(known, lambda k: F.contains(low, k["even"])), lambda k: k["k"]))
+    return let(held, judged)
 
 
 def _phrase(words: str) -> str:

@@ -178,6 +178,26 @@ def test_detections_and_suppression_equal_the_plain_version(spark):
     assert labels[3] == "gpl-3" and labels[6] == "apache-2" and labels[len(texts) - 1] == "" and "cc-by-nc-4.0" in labels[4]
 
 
+def test_notices_are_found_however_they_are_wrapped(spark):
+    notices = {
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted. All rights reserved.",
+        "gpl": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "apache-2": "Licensed under the Apache License, Version 2.0 (the License)",
+        "mpl-2.0": "subject to the terms of the Mozilla Public License, v. 2.0.",
+        "gpl-3": "released under the GNU General Public License, version 3 of the License",
+    }
+    ways = [" ", "\n", "\r\n    ", "\n * ", "\n# ", "\n// "]
+    texts = [(label, way, way.lstrip() + notice.replace(" ", way)) for label, notice in notices.items() for way in ways]
+    rows = licenses.scan(spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id bigint, text string")).collect()
+    for r in rows:
+        label, way, _ = texts[r["doc_id"]]
+        assert label in r["labels"].split(","), (label, way, r["labels"])
+    none = spark.createDataFrame([(1, "GPL, 2 files"), (2, "the GPL\n\nmodification of forms")], "doc_id bigint, text string")
+    assert "gpl-2" not in licenses.scan(none).first()["labels"]
+
+
 def test_license_scans_of_odd_tables(messy, clashing, empty):
     assert same_rows(licenses.digest(licenses.scan(messy)), licenses.digest(licenses.scan(clashing)))
     assert licenses.scan(empty).count() == 0
