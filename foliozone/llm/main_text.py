@@ -4,10 +4,11 @@ The standard library's parser streams events; they become lines, one for every b
 with its number of characters and of tags, its container, and whether the page itself labels it as
 something else than content (by element, role, class or id). On the other lines the text-to-tag
 ratio is smoothed with a Gaussian and split in two clusters by a threshold between their means, on
-a logarithmic scale; lines of the upper cluster are content. A region is content if it holds such a
-line that also reaches the threshold by its own ratio: an ``article`` or ``main`` element where the page has one with text, else the container of
-the line. All unlabelled lines of content regions are kept, in page order, so that short paragraphs
-and headings stay with their article.
+a logarithmic scale; lines of the upper cluster that also reach the threshold by their own ratio
+are content for certain. What is kept is every unlabelled line of the page's ``article`` and
+``main`` elements where it has such with text; else of the smallest element that holds all certain
+content, widened to the elements around it for as long as what that adds is not lists of links.
+So headings, table cells, quotes and short sections stay, whatever elements they are in.
 
 Broken markup: open paragraphs, list items and cells end where the next one starts, unknown end
 tags are ignored, and what is still open at the end closes there. Character references are decoded,
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -69,6 +71,7 @@ class Line:
     container: int
     region: int  # the outermost article or main around it, 0 for none
     labelled: bool
+    linked: int  # characters inside links
 
 
 @dataclass
@@ -77,6 +80,7 @@ class Open:
     skipped: bool
     container: int
     region: int
+    link: bool = False
 
 
 class Lines(HTMLParser):
@@ -87,15 +91,17 @@ class Lines(HTMLParser):
         self.lines: list[Line] = []
         self.stack = [Open("", False, 0, 0)]
         self.parts: list[str] = []
-        self.tags = self.made = 0
+        self.tags = self.made = self.linked = 0
+        self.around = [0]  # by container: the one around it
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             top = self.stack[-1]
-            self.lines.append(Line(text, self.tags, top.container, top.region, top.skipped))
+            self.lines.append(Line(text, self.tags, top.container, top.region, top.skipped, self.linked))
             self.tags = 0
         self.parts.clear()
+        self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         block = tag in BLOCKS
@@ -112,11 +118,12 @@ class Lines(HTMLParser):
         container, region = top.container, top.region
         if tag in CONTAINERS:
             self.made += 1
+            self.around.append(container)
             container = self.made
             if not region and tag in ("article", "main"):
                 region = self.made
         skipped = top.skipped or self.labelled(tag, attrs)
-        self.stack.append(Open(tag, skipped, container, region))
+        self.stack.append(Open(tag, skipped, container, region, top.link or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
@@ -134,6 +141,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
+        if self.stack[-1].link:
+            self.linked += len("".join(data.split()))
 
     def close_before(self, tag: str) -> None:
         """Ends the open paragraph, and what else the start of ``tag`` ends."""
@@ -193,21 +202,39 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
-def content(lines: list[Line]) -> list[str]:
-    """The lines of content regions."""
+def content(lines: list[Line], around: list[int]) -> list[str]:
+    """The lines of the content region; ``around``: the container around each container."""
     lines = [x for x in lines if not x.labelled]
     if any(x.region for x in lines):
-        lines = [x for x in lines if x.region]
+        return [x.text for x in lines if x.region]
     if not lines:
         return []
     own = [math.log1p(len(x.text) / max(1, x.tags)) for x in lines]
     ratios = smoothed(own)
     cut = threshold(ratios)
-    place = lambda x: (x.region, 0 if x.region else x.container)
     # a line that is high by its neighbours alone makes no region
-    regions = {place(x) for x, r, o in zip(lines, ratios, own, strict=True) if r >= cut and o >= cut}
-    regions = regions or {place(lines[own.index(max(own))])}
-    return [x.text for x in lines if place(x) in regions]
+    high = {x.container for x, r, o in zip(lines, ratios, own, strict=True) if r >= cut and o >= cut}
+    high = high or {lines[own.index(max(own))].container}
+    # containers are numbered as they open, so the largest number is never around another
+    heap = [-c for c in high]
+    heapify(heap)
+    while len(heap) > 1:
+        at = heappop(heap)
+        if heap[0] != at:
+            heappush(heap, -around[-at])
+    common = -heap[0]
+    level, n = {common: 0}, 0  # 0: the common container, 1: the one around it, and so on
+    at = common
+    while at:
+        at, n = around[at], n + 1
+        level[at] = n
+    for c in range(len(around)):
+        level.setdefault(c, level[around[c]] if c else n)
+    added: dict[int, list[Line]] = {}
+    for x in lines:
+        added.setdefault(level[x.container], []).append(x)
+    most = next((k for k in range(1, n + 1) if any(2 * x.linked > len("".join(x.text.split())) for x in added.get(k, ()))), n + 1)
+    return [x.text for x in lines if level[x.container] < most]
 
 
 def main_text(html: str) -> str:
@@ -215,7 +242,7 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.end_line()
-    return "\n\n".join(content(parser.lines))
+    return "\n\n".join(content(parser.lines, parser.around))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -90,6 +90,19 @@ def test_regions_by_ratio_where_no_article_is_marked():
     assert main_text.main_text(page) == f"Title\n\n{long}\n\nShort.\n\n{long}"
 
 
+def test_short_blocks_stay_whatever_holds_them():
+    long = [prose(k, 80) for k in range(4)]
+    nav = "<div><ul>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(20)) + "</ul></div>"
+    blocks = ["<div><h2>Title</h2></div>", f"<div><p>{long[0]}</p></div>", "<blockquote><p>Short quote.</p></blockquote>", "<table><tr><td>c1</td><td>c2</td></tr></table>", f"<section><p>{long[1]}</p></section>", "<section><p>Brief.</p></section>"]
+    want = ["Title", long[0], "Short quote.", "c1", "c2", long[1], "Brief."]
+    text = "\n\n".join(want)
+    inner = "".join(blocks)
+    assert main_text.main_text(f"<body>{inner}</body>") == text
+    assert main_text.main_text(f"<body>{nav}<div>{inner}</div>{nav}</body>") == text
+    assert main_text.main_text(f"<body>{nav}<div><div><h1>T</h1></div><div><p>{long[2]}</p></div><table><tr><td>x</td></tr></table></div></body>") == f"T\n\n{long[2]}\n\nx"
+    assert main_text.main_text("<body>" + "".join(f"<article><p>{t}</p></article>" for t in (long[0], "Short one.", long[1])) + "</body>") == f"{long[0]}\n\nShort one.\n\n{long[1]}"
+
+
 @given(st.text(alphabet="<>/abp &;!-='\" \n", max_size=80))
 @settings(max_examples=300, deadline=None)
 def test_any_markup_is_taken(page):
