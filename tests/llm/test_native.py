@@ -119,6 +119,15 @@ def test_quality_equals_the_plain_version(spark):
     assert sorted(map(tuple, quality.judge(docs).collect()), key=repr) == plain_quality(rows)
 
 
+def test_boilerplate_lines_leave_the_kept_texts(spark):
+    rows = [(i, f"{prose(500 + i, 60)}\n\nPage {i} of 99\n{prose(600 + i, 60)}", "en", "c", 0) for i in range(14)]
+    rows += [(20, "Page 1 of 99\n" + prose(9, 60), "en", None, 0), (21, prose(8, 3), "en", "c", 0), (0, *rows[0][1:])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = [(i, f"{prose(500 + i, 60)}\n\n{prose(600 + i, 60)}") for i in [*range(14), 0]] + [(20, rows[14][1])]
+    assert sorted((r["doc"]["doc_id"], r["clean"]) for r in quality.cleaned(docs).collect()) == sorted(want)
+    assert {tuple(r["removed_lines"]) for r in quality.verdicts(docs).filter("doc_id < 14").collect()} == {(2,)}
+
+
 def test_quality_of_odd_tables(messy, clashing, empty):
     assert same_rows(quality.judge(messy), quality.judge(clashing))
     assert quality.judge(empty).count() == 0
