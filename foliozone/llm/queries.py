@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, language, licenses, main_text, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
+from foliozone.llm import decontamination, filter_audit, language, licenses, main_text, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
@@ -51,6 +51,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.digest(decontamination.decontaminate(docs, items))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_license_scans,
         op10_benchmark_decontamination,
+        op13_filter_audit,
     )
 }
 
@@ -114,5 +119,31 @@ t AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)
+""",
+    "op13_filter_audit": r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT t, min(doc_id) AS first FROM t GROUP BY t),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN ['A'] ELSE [] END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN ['B'] ELSE [] END ||
+    CASE WHEN 100 * length(regexp_replace(t.t, '[^A-Z]', '', 'g')) > 10 * length(t.t) THEN ['C'] ELSE [] END ||
+    CASE WHEN regexp_matches(t.t, '[#$%&*|]') THEN ['D'] ELSE [] END || CASE WHEN t.doc_id > first THEN ['E'] ELSE [] END AS f
+  FROM t JOIN s USING (t) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY part, f),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s2 AS (SELECT array_to_string(o, '') AS filter_order, i AS step, o[i] AS x, o[1 : i - 1] AS before FROM (SELECT o, unnest(range(1, 6)) AS i FROM o)),
+r AS (SELECT part, filter_order, step, x,
+    sum(CASE WHEN NOT list_has_any(f, before) AND NOT list_contains(f, x) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT list_has_any(f, before) AND list_contains(f, x) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN list_has_any(f, before) AND list_contains(f, x) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN f = [x] THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT list_has_any(f, before) AND list_contains(f, x) THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT list_has_any(f, before) AND list_contains(f, x) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s2 GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
 """,
 }
