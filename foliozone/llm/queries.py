@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, filter_audit, language, licenses, main_text, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
+from foliozone.llm import decontamination, filter_audit, language, licenses, main_text, phrases, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
 from foliozone.llm.tables import table
 
 
@@ -51,6 +51,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.digest(decontamination.decontaminate(docs, items))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_license_scans,
         op10_benchmark_decontamination,
+        op12_phrase_collocations,
         op13_filter_audit,
     )
 }
@@ -119,6 +124,24 @@ t AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)
+""",
+    "op12_phrase_collocations": r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t)),
+g AS (SELECT lang, k, w[i : i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) r(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k AS size, g, count(*) AS f FROM g GROUP BY lang, k, g),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+q AS (SELECT lang, size, g, f FROM f WHERE f >= 30),
+c AS (SELECT lang, size, g, f AS a FROM q WHERE size > 1),
+h AS (SELECT lang, s, max(a) AS longer FROM (SELECT lang, a, g[i : i + k - 1] AS s FROM (SELECT c.*, k, unnest(range(1, size - k + 2)) AS i FROM c, range(2, 4) r(k) WHERE k < size)) GROUP BY lang, s),
+u AS (SELECT c.* FROM c LEFT JOIN h ON c.lang = h.lang AND c.g = h.s WHERE longer IS NULL OR longer::HUGEINT * 100 < a::HUGEINT * 80),
+x AS (SELECT lang, g, a, k, g[1 : k] AS head, g[k + 1 : size] AS tail FROM u, range(1, 4) r(k) WHERE k < size),
+y AS (SELECT x.lang, x.g, x.a, x.k, l.f AS l, r.f AS r, (2000000::HUGEINT * x.a) // (l.f::HUGEINT + r.f) AS score
+  FROM x JOIN q l ON x.lang = l.lang AND x.head = l.g JOIN q r ON x.lang = r.lang AND x.tail = r.g),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS cut FROM y),
+o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM z WHERE cut = 1),
+v AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM v JOIN n USING (lang) WHERE rank <= 2000
 """,
     "op13_filter_audit": r"""
 WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
