@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliozone.llm import decontamination, filter_audit, language, licenses, main_text, phrases, quality, secret_scan, sentence_pieces, simhash, substrings, token_counts
+from foliozone.llm import decontamination, filter_audit, language, licenses, main_text, phrases, quality, secret_scan, sentence_pieces, simhash, substrings, suffixes, token_counts
 from foliozone.llm.tables import table
 
 
@@ -51,6 +51,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.digest(decontamination.decontaminate(docs, items))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.repeated_spans(table(spark, sf_dir, "documents")))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_near_dedup,
         op9_license_scans,
         op10_benchmark_decontamination,
+        op11_suffix_array_dedup,
         op12_phrase_collocations,
         op13_filter_audit,
     )
