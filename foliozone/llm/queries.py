@@ -129,6 +129,20 @@ t AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)
+""",
+    "op11_suffix_array_dedup": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 599) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0), 500)) AS b FROM d)),
+w AS (SELECT doc_id, b + i AS p, md5(substr(s, 2 * i + 1, 200)) AS g FROM (SELECT doc_id, b, s, unnest(range(0, length(s) // 2 - 99)) AS i FROM c)),
+f AS (SELECT g, min(row(doc_id, p)) AS first FROM w GROUP BY g HAVING count(*) > 1),
+x AS (SELECT doc_id, p FROM w JOIN f USING (g) WHERE row(doc_id, p) <> first),
+y AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM x),
+i AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS e FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM y) GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS e FROM i UNION ALL SELECT doc_id, max(e) AS a, NULL AS e FROM i GROUP BY doc_id),
+r AS (SELECT doc_id, sha256(unhex(string_agg(substr(h, 2 * a + 1, coalesce(2 * (e - a), length(h))), '' ORDER BY a))) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(e - a) AS n_removed, count(*) AS n_spans FROM i GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(kept, sha256(t)) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)
 """,
     "op12_phrase_collocations": r"""
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),

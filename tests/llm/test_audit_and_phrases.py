@@ -6,7 +6,7 @@ from itertools import permutations
 
 from samples import prose
 
-from foliozone.llm import filter_audit
+from foliozone.llm import filter_audit, phrases
 
 # --- filter audit
 
@@ -71,3 +71,78 @@ def test_characters_count_by_code_points():
     assert not filter_audit.own_fails(("A" + "é" * 9 + " ").encode() * 100) & 4
     assert filter_audit.own_fails(b"AAbbbbbbbb") & 4
     assert filter_audit.own_fails(b"a|b") & 8
+
+
+# --- phrases
+
+
+def plain_phrases(docs, least=30, most=2000):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    f, n, out = {}, Counter(), []
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(low)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    f.setdefault(lang, Counter())[tuple(words[i : i + k])] += 1
+    for lang, counts in f.items():
+        longer = {}
+        for g, a in counts.items():
+            for k in range(2, len(g)):
+                for i in range(len(g) - k + 1):
+                    longer[g[i : i + k]] = max(longer.get(g[i : i + k], 0), a if a >= least else 0)
+        rows = []
+        for g, a in counts.items():
+            if len(g) < 2 or a < least or 100 * longer.get(g, 0) >= 80 * a:
+                continue
+            score, _, l, r = min((2_000_000 * a // (counts[g[:k]] + counts[g[k:]]), k, counts[g[:k]], counts[g[k:]]) for k in range(1, len(g)))  # noqa: E741
+            rows.append((-score, -a, " ".join(g).encode(), l, r))
+        out += [(lang, i, g.decode(), -a, l, r, n[lang], -s) for i, (s, a, g, l, r) in enumerate(sorted(rows)[:most], 1)]
+    return sorted(out)
+
+
+def phrase_docs():
+    rows = [(prose(i, 300, 12), ["en", "de", None, "und"][i % 4]) for i in range(40)]
+    rows += [("The Quick brown\tfox jumps over. the lazy dog\nsat; on, a a a a mat", "en")] * 35
+    rows += [("un deux trois quatre cinq six sept huit", "fr")] * 31 + [("é è ê", "fr"), (None, "fr"), ("", None), ("x" * 70000, "en"), ("w " * 500, "es")]
+    rows += [("a b c. b c a. c a b", "rg"), ("a b c a b c a b c a", "rg")] * 20  # a closed ring
+    return rows
+
+
+def test_phrases_equal_the_plain_version(spark):
+    rows = phrase_docs()
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for least, most in ((30, 2000), (30, 7), (3, 50)):
+        got = sorted(map(tuple, phrases.mine(docs, least, most).collect()))
+        assert got == plain_phrases(rows, least, most) and got
+
+
+def test_phrases_survive_small_tables_of_words(spark, monkeypatch):
+    # a full bit table, sums handed on early: nothing changes
+    monkeypatch.setattr(phrases, "HELD", 50)
+    rows = phrase_docs()
+    words = phrases.word_counts(spark.createDataFrame(rows, "text string, lang string"))
+    assert words.agg({"n": "sum"}).first()[0] == sum(r[6] for r in {r[0]: r for r in plain_phrases(rows, 1)}.values())
+    assert sorted(map(tuple, phrases.mine(spark.createDataFrame(rows, "text string, lang string")).collect())) == plain_phrases(rows)
+
+
+def test_paths_are_fixed_expressions(spark):
+    docs = spark.createDataFrame(phrase_docs(), "text string, lang string")
+    words = phrases.word_counts(docs)
+    counts = phrases.phrase_counts(docs, words)
+    edges = counts.filter("w4 <> 0")
+    found = phrases.paths(edges)
+    texts = {(r["lang"], r["expression"]): (r["n_words"], r["least"], r["most"]) for r in phrases.expressions(found, words).collect()}
+    assert texts["fr", "un deux trois quatre cinq six sept huit"] == (8, 31, 31)
+    assert texts["en", "the quick brown fox jumps over"][0] == 6
+    # every edge is on one path
+    assert sum(len(r["counts"]) for r in found.collect()) == edges.count()
+
+
+def test_phrases_of_nothing_and_messy_rows(spark, empty, messy, clashing):
+    assert phrases.mine(empty).count() == 0
+    want = plain_phrases([(r["text"], r["lang"]) for r in messy.collect()])
+    assert sorted(map(tuple, phrases.mine(messy).collect())) == want
+    assert sorted(map(tuple, phrases.mine(clashing).collect())) == want
