@@ -13,10 +13,11 @@ pair; and over pairs the single words. So one shuffle of edges gives the counts
 edges are joined to paths by pointer doubling. Paths are the fixed expressions, of any length, and the
 candidates of four words are read off them. Edges of a closed ring stay paths of one edge each.
 
-A phrase is frequent with ``least`` occurrences, and so are all its parts. Words that are rarer end a
-piece, which leaves the counts of frequent phrases as they are: a bit table of fixed size tells most of
-them (one that it takes for frequent only costs an edge more). Words are 64-bit names of language and
-word, phrases are told apart by the names of their words in order.
+A phrase is frequent with ``least`` occurrences, and so are all its parts. A rarer word, and the place
+between two words of a rarer pair, end a piece, which leaves the counts of frequent phrases as they
+are. So words are counted first, then pairs, and bit tables of their frequent ones go to the tasks; what
+a table takes for frequent by mistake costs an edge more, nothing else. Words are 64-bit names of
+language and word, phrases are told apart by the names of their words in order.
 
 A null text is empty, a null lang is ``und``. Repeated rows count each. Ties of score and number go by
 phrase. An empty table gives no row.
@@ -33,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliozone.llm.tables import small_batches
-from foliozone.llm.words import blocks, byte_class, mix, raw
+from foliozone.llm.tables import Table, bit_table, small_batches
+from foliozone.llm.words import Block, blocks, byte_class, mix, pair
 from foliozone.session import stage
 
 #: A phrase seen less often is no candidate; one that a longer phrase explains to this percentage is dropped.
@@ -43,11 +44,10 @@ LEAST, EXPLAINED = 30, 80
 MOST, SCALE = 2000, 2_000_000
 LONGEST = 4
 
-#: Bits of the table of frequent words (512 KB).
-SLOTS = 1 << 22
-_SHIFT = 64 - (SLOTS.bit_length() - 1)
-#: Edges that a task sums before it hands them on.
-HELD = 1 << 20
+#: Bytes of text whose words a task counts together.
+TOGETHER = 4 << 20
+#: Rows that a task sums before it hands them on, and those it hands on at once.
+HELD, HANDED = 1 << 19, 1 << 16
 
 STOPS = byte_class(*((b, b) for b in b".,;:!?"), (0x0A, 0x0D))
 WORD = ~(STOPS | byte_class((0x20, 0x20), (0x09, 0x09)))
@@ -58,18 +58,32 @@ NAMES = ["w1", "w2", "w3", "w4"]
 # --- in a task
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, object]]:
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about TOGETHER bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= TOGETHER:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array, Block]]:
     """(names, pieces, languages, block) of the words of each block of (lang, text)."""
-    lang = batch.column(0).dictionary_encode()
-    keys = np.array([xxhash.xxh64_intdigest(v.encode(), LONGEST) for v in lang.dictionary.to_pylist()], dtype=np.uint64)
-    own = lang.indices.to_numpy(zero_copy_only=False)
-    for block in blocks(batch.column(1), WORD, lower=True):
-        which = np.repeat(own[block.first : block.last], block.counts)
-        ends = np.concatenate([[0], np.cumsum(STOPS[block.data])])
-        # texts and stops before a word, together, number its piece
-        piece = ends[block.starts] + np.repeat(np.arange(len(block.counts)), block.counts)
-        # 0 marks the end of a piece
-        yield np.maximum(mix(block.names() ^ keys[which]), 1), piece, which, block
+    for batch in _gathered(batches):
+        lang = batch.column(0).dictionary_encode()
+        keys = np.array([xxhash.xxh64_intdigest(v.encode(), LONGEST) for v in lang.dictionary.to_pylist()], dtype=np.uint64)
+        own = lang.indices.to_numpy(zero_copy_only=False)
+        for block in blocks(batch.column(1), WORD, lower=True, limit=TOGETHER):
+            which = np.repeat(own[block.first : block.last], block.counts)
+            ends = np.concatenate([[0], np.cumsum(STOPS[block.data], dtype=np.int32)])
+            # texts and stops before a word, together, number its piece
+            piece = ends[block.starts] + np.repeat(np.arange(len(block.counts)), block.counts)
+            # 0 marks the end of a piece
+            yield np.maximum(mix(block.names() ^ keys[which]), 1), piece, pa.DictionaryArray.from_arrays(which, lang.dictionary), block
 
 
 def _sums(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -87,61 +101,94 @@ def _sums(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     return [c[heads] for c in columns], np.add.reduceat(counts[order], heads)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, name, word, n) of each batch's words."""
-    for batch in batches:
-        langs = batch.column(0)
-        for names, _, which, block in _pieces(batch):
-            if not len(names):
-                continue
-            found, at, n = np.unique(names, return_index=True, return_counts=True)
-            own = langs.dictionary_encode().dictionary.take(pa.array(which[at]))
-            size = block.ends[at] - block.starts[at]
-            offsets = np.concatenate([[0], np.cumsum(size)])
-            data = block.data[np.arange(offsets[-1]) + np.repeat(block.starts[at] - offsets[:-1], size)]
-            words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([own, pa.array(found.view(np.int64)), words.cast(pa.binary()).cast(pa.string()), pa.array(n)], names=["lang", "name", "word", "n"])
-
-
-def edges_of(names: np.ndarray, pieces: np.ndarray, frequent: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal runs of four words once, with their number; at the end of a piece 0 stands for what is not there."""
-    kept = np.flatnonzero(frequent)
-    # words that follow each other in a piece, without a rare one between
-    joined = np.zeros(len(kept) + LONGEST, dtype=bool)
-    joined[: max(len(kept) - 1, 0)] = (np.diff(kept) == 1) & (np.diff(pieces[kept]) == 0)
-    padded = np.concatenate([names[kept], np.zeros(LONGEST, dtype=np.uint64)])
-    live, columns = np.ones(len(kept), dtype=bool), [names[kept]]
-    for k in range(1, LONGEST):
-        live = live & joined[k - 1 : k - 1 + len(kept)]
-        columns.append(np.where(live, padded[k : k + len(kept)], np.uint64(0)))
-    return _sums(columns, np.ones(len(kept), dtype=np.int64))
+def _merged(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    return _sums([np.concatenate(c) for c in zip(*(columns for columns, _ in parts), strict=True)], np.concatenate([n for _, n in parts]))
+
+
+def _summed(parts: Iterator[tuple[list[np.ndarray], np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of columns and counts, summed as far as HELD rows go."""
+
+    def rows(columns: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(counts), HANDED):
+            part = slice(k, k + HANDED)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[part].view(np.int64)) for c in columns), pa.array(counts[part])], names=[*names, "n"])
 
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[1])
+        if size > HELD:
+            held, before = [_merged(held)], size
+            size = len(held[0][1])
+            if 2 * size > before:  # mostly different ones
+                yield from rows(*held[0])
+                held, size = [], 0
+    if held:
+        yield from rows(*_merged(held))
 
-def _edges(table: bytes):
-    def rows(columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in columns), pa.array(counts)], names=[*NAMES, "n"])
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, name, word, n)."""
+    for names, _, langs, block in _pieces(batches):
+        if not len(names):
+            continue
+        found, at, n = np.unique(names, return_index=True, return_counts=True)
+        size = block.ends[at] - block.starts[at]
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        data = block.data[np.arange(offsets[-1]) + np.repeat(block.starts[at] - offsets[:-1], size)]
+        words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+        rows = pa.RecordBatch.from_arrays([langs.take(pa.array(at)).dictionary_decode(), pa.array(found.view(np.int64)), words.cast(pa.string()), pa.array(n)], names=["lang", "name", "word", "n"])
+        yield from (rows.slice(k, HANDED) for k in range(0, len(n), HANDED))
+
+
+def pairs_of(names: np.ndarray, pieces: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, pair names) of the words that a frequent one follows in their piece, being frequent themselves."""
+    at = np.flatnonzero(frequent[:-1] & frequent[1:] & (pieces[:-1] == pieces[1:]))
+    return at, pair(names[at], names[at + 1])
+
+
+def _pairs(words: Table):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(np.frombuffer(table, dtype=np.uint8)).astype(bool)
-        held, size = [], 0
-        for batch in batches:
-            for names, pieces, _, _ in _pieces(batch):
-                held.append(edges_of(names, pieces, known[(names >> np.uint64(_SHIFT)).astype(np.int64)]))
-                size += len(held[-1][1])
-                if size > HELD:
-                    held, before = [_merged(held)], size
-                    size = len(held[0][1])
-                    if size > before // 2:  # mostly new ones: hand them on
-                        yield rows(*held[0])
-                        held, size = [], 0
-        if held:
-            yield rows(*_merged(held))
+        known = words.check()
+
+        def parts():
+            for names, pieces, _, _ in _pieces(batches):
+                _, found = pairs_of(names, pieces, known(names))
+                yield _sums([found], np.ones(len(found), dtype=np.int64))
+
+        yield from _summed(parts(), ["name"])
 
     return count
 
 
-def _merged(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
-    return _sums([np.concatenate(c) for c in zip(*(columns for columns, _ in parts), strict=True)], np.concatenate([n for _, n in parts]))
+def edges_of(names: np.ndarray, frequent: np.ndarray, joined: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal runs of four words once, with their number; 0 stands for what is not there, at the end of a piece.
+
+    ``joined``: whether a word goes on to the next one.
+    """
+    places = np.flatnonzero(frequent)
+    live, columns = np.ones(len(places), dtype=bool), [names[places]]
+    for k in range(1, LONGEST):
+        at = np.minimum(places + k, len(names) - 1)
+        live = live & joined[at - 1]
+        columns.append(np.where(live, names[at], np.uint64(0)))
+    return _sums(columns, np.ones(len(places), dtype=np.int64))
+
+
+def _edges(words: Table, pairs: Table):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, together = words.check(), pairs.check()
+
+        def parts():
+            for names, pieces, _, _ in _pieces(batches):
+                frequent, joined = known(names), np.zeros(len(names), dtype=bool)
+                at, found = pairs_of(names, pieces, frequent)
+                joined[at] = together(found)
+                yield edges_of(names, frequent, joined)
+
+        yield from _summed(parts(), NAMES)
+
+    return count
 
 
 # --- on Spark
@@ -157,19 +204,13 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _bit_table(names: DataFrame) -> bytes:
-    """A bit for every slot that a name falls into; at most SLOTS small numbers are collected."""
-    slots = names.select(F.shiftrightunsigned("name", _SHIFT).alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    bits = np.zeros(SLOTS, dtype=bool)
-    bits[slots] = True
-    return np.packbits(bits).tobytes()
-
-
 def phrase_counts(docs: DataFrame, words: DataFrame, least: int = LEAST) -> DataFrame:
     """(w1, w2, w3, w4, n), of every phrase of up to four words with ``least`` occurrences; 0 for no word."""
-    frequent = _bit_table(words.filter(F.col("n") >= least))
+    often = bit_table(words.filter(F.col("n") >= least).select("name"))
+    pairs = _texts(docs).mapInArrow(_pairs(often), "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+    together = bit_table(stage(pairs.filter(F.col("n") >= least).select("name"), "pairs"))
     # tasks have summed their own: a hot node costs a task no more rows than it has different successors
-    edges = _texts(docs).mapInArrow(_edges(frequent), "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint").repartition("w1", "w2", "w3")
+    edges = _texts(docs).mapInArrow(_edges(often, together), "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint").repartition("w1", "w2", "w3")
     edges = edges.groupBy(*NAMES).agg(F.sum("n").alias("n"))
     often = F.when((F.col("w4") != 0) & (F.col("n") >= least), F.struct("w4", "n"))
     nodes = edges.groupBy("w1", "w2", "w3").agg(F.sum("n").alias("flow"), F.collect_list(often).alias("edges"))

@@ -17,6 +17,8 @@ block lets these bytes grow: 2 * 32 offsets share ``span - 31`` bytes, then ``sp
 anew; a rank of one stretch is unique and leaves, and so do copies of an equal part of a stretch,
 to be removed. The last round's blocks are single positions, equal in all of their ``span`` bytes.
 
+Anchors are joined with the repeated ones after a bit table of these has left out most of the others.
+
 **Order.** A window goes if an equal one starts earlier: in a smaller doc_id, or in the same text before.
 Texts of equal bytes are one to begin with; all but that of the smallest doc_id go in whole.
 
@@ -39,9 +41,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from foliozone.llm.tables import same, small_batches, text_key
+from foliozone.llm.tables import Table, bit_table, same, small_batches, text_key
 from foliozone.llm.words import cuts, mix, nested, pair, raw
-from foliozone.session import stage
+from foliozone.session import discard, stage
 
 SPAN = 100
 #: Bytes hashed at a time; longer texts are cut, with an overlap of a window.
@@ -185,6 +187,20 @@ def _anchors(span: int):
     return arrow_udf(named, "struct<again:boolean,keys:array<bigint>>")
 
 
+def _likely(table: Table):
+    """The keys that may be in the table, each once."""
+
+    def chosen(keys: pa.Array) -> pa.Array:
+        flat, sizes = keys.flatten().to_numpy(zero_copy_only=False), keys.value_lengths().to_numpy(zero_copy_only=False)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        # keys of a text are in order
+        new = np.concatenate([[True], (flat[1:] != flat[:-1]) | (text[1:] != text[:-1])])[: len(flat)]
+        at = np.flatnonzero(new & table.check()(flat.view(np.uint64)))
+        return nested(flat[at], np.bincount(text[at], minlength=len(sizes)), pa.int64())
+
+    return arrow_udf(chosen, "array<bigint>")
+
+
 _OWNER = "doc_id {id}, text_key bigint, at bigint, lo int, hi int"
 
 
@@ -304,10 +320,13 @@ def _round(rows: DataFrame, half: int, span: int) -> DataFrame:
     firsts = stage(parts.groupBy(*whole).agg(F.min("from").alias("first"), F.count("*").alias("n")), "firsts")
     ranks = firsts.groupBy(*pairs).agg(F.count("*").alias("stretches")).filter("stretches > 1").orderBy(*pairs)
     ranks = stage(ranks.select(*pairs, F.monotonically_increasing_id().alias("next")), "ranks")
-    firsts = firsts.join(ranks, pairs, "left").filter("n > 1 or next is not null").select(*whole, "first", "next")
+    known = firsts.join(ranks, pairs, "left").filter("n > 1 or next is not null").select(*whole, "first", "next")
     later = F.col("from") > F.col("first")
-    found = parts.join(firsts, whole).withColumn("gone", later).filter(F.col("gone") | F.col("next").isNotNull())
-    return stage(found.select(F.col("next").alias("rank"), "block", "lo", "hi", "doc_id", "text_key", "at", "bytes", "gone"), "ranked")
+    found = parts.join(known, whole).withColumn("gone", later).filter(F.col("gone") | F.col("next").isNotNull())
+    own = F.when(~F.col("gone"), F.col("bytes")).alias("bytes")
+    found = stage(found.select(F.col("next").alias("rank"), "block", "lo", "hi", "doc_id", "text_key", "at", own, "gone"), "ranked")
+    discard(parts, firsts, ranks)
+    return found
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
@@ -317,31 +336,38 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     owner = _OWNER.format(id=kind)
     seen = docs.select("doc_id", text_key().alias("text_key"), F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("sha256"), _anchors(span)("text").alias("r"))
-    seen = stage(seen.select("doc_id", "text_key", "n_bytes", "sha256", "r.*"), "anchored")
+    anchored = stage(seen.select("doc_id", "text_key", "n_bytes", "sha256", "r.*"), "anchored")
+    seen = stage(anchored.drop("keys", "again"), "texts")
 
     # one text stands for its copies: the smallest doc_id's
     texts = seen.filter(F.col("n_bytes") >= span).groupBy("sha256").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("rep"), F.count("*").alias("n"))
     texts = stage(texts.select("sha256", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_key").alias("text_key"), "n"), "distinct_texts")
-    own = seen.filter(F.size("keys") > 0).select("doc_id", "text_key", "again", "keys").dropDuplicates(["doc_id", "text_key"])
+    own = anchored.filter(F.size("keys") > 0).select("doc_id", "text_key", "again", "keys").dropDuplicates(["doc_id", "text_key"])
     own = own.join(texts, same(own, texts, "doc_id", "text_key"), "left_semi")
     shared = stage(own.select(F.explode("keys").alias("anchor")).groupBy("anchor").count().filter("count > 1").select("anchor"), "shared_anchors")
-    anchors = own.select("doc_id", "text_key", F.explode(F.array_distinct("keys")).alias("anchor"))
+    likely = _likely(bit_table(shared.select(F.col("anchor").alias("name"))))
+    anchors = own.select("doc_id", "text_key", F.explode(likely("keys")).alias("anchor"))
     wanted = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_list("anchor").alias("keys"))
     wanted = stage(wanted, "wanted_anchors")
+    repeating = stage(own.filter("again").select("doc_id", "text_key"), "repeating")
+    discard(anchored, shared)
 
     keyed = docs.select("doc_id", text_key().alias("text_key"), text.alias("text"))
     once = lambda rows, *what: keyed.join(rows, same(keyed, rows, "doc_id", "text_key")).select(keyed["doc_id"], keyed["text_key"], "text", *what)
     found = once(wanted, "keys").mapInArrow(_found_stretches(span), f"{owner}, anchor bigint, name bigint")
     found = stage(found.withColumn("from", _order()), "stretches")
+    discard(wanted)
     whole = ["anchor", "lo", "hi", "name"]
     firsts = stage(found.groupBy(*whole).agg(F.min("from").alias("first"), F.count("*").alias("n")), "distinct_stretches")
     copies = found.join(firsts.filter("n > 1").select(*whole, "first"), whole).filter(F.col("from") > F.col("first"))
-    gone = [copies.select("doc_id", "text_key", "at", "lo", "hi")]
+    gone = [stage(copies.select("doc_id", "text_key", "at", "lo", "hi"), "copied_stretches")]
+    discard(found)
 
     open_anchors = firsts.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
     rows = firsts.join(open_anchors, "anchor", "left_semi").select("first.doc_id", "first.text_key", F.struct("first.at", "lo", "hi", "anchor").alias("p"))
-    rows = stage(rows.groupBy("doc_id", "text_key").agg(F.collect_list("p").alias("parts")), "open_stretches")
-    rows = stage(once(rows, "parts").mapInArrow(_with_bytes(span), f"{owner}, rank bigint, bytes binary").withColumn("block", F.lit(0)), "open_bytes")
+    parts = stage(rows.groupBy("doc_id", "text_key").agg(F.collect_list("p").alias("parts")), "open_stretches")
+    discard(firsts)
+    rows = stage(once(parts, "parts").mapInArrow(_with_bytes(span), f"{owner}, rank bigint, bytes binary").withColumn("block", F.lit(0)), "open_bytes")
     half = 1 << (span - span // 2).bit_length() - 1
     while half:
         ranked = _round(rows, half, span)
@@ -350,7 +376,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
     place = F.struct((F.col("at") - F.col("hi")).cast("bigint").alias("first"), (F.col("at") - F.col("lo") + span).cast("bigint").alias("end"))
     spans = reduce(DataFrame.unionByName, gone).select("doc_id", "text_key", place.alias("s"), F.lit(False).alias("again"))
-    repeating = own.filter("again").select("doc_id", "text_key", F.lit(None).cast("struct<first:bigint,end:bigint>").alias("s"), "again")
+    repeating = repeating.select("doc_id", "text_key", F.lit(None).cast("struct<first:bigint,end:bigint>").alias("s"), F.lit(True).alias("again"))
     touched = stage(spans.unionByName(repeating).groupBy("doc_id", "text_key").agg(F.collect_set("s").alias("found"), F.max("again").alias("again")), "touched")
     cut = once(touched, "found", "again").select("doc_id", "text_key", _cut(span)("text", "found", "again").alias("r")).dropDuplicates(["doc_id", "text_key"])
     cut = cut.select(F.col("doc_id").alias("cut_id"), F.col("text_key").alias("cut_key"), "r.*")
