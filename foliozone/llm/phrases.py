@@ -197,7 +197,7 @@ def _edges(words: Table, pairs: Table):
 def word_counts(docs: DataFrame) -> DataFrame:
     """(name, lang, word, n), of every word of every language."""
     counted = _texts(docs).mapInArrow(_count_words, "lang string, name bigint, word string, n bigint")
-    return counted.groupBy("name").agg(F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("n").alias("n"))
+    return counted.groupBy("name", "lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
