@@ -216,6 +216,12 @@ UNION ALL SELECT cell_seq, CAST(coalesce(last, 0) + 1 AS INTEGER), 'listing_page
 
 _COUNTED = f"{RECORDS}, counted AS (SELECT cell_seq, body_code, count(*) AS n FROM records GROUP BY ALL)"
 
+ORACLES["payload_attach"] = """
+SELECT 'PAGE ' || page_id AS identifier,
+  CASE WHEN page_id % 10 < 8 THEN 'sha256:' || sha256(html || chr(10)) END AS payload_hash,
+  CASE WHEN page_id % 10 < 8 THEN CAST(strlen(html) + 1 AS BIGINT) END AS payload_bytes
+FROM pages
+"""
 ORACLES["handoff_totals"] = f"""
 WITH {_COUNTED} SELECT cell_seq, n AS reported_total FROM counted WHERE n % 2 = 0"""
 

@@ -420,6 +420,38 @@ def listing_chain(spark, sf_dir):
     return failed.unionByName(counts(capture.items, "records")).unionByName(counts(rejected, "rejected"))
 
 
+@query
+def payload_attach(spark, sf_dir):
+    """Pages as files of their own beside a hand-off that names paths: stored objects, and what failed.
+
+    Some rows have no path and some name a file that is not there.
+    """
+    import uuid
+
+    root = f"{shared_folder(spark)}/handoff/{uuid.uuid4().hex}"
+    table(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(f"{root}/documents")
+    files = handoff.read_payloads(spark, f"{root}/documents")
+    held = files.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("bigint").alias("item_seq"), F.col("path").alias("local_path"))
+    key = F.col("item_seq") % 10
+    items = inputs.page_items(spark, sf_dir).drop("payload", "error_code", "error_reason").join(held, "item_seq", "left")
+    items = items.withColumns(
+        {
+            "payload_ref": F.when(key == 8, F.concat("local_path", F.lit(".gone"))).when(key != 9, F.col("local_path")),
+            "error_code": F.when(key >= 8, F.lit("504")),
+            "error_reason": F.lit(None).cast("string"),
+        }
+    )
+    handoff.to_lines(handoff.Capture.of(spark, items)).write.json(f"{root}/lines")
+    capture = handoff.split_lines(handoff.read_lines(spark, f"{root}/lines"), files)
+    space = inputs.workspace(spark)
+    result = runs.ingest_date_range(space, inputs.pages_site(sf_dir), capture, *YEAR, RUN_TS)
+    objects = space.landing.snapshot().objects()
+    stored = objects.select("identifier", hashing.content_hash(F.col("payload")).alias("payload_hash"), F.octet_length("payload").cast("bigint").alias("payload_bytes"))
+    none = F.lit(None)
+    failed = result.failures.select("identifier", none.cast("string").alias("payload_hash"), none.cast("bigint").alias("payload_bytes"))
+    return stored.unionByName(failed)
+
+
 @query
 def handoff_totals(spark, sf_dir):
     return _read_handoff(spark, sf_dir).totals

@@ -15,7 +15,8 @@ from foliozone.plans.periods import join_cells
 from foliozone.session import stage
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture, captured_rows
-from foliozone.sources.zones import Zone, kind_of, period_of
+from foliozone.sources.payloads import Payloads, RowPayloads, prints_of
+from foliozone.sources.zones import OBJECT_FOLDERS, Zone, kind_of, period_of
 
 STAGE = "ingest"
 
@@ -30,18 +31,27 @@ class StageResult:
     failures: DataFrame
 
 
-def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter) -> DataFrame:
-    """Captured rows without their payloads: both hashes and the landing key are taken at the scan."""
-    payload = F.col("payload")
-    named = items.select(
+def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
+    """Captured rows without their payloads: both hashes and the landing key, taken where the bytes are."""
+    if payloads is None:
+        payload = F.col("payload")
+        file_hash, fingerprint = hashing.content_hash(payload), hashing.content_hash(adapter.normalise(payload, F.col("content_type")))
+        found, kept = items, []
+    else:
+        # narrow rows meet narrow prints
+        found, kept = items.join(payloads.prints(adapter, items), "payload_ref", "left"), ["payload_ref", "payload_bytes"]
+        payload = file_hash = F.col("file_hash")
+        fingerprint = F.when(keys.is_html(F.col("content_type")), F.col("html_hash")).otherwise(file_hash)
+    named = found.select(
         "cell_seq",
         "item_seq",
         *schemas.RECORD_COLUMNS,
         "error_code",
         "error_reason",
+        *kept,
         payload.isNotNull().alias("has_payload"),
-        hashing.content_hash(payload).alias("file_hash"),
-        hashing.content_hash(adapter.normalise(payload, F.col("content_type"))).alias("content_fingerprint"),
+        file_hash.alias("file_hash"),
+        fingerprint.alias("content_fingerprint"),
         F.monotonically_increasing_id().alias("row_id"),  # kept once staged
     ).join(_named_cells(cells), "cell_seq", "left")
     return (
@@ -88,17 +98,17 @@ def reachable(capture: Capture) -> Capture:
         return df.join(dead, "cell_seq", "left_anti")
 
     return Capture(
-        alive(capture.items), alive(capture.totals), alive(capture.listing_failures), capture.dead_cells
+        alive(capture.items), alive(capture.totals), alive(capture.listing_failures), capture.dead_cells, capture.payloads
     )
 
 
-def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter) -> DataFrame:
+def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
     """The outcome of every captured row, over all cells at once.
 
     Payloads are read in one pass without a shuffle, for their hashes. Everything after that
     works on the staged narrow rows.
     """
-    rows = stage(fingerprinted(items, cells, adapter), "ingest_rows")
+    rows = stage(fingerprinted(items, cells, adapter, payloads), "ingest_rows")
     settled = repeats.with_failures(repeats.mark_repeats(rows))
     decided = stage(changes.detect_changes(settled, changes.stored_state(stored)), "ingest_decided")
     return changes.keep_last_object(decided, ["cell_seq", "item_seq"])
@@ -136,7 +146,7 @@ def plan_ingest(
 ) -> StageResult:
     """Everything the stage computes, with no zone written."""
     capture = reachable(capture)
-    decided = decide(capture.items, cells, stored, adapter)
+    decided = decide(capture.items, cells, stored, adapter, capture.payloads)
     return account(
         decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"
     )
@@ -156,6 +166,23 @@ def landing_objects(items: DataFrame, cells: DataFrame, adapter: SourceAdapter)
     )
 
 
+def wanted_objects(decided: DataFrame) -> DataFrame:
+    """The objects to be written, all but their bytes."""
+    return decided.filter("keep_object").select(
+        F.col("file_path").alias("object_key"),
+        "content_type",
+        "identifier",
+        "decision_date",
+        "source_name",
+        "cell_seq",
+        "body_code",
+        kind_of(F.col("content_type")).alias("kind"),
+        period_of(F.col("decision_date")).alias("period"),
+        "payload_ref",
+        "payload_bytes",
+    )
+
+
 def ingest(
     zone: Zone,
     capture: Capture,
@@ -167,19 +194,20 @@ def ingest(
 ) -> StageResult:
     """Run the stage: decide on narrow rows, then read payloads once more for the written ones only.
 
-    ``capture.items`` must be a stored table (hand-off or staged), as it is scanned twice.
+    ``capture.items`` must be a stored table (hand-off or staged), as it is scanned twice. Payloads
+    that lie apart from the items are opened by the tasks that write them.
     """
     before = zone.snapshot()
     capture = reachable(capture)
-    decided = decide(capture.items, cells, before.current(tuple(b.code for b in adapter.bodies())), adapter)
+    decided = decide(capture.items, cells, before.current(tuple(b.code for b in adapter.bodies())), adapter, capture.payloads)
     if not decided.filter("keep_metadata").isEmpty():
-        on = ["cell_seq", "item_seq", "document_url"]
-        payloads = changes.matching(capture.items, decided, on, F.col("keep_object"))
-        zone.append(
-            before,
-            landing_objects(payloads, cells, adapter),
-            changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)),
-        )
+        dealt = False
+        if capture.payloads is None:
+            on = ["cell_seq", "item_seq", "document_url"]
+            objects = landing_objects(changes.matching(capture.items, decided, on, F.col("keep_object")), cells, adapter)
+        else:
+            objects, dealt = capture.payloads.attach(wanted_objects(decided), OBJECT_FOLDERS)
+        zone.append(before, objects, changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)), dealt=dealt)
     return account(
         decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"
     )
@@ -192,11 +220,14 @@ def capture_pages(
 
     ``documents`` holds ``cell_seq, document_url, payload, served_content_type, error_code,
     error_reason``, one row per fetched url and cell. Pages are parsed once and staged; a chain
-    that does not end is a listing failure of its cell. Joining
-    the two tables shuffles the fetched payloads once; a hand-off that already carries its
-    payloads does without.
+    that does not end is a listing failure of its cell.
+
+    Documents are hashed in one pass; what several listing rows or cells name by the same url with
+    the same bytes is one payload, and rows refer to it. ``documents`` must be a stored table, as
+    the written ones are read again.
     """
     spark = pages.sparkSession
+    seen = _seen_documents(documents, adapter)
     read = stage(adapter.listing_rows(pages), "listing_rows")
     entries = stage(listing.listing_records(read, cells, adapter), "listing_entries")
     accepted = F.count_if(F.col("reject_reason").isNull())
@@ -209,8 +240,19 @@ def capture_pages(
     reached = entries.join(walked.select("cell_seq", "page_number").distinct(), ["cell_seq", "page_number"], "left_semi")
     rejected = reached.filter("reject_reason IS NOT NULL")
     records = reached.filter("reject_reason IS NULL").drop("reject_reason", "page_number", "position")
-    fetched = records.join(documents, ["cell_seq", "document_url"], "left")
-    items = stage(captured_rows(fetched), "captured_items")
+    fetched = records.join(seen, ["cell_seq", "document_url"], "left")
+    items = captured_rows(fetched, "payload_ref").drop("payload_bytes", "file_hash", "html_hash")
+    items = stage(items, "captured_items")
     failures = walked.filter("was_read IS NULL").select("cell_seq", "page_number", "url", "error_code", "error_reason")
     failures = failures.unionByName(listing.open_chains(walked, F.col("stop"), cells))
-    return Capture.of(spark, items, listing.listing_totals(walked.filter("was_read")), failures), rejected
+    payloads = RowPayloads(documents, seen.filter("payload_ref IS NOT NULL").dropDuplicates(["payload_ref"]))
+    return Capture.of(spark, items, listing.listing_totals(walked.filter("was_read")), failures, payloads=payloads), rejected
+
+
+def _seen_documents(documents: DataFrame, adapter: SourceAdapter) -> DataFrame:
+    """Fetched documents without their bytes; ``payload_ref``: the first cell that holds the same bytes of the url."""
+    prints = stage(documents.select("cell_seq", "document_url", "served_content_type", "error_code", "error_reason", *prints_of(F.col("payload"), adapter)), "document_prints")
+    same = ["document_url", "file_hash"]
+    held = prints.filter("file_hash IS NOT NULL").groupBy(*same).agg(F.min("cell_seq").alias("first_cell"))
+    ref = F.when(F.col("first_cell").isNotNull(), F.struct(F.col("first_cell").alias("cell_seq"), "document_url"))
+    return stage(prints.join(held, same, "left").withColumn("payload_ref", ref).drop("first_cell"), "seen_documents")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from contextlib import contextmanager
 from functools import cache
 
@@ -65,10 +66,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/stage/{uuid.uuid4().hex}"
     _staged.append(folder)
     df.write.parquet(f"{folder}/{name}")
-    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    table = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    _folders[table] = folder
+    return table
 
 
 _staged: list[str] = []
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables as ``stage`` gave them, once nothing that is still to be computed reads them."""
+    for table in tables:
+        folder = _folders.pop(table, None)
+        if folder in _staged:
+            _staged.remove(folder)
+            remove(table.sparkSession, folder)
 
 
 @contextmanager

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import re
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliozone import schemas
 from foliozone.functions import keys, text
+from foliozone.sources.payloads import FilePayloads, Payloads
 
 # The three kinds of row.
 RECORD, SUMMARY, LISTING_FAILURE = "record", "summary", "listing_failure"
@@ -23,15 +20,19 @@ BAD_LINE_REASON = "not a JSON object: "
 
 @dataclass(frozen=True)
 class Capture:
-    """Everything a fetch brought home, for all cells of a run at once."""
+    """Everything a fetch brought home, for all cells of a run at once.
+
+    Items hold their ``payload``, or the ``payload_ref`` of one that lies in ``payloads``.
+    """
 
     items: DataFrame
     totals: DataFrame
     listing_failures: DataFrame
     dead_cells: DataFrame
+    payloads: Payloads | None = None
 
     @classmethod
-    def of(cls, spark: SparkSession, items: DataFrame, totals=None, listing_failures=None, dead_cells=None) -> "Capture":
+    def of(cls, spark: SparkSession, items: DataFrame, totals=None, listing_failures=None, dead_cells=None, payloads=None) -> "Capture":
         def given(df, schema):
             return df if df is not None else spark.createDataFrame([], schema)
 
@@ -40,6 +41,7 @@ class Capture:
             given(totals, schemas.TOTALS),
             given(listing_failures, schemas.LISTING_FAILURES),
             given(dead_cells, schemas.DEAD_CELLS),
+            payloads,
         )
 
 
@@ -93,32 +95,26 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
-    """Route rows by type, attach payload bytes by path, take each cell's last reported total.
+    """Route rows by type, take each cell's last reported total.
 
-    ``payloads`` is ``(path, content)`` as the ``binaryFile`` source gives it. Rows without a
-    path keep a null payload and the error that explains it.
+    ``payloads`` is ``(path, content)`` as the ``binaryFile`` source gives it. The rows keep the
+    path alone as ``payload_ref``, so no bytes are moved here; those without a path, or without
+    ``payloads``, have no payload and the error that explains it.
     """
     spark = lines.sparkSession
+    path = keys.path_only(F.nullif(F.col("local_path"), F.lit("")))
+    payload = [F.lit(None).cast("binary").alias("payload")] if payloads is None else [path.alias("payload_ref"), F.col("byte_count")]
     records = lines.filter(F.col("row_type") == RECORD).select(
         "cell_seq",
         "item_seq",
         *(F.col(c).cast("date") if c == "decision_date" else F.col(c) for c in schemas.RECORD_COLUMNS),
-        keys.path_only(F.nullif(F.col("local_path"), F.lit(""))).alias("local_path"),
+        *payload,
         "error_code",
         "error_reason",
-        "byte_count",
     )
-    if payloads is None:
-        payloads = spark.createDataFrame([], "path STRING, content BINARY")
-    files = payloads.select(keys.path_only(F.col("path")).alias("local_path"), F.col("content").alias("payload"))
-    uncounted = records.filter("byte_count IS NULL").select("local_path")
-    files = files.unionByName(_empty_files(uncounted, files.select("local_path")))
-    empty = (F.col("byte_count") == 0) & F.col("local_path").isNotNull()
     return Capture.of(
         spark,
-        records.join(files, "local_path", "left")
-        .withColumn("payload", F.coalesce("payload", F.when(empty, F.lit(b""))))
-        .drop("local_path", "byte_count"),
+        records,
         lines.filter(F.col("row_type") == SUMMARY)
         .groupBy("cell_seq")
         .agg(F.max_by("reported_total", "line_order").alias("reported_total"))
@@ -126,34 +122,10 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
         lines.filter(F.col("row_type") == LISTING_FAILURE).select(
             "cell_seq", "page_number", "url", "error_code", "error_reason"
         ),
+        payloads=None if payloads is None else FilePayloads(payloads),
     )
 
 
-def _empty_files(recorded: DataFrame, listed: DataFrame) -> DataFrame:
-    """Payloads of no bytes. File sources skip empty files, so paths they did not list are looked up.
-
-    An empty payload is a success and a missing file is not, so the two must not be confused. Rows
-    that carry their ``byte_count`` need no look at the store.
-    """
-
-    def look_up(batches):
-        for batch in batches:
-            paths = [p for p in batch.column(0).to_pylist() if _size(p) == 0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(paths, pa.string()), pa.array([b""] * len(paths), pa.binary())], names=["local_path", "payload"]
-            )
-
-    unlisted = recorded.filter("local_path IS NOT NULL").distinct().join(listed, "local_path", "left_anti")
-    return unlisted.mapInArrow(look_up, "local_path STRING, payload BINARY")
-
-
-def _size(path: str) -> int | None:
-    """Spark's names of S3 stores are one scheme here; a relative path is one of the local disk."""
-    path = re.sub(r"^s3[an]://", "s3://", path)
-    files, inside = fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
-    return files.get_file_info(inside).size
-
-
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
@@ -176,19 +148,26 @@ def to_lines(capture: Capture) -> DataFrame:
         )
 
     return (
-        shaped(capture.items.drop("payload"), RECORD)
+        shaped(_with_path(capture.items), RECORD)
         .unionByName(shaped(capture.totals, SUMMARY))
         .unionByName(shaped(capture.listing_failures, LISTING_FAILURE))
     )
 
 
-def captured_rows(records: DataFrame) -> DataFrame:
+def _with_path(items: DataFrame) -> DataFrame:
+    """Rows that refer to files keep the path; no other payload can be written as a line."""
+    if dict(items.dtypes).get("payload_ref") == "string":
+        return items.drop("local_path").withColumnRenamed("payload_ref", "local_path")
+    return items.drop("payload", "payload_ref")
+
+
+def captured_rows(records: DataFrame, held: str = "payload") -> DataFrame:
     """Shape fetched documents as captured items.
 
     A served content type replaces the guess when it is not empty; a failed fetch keeps its row,
-    with a null payload and its error.
+    with a null payload (or ref, whichever is ``held``) and its error.
     """
-    arrived = F.col("payload").isNotNull()
+    arrived = F.col(held).isNotNull()
     return records.withColumns(
         {
             "content_type": F.when(

@@ -54,6 +54,7 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 HTML, OTHER = "html", "other"
+OBJECT_FOLDERS = ["body_code", "kind", "period"]
 
 
 def kind_of(content_type: Column) -> Column:
@@ -138,21 +139,22 @@ class Zone:
         """Committed runs, without those a compaction replaced."""
         return self._committed()
 
-    def append(self, before: Snapshot, objects: DataFrame, metadata: DataFrame, kind: str = "run") -> int:
+    def append(self, before: Snapshot, objects: DataFrame, metadata: DataFrame, kind: str = "run", dealt: bool = False) -> int:
         """Objects first, metadata second, visible last. ``before``: what the rows were decided on.
 
         Rows are gathered by directory before the write, so that a run does not leave one file
         per task and directory; the rebalance splits directories that hold much and joins small
-        ones. Only rows to be written pay for it.
+        ones. Only rows to be written pay for it, and none whose objects are ``dealt`` already.
         """
         run = uuid.uuid4().hex
-        self._write("objects", run, objects, schemas.OBJECTS, ["body_code", "kind", "period"])
+        self._write("objects", run, objects, schemas.OBJECTS, OBJECT_FOLDERS, dealt)
         self._write("metadata", run, metadata, schemas.METADATA, ["body_code"])
         return self._publish(before, run, kind)
 
-    def _write(self, name: str, run: str, rows: DataFrame, schema: str, folders: list[str]) -> None:
+    def _write(self, name: str, run: str, rows: DataFrame, schema: str, folders: list[str], dealt: bool = False) -> None:
         shaped = rows.select(*(c for c in _columns(schema) if c != "run_seq"))
-        shaped.hint("rebalance", *folders).write.partitionBy(*folders).parquet(f"{self.root}/{name}/run={run}")
+        gathered = shaped if dealt else shaped.hint("rebalance", *folders)
+        gathered.write.partitionBy(*folders).parquet(f"{self.root}/{name}/run={run}")
 
     def _publish(self, before: Snapshot, run: str, kind: str) -> int:
         """Take the next number, unless a run that came in between makes this one stale."""

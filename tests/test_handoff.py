@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from fixtures import ADAPTER
@@ -69,12 +70,16 @@ def test_payloads_are_attached_by_path(spark, tmp_path):
         for k, path in (("full", str(files / "a b.html")), ("empty", str(files / "empty.html")), ("none", None), ("gone", str(files / "x.html")))
     ]
     write(tmp_path / "h" / "cell_seq=0" / "items.jsonl", *rows)
-    items = handoff.split_lines(
-        handoff.read_lines(spark, str(tmp_path / "h")), handoff.read_payloads(spark, str(files))
-    ).items.collect()
-    got = {r["identifier"]: None if r["payload"] is None else bytes(r["payload"]) for r in items}
+    capture = handoff.split_lines(handoff.read_lines(spark, str(tmp_path / "h")), handoff.read_payloads(spark, str(files)))
+    prints = capture.payloads.prints(ADAPTER, capture.items)
+    known = capture.items.join(prints, "payload_ref").select("identifier", "payload_ref", "payload_bytes", "file_hash", "html_hash")
     # an empty file is a payload, a missing one is not
-    assert got == {"full": b"\xff<html>", "empty": b"", "none": None, "gone": None}
+    sha = lambda data: "sha256:" + hashlib.sha256(data).hexdigest()
+    assert {r["identifier"]: (r["payload_bytes"], r["file_hash"]) for r in known.collect()} == {"full": (7, sha(b"\xff<html>")), "empty": (0, sha(b""))}
+    held, dealt = capture.payloads.attach(known, ["identifier"])
+    assert dealt and {r["identifier"]: bytes(r["payload"]) for r in held.collect()} == {"full": b"\xff<html>", "empty": b""}
+    # rows that refer to files keep their path as lines
+    assert {r["local_path"] for r in handoff.to_lines(capture).collect()} == {None, str(files / "a b.html"), str(files / "empty.html"), str(files / "x.html")}
 
 
 def test_round_trip_through_lines(spark, tmp_path):

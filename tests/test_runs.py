@@ -120,10 +120,10 @@ def test_an_unread_listing_is_not_green(spark, workspace):
 
 def test_an_empty_payload_is_stored_and_a_missing_one_fails(spark, workspace):
     got = capture(spark)
-    shown = F.when(F.col("identifier") == "CASE-0001", F.lit(b"")).when(F.col("identifier") == "CASE-0003", F.lit(None)).otherwise(F.col("payload"))
+    shown = F.when(F.col("identifier") == "CASE-0001", F.lit(b"")).when(F.col("identifier") == "CASE-0003", F.lit(None)).otherwise(F.lit(decision()))
     from foliozone.session import stage
 
-    got = replace(got, items=stage(got.items.withColumn("payload", shown), "items"))
+    got = replace(got, items=stage(got.items.withColumn("payload", shown).drop("payload_ref"), "items"), payloads=None)
     total = only(runs.ingest_date_range(workspace, ADAPTER, got, JAN, FEB, RUN_TS).run_summary)
     assert (total["records_written"], total["records_failed"], total["accounted_for"]) == (2, 1, True)
     empty = workspace.landing.snapshot().objects().filter("identifier = 'CASE-0001'").first()
