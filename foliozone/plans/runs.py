@@ -19,7 +19,7 @@ from foliozone.plans.periods import as_date, plan_cells, window_starting_at
 from foliozone.session import released
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture
-from foliozone.sources.zones import RunLog, Zone
+from foliozone.sources.zones import BUCKETS, RunLog, Zone
 
 
 @dataclass(frozen=True)
@@ -28,14 +28,15 @@ class Workspace:
 
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS  # of the metadata of new zones
 
     @property
     def landing(self) -> Zone:
-        return Zone(self.spark, f"{self.root}/landing")
+        return Zone(self.spark, f"{self.root}/landing", self.buckets)
 
     @property
     def curated(self) -> Zone:
-        return Zone(self.spark, f"{self.root}/curated")
+        return Zone(self.spark, f"{self.root}/curated", self.buckets)
 
     @property
     def log(self) -> RunLog:

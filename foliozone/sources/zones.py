@@ -6,6 +6,10 @@ that end at once one takes the number and the other looks again. Readers only lo
 runs: metadata never points at missing objects, and a run that died half-way is invisible. A run
 that changed nothing commits nothing.
 
+Metadata is bucketed by identifier, which the newest version per key, the change check and look-ups
+of few keys make use of: none of them moves stored rows. Keys carry Bloom filters and are sorted in
+their files, so a look-up reads the row groups that may hold one and skips the others.
+
 Runs may overlap, such as one run per cell. If a run that committed meanwhile wrote a key that this
 one writes too, this one's decisions are stale: it is refused with ``CommitConflict`` and has to be
 run again. Otherwise both are kept.
@@ -13,6 +17,7 @@ run again. Otherwise both are kept.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from dataclasses import dataclass
@@ -26,7 +31,13 @@ from foliozone.functions import dates, keys
 from foliozone.operators.changes import KEY
 from foliozone.session import create_new, remove, stage
 
-_COMMITS = "run_seq BIGINT, run STRING, kind STRING, replaces ARRAY<STRING>"
+_COMMITS = "run_seq BIGINT, run STRING, kind STRING, replaces ARRAY<STRING>, buckets INT"
+
+#: Metadata buckets of a new zone: as many as its metadata will have times 200 MB, and no fewer than a
+#: session's shuffle partitions.
+BUCKETS = 16
+#: So many keys are asked for by name, which prunes; more of them by a join.
+FEW = 1000
 
 
 class CommitConflict(RuntimeError):
@@ -73,25 +84,31 @@ class Snapshot:
     root: str
     names: tuple[tuple[int, str], ...]  # number and folder of each run that counts
     last: int = 0  # the highest number taken
+    buckets: int = BUCKETS
 
     @property
     def runs(self) -> tuple[int, ...]:
         return tuple(number for number, _ in self.names)
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        if not self.names:
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema.replace("run_seq BIGINT", "run STRING")).parquet(f"{self.root}/{name}")
-        number = F.create_map(*(F.lit(v) for seq, run in self.names for v in (run, seq)))
-        named = rows.filter(F.col("run").isin(*(run for _, run in self.names)))
-        return named.withColumn("run_seq", F.element_at(number, F.col("run")).cast("bigint")).select(*_columns(schema))
+    def _numbered(self, rows: DataFrame, schema: str) -> DataFrame:
+        """Rows of the runs that count, with their numbers: one small row a run is the join side."""
+        runs = self.spark.createDataFrame([*self.names], "run_seq BIGINT, run STRING")
+        inside = rows.filter("run IN (" + ", ".join(f"'{run}'" for _, run in self.names) + ")")
+        return inside.join(F.broadcast(runs), "run").select(*_columns(schema))
 
     def metadata(self) -> DataFrame:
-        return self._read("metadata", schemas.METADATA)
+        if not self.names:
+            return self.spark.createDataFrame([], schemas.METADATA)
+        name = _metadata_table(self.spark, self.root, self.buckets)
+        self.spark.catalog.refreshTable(name)
+        return self._numbered(self.spark.table(name), schemas.METADATA)
 
     def objects(self) -> DataFrame:
         """All object versions, payload included; select before use."""
-        return self._read("objects", schemas.OBJECTS)
+        if not self.names:
+            return self.spark.createDataFrame([], schemas.OBJECTS)
+        rows = self.spark.read.schema(schemas.OBJECTS.replace("run_seq BIGINT", "run STRING")).parquet(f"{self.root}/objects")
+        return self._numbered(rows, schemas.OBJECTS)
 
     def object_ids(self) -> DataFrame:
         return self.objects().drop("payload")
@@ -109,16 +126,56 @@ class Snapshot:
         return latest(self.object_ids(), ["object_key"])
 
     def find(self, asked: DataFrame) -> DataFrame:
-        """Stored records for a table of ``(body_code, identifier)``."""
-        return self.current().join(asked.select(*KEY), KEY, "left_semi")
+        """Stored records for a table of ``(body_code, identifier)``.
+
+        Up to ``FEW`` keys read their own directories, buckets and row groups; more are joined.
+        """
+        wanted = asked.select(*KEY)
+        few = wanted.limit(FEW + 1).collect()
+        if len(few) > FEW:
+            return self.current().join(wanted, KEY, "left_semi")
+        bodies, names = (sorted({r[c] for r in few if r[c] is not None}) for c in KEY)
+        rows = self.metadata().filter(F.col("body_code").isin(bodies) & F.col("identifier").isin(names))
+        return latest(rows, KEY).join(F.broadcast(wanted), KEY, "left_semi")
 
     def in_range(self, start, end, body_codes=None, source_name: str | None = None) -> DataFrame:
         """Current records with ``start <= decision_date < end``, oldest first."""
         return range_scan(self.current(body_codes), start, end, source_name).orderBy("decision_date")
 
     def existing(self, asked: DataFrame) -> DataFrame:
-        """Those of the given object keys that are stored."""
-        return asked.join(self.object_ids().select("object_key"), "object_key", "left_semi")
+        """Those of the given object keys that are stored; up to ``FEW`` keys read only row groups that may hold one."""
+        stored = self.object_ids().select("object_key")
+        few = asked.select("object_key").limit(FEW + 1).collect()
+        if len(few) <= FEW:
+            stored = stored.filter(F.col("object_key").isin(sorted({r[0] for r in few if r[0] is not None})))
+        return asked.join(stored, "object_key", "left_semi")
+
+
+def _point_reads(column: str) -> dict[str, str]:
+    """Writer options of a column that is looked up; the filter's size follows the number of keys."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
+def _metadata_table(spark: SparkSession, root: str, buckets: int) -> str:
+    """The name of the session's table over a zone's metadata: Spark reads buckets through one only.
+
+    It holds no state: rows are what lies in the folders.
+    """
+    name = "foliozone_" + hashlib.sha256(f"{buckets} {root}".encode()).hexdigest()[:32]
+    if not spark.catalog.tableExists(name):
+        data = [c for c in schemas.METADATA.split(", ") if c.split()[0] not in ("run_seq", "body_code")]
+        listed = "spark.sql.hive.manageFilesourcePartitions"
+        usual = spark.conf.get(listed)
+        spark.conf.set(listed, "false")  # partitions are the folders that are there
+        try:
+            place = f"{root}/metadata".replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(data)}, run STRING, body_code STRING) USING parquet "
+                f"PARTITIONED BY (run, body_code) CLUSTERED BY (identifier) INTO {buckets} BUCKETS LOCATION '{place}'"
+            )
+        finally:
+            spark.conf.set(listed, usual)
+    return name
 
 
 @dataclass(frozen=True)
@@ -127,16 +184,20 @@ class Zone:
 
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS  # of a new zone; a stored one keeps its own
 
     def _committed(self) -> Snapshot:
         """One small row per run; ``vacuum`` removes those that a compaction replaced."""
         commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json").collect()
         replaced = {run for c in commits for run in c["replaces"] or ()}
         live = sorted((c["run_seq"], c["run"]) for c in commits if c["run"] not in replaced)
-        return Snapshot(self.spark, self.root, tuple(live), max((c["run_seq"] for c in commits), default=0))
+        last = max((c["run_seq"] for c in commits), default=0)
+        return Snapshot(self.spark, self.root, tuple(live), last, next((c["buckets"] for c in commits), self.buckets))
 
     def snapshot(self) -> Snapshot:
         """Committed runs, without those a compaction replaced."""
+        # a join by body and identifier may use rows that lie by identifier
+        self.spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         return self._committed()
 
     def append(self, before: Snapshot, objects: DataFrame, metadata: DataFrame, kind: str = "run", dealt: bool = False) -> int:
@@ -147,14 +208,22 @@ class Zone:
         ones. Only rows to be written pay for it, and none whose objects are ``dealt`` already.
         """
         run = uuid.uuid4().hex
-        self._write("objects", run, objects, schemas.OBJECTS, OBJECT_FOLDERS, dealt)
-        self._write("metadata", run, metadata, schemas.METADATA, ["body_code"])
+        self._write(run, objects, dealt)
+        self._write_metadata(run, metadata, before.buckets)
         return self._publish(before, run, kind)
 
-    def _write(self, name: str, run: str, rows: DataFrame, schema: str, folders: list[str], dealt: bool = False) -> None:
-        shaped = rows.select(*(c for c in _columns(schema) if c != "run_seq"))
-        gathered = shaped if dealt else shaped.hint("rebalance", *folders)
-        gathered.write.partitionBy(*folders).parquet(f"{self.root}/{name}/run={run}")
+    def _write(self, run: str, objects: DataFrame, dealt: bool) -> None:
+        shaped = objects.select(*(c for c in _columns(schemas.OBJECTS) if c != "run_seq"))
+        gathered = shaped if dealt else shaped.hint("rebalance", *OBJECT_FOLDERS)
+        ordered = gathered.sortWithinPartitions(*OBJECT_FOLDERS, "object_key")
+        ordered.write.options(**_point_reads("object_key")).partitionBy(*OBJECT_FOLDERS).parquet(f"{self.root}/objects/run={run}")
+
+    def _write_metadata(self, run: str, rows: DataFrame, buckets: int) -> None:
+        """Every task writes one bucket. The table is a run's own, as writers of one table meet in its folder."""
+        shaped = rows.select(*(c for c in _columns(schemas.METADATA) if c != "run_seq")).repartition(buckets, "identifier")
+        name, writer = f"foliozone_{run}", shaped.write.format("parquet").options(**_point_reads("identifier"))
+        writer.partitionBy("body_code").bucketBy(buckets, "identifier").sortBy("identifier").option("path", f"{self.root}/metadata/run={run}").saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay
 
     def _publish(self, before: Snapshot, run: str, kind: str) -> int:
         """Take the next number, unless a run that came in between makes this one stale."""
@@ -164,11 +233,13 @@ class Zone:
             gone = set(before.names) - set(now.names)
             if kind == "compaction" and (newer or gone):
                 raise CommitConflict(f"{self.root}: {len(newer)} runs were committed during the compaction")
-            if newer and self._meets(Snapshot(self.spark, self.root, newer), run):
+            if now.names and now.buckets != before.buckets:
+                raise CommitConflict(f"{self.root}: a run committed meanwhile set {now.buckets} buckets; run again")
+            if newer and self._meets(Snapshot(self.spark, self.root, newer, buckets=before.buckets), run):
                 raise CommitConflict(f"{self.root}: a run committed meanwhile wrote the same keys; run again")
             number = now.last + 1
             replaces = [name for _, name in before.names] if kind == "compaction" else []
-            line = json.dumps({"run_seq": number, "run": run, "kind": kind, "replaces": replaces})
+            line = json.dumps({"run_seq": number, "run": run, "kind": kind, "replaces": replaces, "buckets": before.buckets})
             if create_new(self.spark, f"{self.root}/commits/{number:012d}.json", line + "\n"):
                 return number
 

@@ -65,7 +65,8 @@ def plans_of(monkeypatch):
 
     for module in (ingest, payloads, changes):
         noting("stage", 0, module)
-    noting("_write", 3, zones.Zone)
+    noting("_write", 2, zones.Zone)
+    noting("_write_metadata", 2, zones.Zone)
     return seen
 
 
