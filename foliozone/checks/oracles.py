@@ -499,6 +499,9 @@ curated AS (SELECT concat(body_code, ':', identifier) AS storage_id, label AS pa
                    concat('sha256:', sha256({_cleaned('stored_html')})) AS h FROM landed)
 """
 
+# serial order: the run that committed first, then the other
+ORACLES["rebased_runs"] = ORACLES["ingest_run"]
+
 ORACLES["transform_run"] = f"""
 WITH {_CURATED} SELECT storage_id, partition_date, file_path, h AS file_hash, h AS content_fingerprint, 'text/html' AS content_type FROM curated"""
 

@@ -973,6 +973,29 @@ def ingest_run(spark, sf_dir):
     )
 
 
+@query
+def rebased_runs(spark, sf_dir):
+    """A run over all orders, decided on an empty zone, that meets one which stored half of them meanwhile.
+
+    It ends as if the other had come first: the summary per cell of the late one.
+    """
+    start, end = inputs.orders_range(spark, sf_dir)
+    middle = start + (end - start) // 2
+    zone, site = inputs.workspace(spark).landing, inputs.ORDERS_SITE
+    cells = periods.plan_cells(spark, site, start, end)
+    known = stage(inputs.order_items(spark, sf_dir, start, "0").filter(F.col("decision_date") < F.lit(middle)), "first_capture")
+    late = stage(inputs.order_items(spark, sf_dir, start, "0.27", F.col("o_orderpriority") == "2-HIGH"), "second_capture")
+    capture, before = handoff.Capture.of(spark, late), zone.snapshot()
+    settled = ingest.settle(late, cells, site)
+    outcomes = ingest.checked(settled, before.current())
+    ingest.ingest(zone, handoff.Capture.of(spark, known), cells, site, start, end, RUN_TS)
+    decided = ingest.store(zone, before, capture, settled, outcomes, cells, site, RUN_TS)
+    result = ingest.account(decided, cells, ingest.collection_failures(capture), capture.totals, ingest.STAGE, site.name, start, end, "document_url")
+    return result.cell_summary.select(
+        "cell_seq", "partition", "body", "records_found", "records_written", "records_unchanged", "records_failed", "accounted_for"
+    )
+
+
 def _pages_run(spark, sf_dir, repeat: bool):
     space = inputs.workspace(spark)
     adapter = inputs.pages_site(sf_dir)

@@ -16,9 +16,11 @@ from foliozone.session import stage
 from foliozone.sources.adapter import SourceAdapter
 from foliozone.sources.handoff import Capture, captured_rows
 from foliozone.sources.payloads import Payloads, RowPayloads, prints_of
-from foliozone.sources.zones import OBJECT_FOLDERS, Zone, kind_of, period_of
+from foliozone.sources.zones import OBJECT_FOLDERS, CommitConflict, Snapshot, Zone, kind_of, period_of
 
 STAGE = "ingest"
+#: The order of captured rows.
+PLACE = ["cell_seq", "item_seq"]
 
 
 @dataclass(frozen=True)
@@ -102,16 +104,33 @@ def reachable(capture: Capture) -> Capture:
     )
 
 
-def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
-    """The outcome of every captured row, over all cells at once.
+def settle(items: DataFrame, cells: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
+    """Captured rows with their failures: all that can be said without the stored state.
 
     Payloads are read in one pass without a shuffle, for their hashes. Everything after that
     works on the staged narrow rows.
     """
-    rows = stage(fingerprinted(items, cells, adapter, payloads), "ingest_rows")
-    settled = repeats.with_failures(repeats.mark_repeats(rows))
-    decided = stage(changes.detect_changes(settled, changes.stored_state(stored)), "ingest_decided")
-    return changes.keep_last_object(decided, ["cell_seq", "item_seq"])
+    return repeats.with_failures(repeats.mark_repeats(stage(fingerprinted(items, cells, adapter, payloads), "ingest_rows")))
+
+
+def checked(settled: DataFrame, stored: DataFrame) -> DataFrame:
+    """The outcome of every captured row, over all cells at once."""
+    return stage(changes.detect_changes(settled, changes.stored_state(stored)), "ingest_decided")
+
+
+def decide(items: DataFrame, cells: DataFrame, stored: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
+    return changes.keep_last_object(checked(settle(items, cells, adapter, payloads), stored), PLACE)
+
+
+def rebased(outcomes: DataFrame, settled: DataFrame, before: Snapshot, now: Snapshot) -> DataFrame:
+    """The outcomes on a later state of the zone: only keys that a run wrote meanwhile are decided again.
+
+    That run counts as an earlier cell of them, as if it had ended before this one began.
+    """
+    met = stage(now.since(before).select(*changes.KEY).distinct(), "met_keys")
+    stored = changes.stored_state(now.current().join(met, changes.KEY, "left_semi"))
+    again = changes.detect_changes(settled.join(met, changes.KEY, "left_semi"), stored)
+    return stage(outcomes.join(met, changes.KEY, "left_anti").unionByName(again), "ingest_decided")
 
 
 def collection_failures(capture: Capture) -> DataFrame:
@@ -199,18 +218,38 @@ def ingest(
     """
     before = zone.snapshot()
     capture = reachable(capture)
-    decided = decide(capture.items, cells, before.current(tuple(b.code for b in adapter.bodies())), adapter, capture.payloads)
-    if not decided.filter("keep_metadata").isEmpty():
+    settled = settle(capture.items, cells, adapter, capture.payloads)
+    outcomes = checked(settled, before.current(tuple(b.code for b in adapter.bodies())))
+    decided = store(zone, before, capture, settled, outcomes, cells, adapter, run_ts)
+    return account(
+        decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"
+    )
+
+
+def store(
+    zone: Zone, before: Snapshot, capture: Capture, settled: DataFrame, outcomes: DataFrame, cells: DataFrame, adapter: SourceAdapter, run_ts: datetime
+) -> DataFrame:
+    """Write what was decided on ``before`` and return what came of every row.
+
+    Where a run that committed meanwhile wrote some of the keys, these are decided again and the
+    run's objects are written anew; every round means that another run has ended.
+    """
+    while True:
+        decided = changes.keep_last_object(outcomes, PLACE)
+        if decided.filter("keep_metadata").isEmpty():
+            return decided
         dealt = False
         if capture.payloads is None:
-            on = ["cell_seq", "item_seq", "document_url"]
+            on = [*PLACE, "document_url"]
             objects = landing_objects(changes.matching(capture.items, decided, on, F.col("keep_object")), cells, adapter)
         else:
             objects, dealt = capture.payloads.attach(wanted_objects(decided), OBJECT_FOLDERS)
-        zone.append(before, objects, changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)), dealt=dealt)
-    return account(
-        decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"
-    )
+        try:
+            zone.append(before, objects, changes.stamp(decided.filter("keep_metadata"), F.lit(run_ts)), dealt=dealt)
+            return decided
+        except CommitConflict:
+            now = zone.snapshot()
+            outcomes, before = rebased(outcomes, settled, before, now), now
 
 
 def capture_pages(

@@ -11,8 +11,8 @@ of few keys make use of: none of them moves stored rows. Keys carry Bloom filter
 their files, so a look-up reads the row groups that may hold one and skips the others.
 
 Runs may overlap, such as one run per cell. If a run that committed meanwhile wrote a key that this
-one writes too, this one's decisions are stale: it is refused with ``CommitConflict`` and has to be
-run again. Otherwise both are kept.
+one writes too, this one's decisions are stale: it is refused with ``CommitConflict``, its folders are
+removed, and the keys that meet have to be decided again. Otherwise both are kept.
 """
 
 from __future__ import annotations
@@ -103,6 +103,11 @@ class Snapshot:
         self.spark.catalog.refreshTable(name)
         return self._numbered(self.spark.table(name), schemas.METADATA)
 
+    def since(self, before: Snapshot) -> DataFrame:
+        """Metadata rows of the runs that came after another snapshot."""
+        newer = tuple(sorted(set(self.names) - set(before.names)))
+        return Snapshot(self.spark, self.root, newer, self.last, self.buckets).metadata()
+
     def objects(self) -> DataFrame:
         """All object versions, payload included; select before use."""
         if not self.names:
@@ -210,7 +215,11 @@ class Zone:
         run = uuid.uuid4().hex
         self._write(run, objects, dealt)
         self._write_metadata(run, metadata, before.buckets)
-        return self._publish(before, run, kind)
+        try:
+            return self._publish(before, run, kind)
+        except CommitConflict:
+            self._remove(run)
+            raise
 
     def _write(self, run: str, objects: DataFrame, dealt: bool) -> None:
         shaped = objects.select(*(c for c in _columns(schemas.OBJECTS) if c != "run_seq"))
@@ -243,6 +252,10 @@ class Zone:
             if create_new(self.spark, f"{self.root}/commits/{number:012d}.json", line + "\n"):
                 return number
 
+    def _remove(self, run: str) -> None:
+        for name in ("metadata", "objects"):
+            remove(self.spark, f"{self.root}/{name}/run={run}")
+
     def _meets(self, newer: Snapshot, run: str) -> bool:
         own = self.spark.read.schema(schemas.METADATA.replace("run_seq BIGINT", "run STRING")).parquet(f"{self.root}/metadata")
         own = own.filter(F.col("run") == run).select(*KEY)
@@ -265,8 +278,7 @@ class Zone:
         commits = read_or_empty(self.spark, f"{self.root}/commits", _COMMITS, "json").collect()
         replaced = {run for c in commits for run in c["replaces"] or ()}
         for run in replaced:
-            for name in ("metadata", "objects"):
-                remove(self.spark, f"{self.root}/{name}/run={run}")
+            self._remove(run)
         for c in commits:
             if c["run"] in replaced:
                 remove(self.spark, f"{self.root}/commits/{c['run_seq']:012d}.json")

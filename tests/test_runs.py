@@ -2,6 +2,7 @@ import hashlib
 from dataclasses import replace
 from datetime import date
 from functools import cache
+from pathlib import Path
 
 import pytest
 from fixtures import ADAPTER, FEB, JAN, NO_ROWS, RUN_TS, THREE_ROWS, decision, entry, listing
@@ -296,15 +297,15 @@ def test_accounting_rules(spark):
     assert (empty["partitions"], empty["records_found"], empty["accounted_for"]) == (0, 0, True)
 
 
-def test_overlapping_runs_are_both_kept_or_refused(spark, workspace, monkeypatch):
-    """A run of one cell that commits while another is about to: both stay. The same cell: refused."""
-    from foliozone.sources.zones import CommitConflict, Zone
+def test_overlapping_runs_end_as_if_one_came_first(spark, workspace, monkeypatch):
+    """A run of one cell that commits while another is about to: both stay. The same key: decided again."""
+    from foliozone.sources.zones import Zone
 
-    def cell(code, name):
+    def cell(code, name, text=None):
         page = listing(entry(name, f"/en/cases/2024/january/{name}.html"), total="1 result")
         pages = spark.createDataFrame([(0, 1, "u", bytearray(page), None, None), (0, 2, "u", bytearray(NO_ROWS), None, None)], schemas.LISTING_PAGES)
         url = f"https://site.example/en/cases/2024/january/{name}.html"
-        documents = spark.createDataFrame([(0, url, bytearray(decision(name)), "text/html", None, None)], "cell_seq BIGINT, document_url STRING, payload BINARY, served_content_type STRING, error_code STRING, error_reason STRING")
+        documents = spark.createDataFrame([(0, url, bytearray(decision(text or name)), "text/html", None, None)], "cell_seq BIGINT, document_url STRING, payload BINARY, served_content_type STRING, error_code STRING, error_reason STRING")
         cells = periods.plan_cells(spark, ADAPTER, JAN, FEB, body_codes=(code,))
         return ingest.capture_pages(pages, documents, cells, ADAPTER)[0]
 
@@ -323,10 +324,21 @@ def test_overlapping_runs_are_both_kept_or_refused(spark, workspace, monkeypatch
     snap = workspace.landing.snapshot()
     assert snap.runs == (1, 2) and {r["storage_id"] for r in snap.current().collect()} == {"first:A", "second:B"}
     assert snap.objects().count() == 2
+    # the other run stored just this: nothing is left to write
     overlapped("first", "C")
-    with pytest.raises(CommitConflict):
-        runs.ingest_single_cell(workspace, ADAPTER, cell("first", "C"), JAN, "first", RUN_TS)
-    assert workspace.landing.snapshot().current().count() == 3
+    late = only(runs.ingest_single_cell(workspace, ADAPTER, cell("first", "C"), JAN, "first", RUN_TS).run_summary)
+    assert (late["records_unchanged"], late["records_written"], late["accounted_for"]) == (1, 0, True)
+    assert workspace.landing.snapshot().runs == (1, 2, 3)
+    # the other run stored something else: ours comes after it
+    overlapped("first", "D")
+    late = only(runs.ingest_single_cell(workspace, ADAPTER, cell("first", "D", "amended"), JAN, "first", RUN_TS).run_summary)
+    assert late["records_written"] == 1
+    snap = workspace.landing.snapshot()
+    assert snap.runs == (1, 2, 3, 4, 5) and snap.current().count() == 4
+    assert snap.current().filter("identifier = 'D'").first()["file_hash"] == "sha256:" + hashlib.sha256(decision("amended")).hexdigest()
+    # what was written before it was decided again is gone
+    folder = Path(snap.root.removeprefix("file:")) / "objects"
+    assert len(list(folder.glob("run=*"))) == len(list((folder.parent / "metadata").glob("run=*"))) == 5
 
 
 def test_vacuum_removes_what_a_compaction_replaced(spark, workspace, tmp_path):
