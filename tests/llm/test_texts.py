@@ -103,6 +103,72 @@ def test_short_blocks_stay_whatever_holds_them():
     assert main_text.main_text("<body>" + "".join(f"<article><p>{t}</p></article>" for t in (long[0], "Short one.", long[1])) + "</body>") == f"{long[0]}\n\nShort one.\n\n{long[1]}"
 
 
+LONG = [prose(20 + k, 60) for k in range(6)]
+PARAS = "".join(f"<p>{t}</p>" for t in LONG[:2])
+BOTH = f"{LONG[0]}\n\n{LONG[1]}"
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(8)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        # labels around all of the text silence nothing
+        (f"<form id=aspnetForm>{PARAS}</form>", BOTH),
+        (f"<form><label>Search</label><input><div>{PARAS}</div></form>", BOTH),
+        (f'<article><div class="elementor-widget wide">{PARAS}</div></article>', BOTH),
+        (f'<div class="widget">{PARAS}</div>', BOTH),
+        (f'<div class="modal"><div class="notice"><div>{PARAS}</div></div></div>', BOTH),
+        (f"<noscript>{PARAS}</noscript>", BOTH),
+        (f'<div role="form">{MENU}{PARAS}</div>', BOTH),
+        # parts of names are no names
+        (f'<div id="content" class="no-sidebar">{PARAS}</div>', BOTH),
+        (f'<div class="has-menu loading-ads-off">{PARAS}</div>', BOTH),
+        # labels beside the text do
+        (f'<div class="site-header">The Site</div><div>{PARAS}</div>', BOTH),
+        (f'<div class="site_footer">The Site</div><div>{PARAS}</div>', BOTH),
+        (f'<div>{PARAS}</div><div class="comments"><p>{LONG[2]}</p><p>{LONG[3]}</p><p>{LONG[4]}</p></div>', BOTH),
+        (f'<div>{PARAS}<div class="cookie-notice"><p>{LONG[2]}</p></div></div>', BOTH),
+        (f"<div>{PARAS}</div><aside><p>{LONG[2]}</p></aside>", BOTH),
+        (f"<form><input><p>Your name</p></form><div>{PARAS}</div>", BOTH),
+        (f'<form>{PARAS}<div class="newsletter"><p>{LONG[2]}</p></div></form>', BOTH),
+        # lists of links go wherever they are, a link alone stays
+        (f"<main>{MENU}{PARAS}</main>", BOTH),
+        (f"<main>{PARAS}{MENU}</main>", BOTH),
+        (f"<main><p><a href=/x>Source</a></p>{PARAS}</main>", f"Source\n\n{BOTH}"),
+        (f"<div>{MENU}</div><div>{PARAS}</div><div>{MENU}</div>", BOTH),
+        # no element of the page's own names the text
+        (f"<table><tr><td>{MENU}</td><td>{PARAS}</td></tr></table>", BOTH),
+        (f"<section><h1>Head</h1><section>{PARAS}</section></section>", f"Head\n\n{BOTH}"),
+        (f"<div>{LONG[0]}<br><br>{LONG[1]}</div>", f"{LONG[0]} {LONG[1]}"),
+        (f"<div><blockquote>{LONG[0]}</blockquote><p>Short.</p><p>{LONG[1]}</p></div>", f"{LONG[0]}\n\nShort.\n\n{LONG[1]}"),
+        # an article that holds little beside text that holds much does not decide
+        (f"<article><p>Teaser</p></article><div>{PARAS}<p>{LONG[2]}</p></div>", f"Teaser\n\n{BOTH}\n\n{LONG[2]}"),
+        ("<script>var x = 1;</script><style>p {}</style>", ""),
+    ],
+)
+def test_pages_of_all_kinds(page, want):
+    assert main_text.main_text(f"<html><head><title>T</title></head><body>{page}</body></html>") == want
+
+
+def test_deep_nesting_takes_time_by_length():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        main_text.main_text("<b>" * n + "<ul><li>" * n + "x" + "</i></b>" * n + "<p>y<td>z" * n)
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 30 * seconds(4000)
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    schema = "page_id bigint, url string, html string, text string, n_chars int"
+    assert main_text.extract(spark.createDataFrame([], schema)).count() == 0
+    (row,) = main_text.extract(spark.createDataFrame([(1, "u", "<p>x y", "other", 7)], schema)).collect()
+    assert tuple(row) == (1, "u", "x y", 3)
+
+
 @given(st.text(alphabet="<>/abp &;!-='\" \n", max_size=80))
 @settings(max_examples=300, deadline=None)
 def test_any_markup_is_taken(page):
