@@ -13,11 +13,12 @@ pair; and over pairs the single words. So one shuffle of edges gives the counts
 edges are joined to paths by pointer doubling. Paths are the fixed expressions, of any length, and the
 candidates of four words are read off them. Edges of a closed ring stay paths of one edge each.
 
-A phrase is frequent with ``least`` occurrences, and so are all its parts. A rarer word, and the place
-between two words of a rarer pair, end a piece, which leaves the counts of frequent phrases as they
-are. So words are counted first, then pairs, and bit tables of their frequent ones go to the tasks; what
-a table takes for frequent by mistake costs an edge more, nothing else. Words are 64-bit names of
-language and word, phrases are told apart by the names of their words in order.
+A phrase is frequent with ``least`` occurrences, and so are all its parts. A rarer word ends a piece,
+which leaves the counts of frequent phrases as they are. So words are counted first, and a bit table of
+the frequent ones goes to the tasks; what it takes for frequent by mistake costs an edge more, nothing
+else. Edges are dealt by their first two words, so that pairs are counted where their edges are; those
+that start with one of the few heaviest words are dealt by three, and their pairs are summed once
+more. Words are 64-bit names of language and word, phrases are told apart by their words' names.
 
 A null text is empty, a null lang is ``und``. Repeated rows count each. Ties of score and number go by
 phrase. An empty table gives no row.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foliozone.llm.tables import Table, bit_table, small_batches
-from foliozone.llm.words import Block, blocks, byte_class, mix, pair
+from foliozone.llm.words import Block, blocks, byte_class, mix
 from foliozone.session import stage
 
 #: A phrase seen less often is no candidate; one that a longer phrase explains to this percentage is dropped.
@@ -43,6 +44,8 @@ LEAST, EXPLAINED = 30, 80
 #: A language's report, and what scores are counted in.
 MOST, SCALE = 2000, 2_000_000
 LONGEST = 4
+#: A word with more than this share of all words is heavy; so there are fewer than 1 / HEAVY of them.
+HEAVY = 0.002
 
 #: Bytes of text whose words a task counts together.
 TOGETHER = 4 << 20
@@ -90,9 +93,11 @@ def _sums(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     """Equal rows once, with the sum of their counts."""
     if not len(counts):
         return columns, counts
-    key = columns[0]
-    for column in columns[1:]:
+    # by some bits of the first words, then of all: rows that start alike lie together, which packs well
+    key = columns[-1]
+    for column in columns[:-1]:
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
+    key = (columns[0] & np.uint64(0xFFFFF << 44)) | (columns[1] >> np.uint64(48) << np.uint64(28)) | (key >> np.uint64(36))
     order = np.argsort(key, kind="stable")
     columns = [c[order] for c in columns]
     # rows are compared, not their keys: rows of one key that differ stay apart
@@ -141,26 +146,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from (rows.slice(k, HANDED) for k in range(0, len(n), HANDED))
 
 
-def pairs_of(names: np.ndarray, pieces: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, pair names) of the words that a frequent one follows in their piece, being frequent themselves."""
-    at = np.flatnonzero(frequent[:-1] & frequent[1:] & (pieces[:-1] == pieces[1:]))
-    return at, pair(names[at], names[at + 1])
-
-
-def _pairs(words: Table):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words.check()
-
-        def parts():
-            for names, pieces, _, _ in _pieces(batches):
-                _, found = pairs_of(names, pieces, known(names))
-                yield _sums([found], np.ones(len(found), dtype=np.int64))
-
-        yield from _summed(parts(), ["name"])
-
-    return count
-
-
 def edges_of(names: np.ndarray, frequent: np.ndarray, joined: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Equal runs of four words once, with their number; 0 stands for what is not there, at the end of a piece.
 
@@ -175,15 +160,14 @@ def edges_of(names: np.ndarray, frequent: np.ndarray, joined: np.ndarray) -> tup
     return _sums(columns, np.ones(len(places), dtype=np.int64))
 
 
-def _edges(words: Table, pairs: Table):
+def _edges(words: Table):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, together = words.check(), pairs.check()
+        known = words.check()
 
         def parts():
             for names, pieces, _, _ in _pieces(batches):
                 frequent, joined = known(names), np.zeros(len(names), dtype=bool)
-                at, found = pairs_of(names, pieces, frequent)
-                joined[at] = together(found)
+                joined[:-1] = frequent[:-1] & frequent[1:] & (pieces[:-1] == pieces[1:])
                 yield edges_of(names, frequent, joined)
 
         yield from _summed(parts(), NAMES)
@@ -207,26 +191,25 @@ def _texts(docs: DataFrame) -> DataFrame:
 def phrase_counts(docs: DataFrame, words: DataFrame, least: int = LEAST) -> DataFrame:
     """(w1, w2, w3, w4, n), of every phrase of up to four words with ``least`` occurrences; 0 for no word."""
     often = bit_table(words.filter(F.col("n") >= least).select("name"))
-    pairs = _texts(docs).mapInArrow(_pairs(often), "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
-    together = bit_table(stage(pairs.filter(F.col("n") >= least).select("name"), "pairs"))
+    heavy = [r[0] for r in words.filter(F.col("n") > HEAVY * (words.agg(F.sum("n")).first()[0] or 0)).select("name").collect()]
+    salt = F.when(F.col("w1").isin(heavy), F.col("w3")).otherwise(0).alias("salt")
     # tasks have summed their own: a hot node costs a task no more rows than it has different successors
-    edges = _texts(docs).mapInArrow(_edges(often, together), "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint").repartition("w1", "w2", "w3")
-    edges = edges.groupBy(*NAMES).agg(F.sum("n").alias("n"))
-    often = F.when((F.col("w4") != 0) & (F.col("n") >= least), F.struct("w4", "n"))
-    nodes = edges.groupBy("w1", "w2", "w3").agg(F.sum("n").alias("flow"), F.collect_list(often).alias("edges"))
-
-    def row(w2: str | int, w3: str | int, w4: Column | int, n: str | Column) -> Column:
+    edges = _texts(docs).mapInArrow(_edges(often), "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint")
+    edges = edges.select("*", salt).repartition("w1", "w2", "salt").groupBy("w1", "w2", "salt", "w3", "w4").agg(F.sum("n").alias("n"))
+    kept = F.when((F.col("w4") != 0) & (F.col("n") >= least), F.struct("w4", "n"))
+    nodes = edges.groupBy("w1", "w2", "salt", "w3").agg(F.sum("n").alias("flow"), F.collect_list(kept).alias("edges"))
+    kept = F.when((F.col("w3") != 0) & (F.col("flow") >= least), F.struct("w3", "flow", "edges"))
+    pairs = nodes.groupBy("w1", "w2", "salt").agg(F.sum("flow").alias("flow"), F.collect_list(kept).alias("nodes"))
+
+    def row(w2: str | int, w3: Column | int, w4: Column | int, n: str | Column) -> Column:
         column = lambda v: v if isinstance(v, Column) else F.lit(v).cast("bigint") if isinstance(v, int) else F.col(v)
         return F.struct("w1", column(w2).alias("w2"), column(w3).alias("w3"), column(w4).alias("w4"), column(n).alias("n"))
 
     none = F.array().cast("array<struct<w1:bigint,w2:bigint,w3:bigint,w4:bigint,n:bigint>>")
-    flows = F.concat(
-        F.array(row(0, 0, 0, "flow")),
-        F.when(F.col("w2") != 0, F.array(row("w2", 0, 0, "flow"))).otherwise(none),
-        F.when((F.col("w3") != 0) & (F.col("flow") >= least), F.array(row("w2", "w3", 0, "flow"))).otherwise(none),
-        F.transform("edges", lambda e: row("w2", "w3", e["w4"], e["n"])),
-    )
-    return nodes.select(F.explode(flows).alias("f")).select("f.*").groupBy(*NAMES).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    open_pair = (F.col("w2") != 0) & ((F.col("flow") >= least) | F.col("w1").isin(heavy))
+    below = lambda x: F.concat(F.array(row("w2", x["w3"], 0, x["flow"])), F.transform(x["edges"], lambda e: row("w2", x["w3"], e["w4"], e["n"])))
+    flows = F.concat(F.array(row(0, 0, 0, "flow")), F.when(open_pair, F.array(row("w2", 0, 0, "flow"))).otherwise(none), F.flatten(F.transform("nodes", below)))
+    return pairs.select(F.explode(flows).alias("f")).select("f.*").groupBy(*NAMES).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 def paths(edges: DataFrame) -> DataFrame:
