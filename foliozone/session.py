@@ -56,15 +56,16 @@ def _local_folder(_application: str) -> str:
     return tempfile.mkdtemp(prefix="foliozone-")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, makes costly steps run once, and keeps
-    column pruning, which ``checkpoint()`` would lose.
+    column pruning, which ``checkpoint()`` would lose. ``kept``: ``released`` leaves it alone.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/stage/{uuid.uuid4().hex}"
-    _staged.append(folder)
+    if not kept:
+        _staged.append(folder)
     df.write.parquet(f"{folder}/{name}")
     table = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
     _folders[table] = folder
@@ -81,6 +82,7 @@ def discard(*tables: DataFrame) -> None:
         folder = _folders.pop(table, None)
         if folder in _staged:
             _staged.remove(folder)
+        if folder:
             remove(table.sparkSession, folder)
 
 
