@@ -1,7 +1,8 @@
 """A training corpus out of raw documents, in stages.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; all
-but the last return the columns of ``docs``. ``run`` writes every stage's result and reads it back.
+but the last return the columns of ``docs``. ``run`` writes every stage's result and reads it back, and
+removes what the stage wrote on its way and the result before it.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 
 from foliozone.llm import decontamination, language, secret_scan, sentence_pieces, simhash
 from foliozone.llm.tables import same, small_batches, table, wrapped
-from foliozone.session import stage
+from foliozone.session import discard, released, stage
 
-#: A document goes if its language is unknown or less sure than this.
-LEAST_SCORE = 0.2
+#: A document goes if its language is unknown, or less sure than all others together.
+LEAST_SCORE = 0.5
 #: Near-duplicates share this much of their shingles of so many words (Jaccard similarity).
 SHINGLE, SIMILARITY = 5, 0.8
 
@@ -75,5 +76,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "_"))
+        with released(spark):
+            done = stage(step(spark, docs, sf_dir), name.replace(" ", "_"), kept=True)
+        discard(docs)
+        docs = done
     return docs
