@@ -507,6 +507,11 @@ WITH {_CURATED} SELECT storage_id, partition_date, file_path, h AS file_hash, h
 
 ORACLES["curated_objects"] = f"WITH {_CURATED} SELECT file_path AS object_key, h AS payload_hash FROM curated"
 
+ORACLES["single_cell_transform"] = f"""
+WITH {_CURATED}, t AS (SELECT count(*) AS n FROM landed WHERE body_code = 'en' AND label = '2024-01')
+SELECT 'transform' AS stage, CAST(0 AS BIGINT) AS cell_seq, '2024-01' AS partition, 'en' AS body, n AS records_found, n AS records_written,
+       CAST(0 AS BIGINT) AS records_unchanged, CAST(0 AS BIGINT) AS records_failed, true AS collection_complete, true AS accounted_for FROM t"""
+
 ORACLES["full_run"] = f"""
 WITH {PAGES}, c AS (SELECT count(*) AS n, 12 * count(DISTINCT body_code) AS cells FROM pagebody)
 SELECT stage, 'example' AS source, '2024-01-01' AS start_date, '2025-01-01' AS end_date, cells AS partitions,

@@ -1047,3 +1047,12 @@ def single_cell(spark, sf_dir):
     captured = handoff.Capture.of(spark, stage(inside, "cell_capture"))
     result = runs.ingest_single_cell(space, inputs.ORDERS_SITE, captured, start, "f", RUN_TS)
     return result.cell_summary
+
+
+@query
+def single_cell_transform(spark, sf_dir):
+    """The second stage of one cell, over a landing zone that holds all pages: January of one body."""
+    space, adapter = inputs.workspace(spark), inputs.pages_site(sf_dir)
+    items = inputs.page_items(spark, sf_dir).withColumn("document_url", F.regexp_replace("document_url", r"/\d+\.html", "/page.html"))
+    runs.ingest_date_range(space, adapter, handoff.Capture.of(spark, stage(items, "pages_capture")), *YEAR, RUN_TS)
+    return runs.transform_single_cell(space, adapter, YEAR[0], "en", RUN_TS).cell_summary

@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import compare, connect
 
@@ -32,6 +36,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
+def test_core_queries_load_where_corpus_operators_do_not():
+    code = "import sys; sys.modules['foliozone.llm'] = None; import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.QUERIES) and sorted(e.oracle_sql()) == sorted(e.ORACLES))"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(contract.__file__).parent)
+    assert done.stdout.strip() == "True", done.stderr
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
