@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +31,7 @@ class StageResult:
     cell_summary: DataFrame
     run_summary: DataFrame
     failures: DataFrame
+    rejects: DataFrame | None = None
 
 
 def fingerprinted(items: DataFrame, cells: DataFrame, adapter: SourceAdapter, payloads: Payloads | None = None) -> DataFrame:
@@ -99,8 +100,9 @@ def reachable(capture: Capture) -> Capture:
     def alive(df: DataFrame) -> DataFrame:
         return df.join(dead, "cell_seq", "left_anti")
 
+    rejects = None if capture.rejects is None else alive(capture.rejects)
     return Capture(
-        alive(capture.items), alive(capture.totals), alive(capture.listing_failures), capture.dead_cells, capture.payloads
+        alive(capture.items), alive(capture.totals), alive(capture.listing_failures), capture.dead_cells, capture.payloads, rejects
     )
 
 
@@ -221,9 +223,10 @@ def ingest(
     settled = settle(capture.items, cells, adapter, capture.payloads)
     outcomes = checked(settled, before.current(tuple(b.code for b in adapter.bodies())))
     decided = store(zone, before, capture, settled, outcomes, cells, adapter, run_ts)
-    return account(
+    result = account(
         decided, cells, collection_failures(capture), capture.totals, STAGE, adapter.name, start, end, "document_url"
     )
+    return replace(result, rejects=capture.rejects)
 
 
 def store(
@@ -285,7 +288,7 @@ def capture_pages(
     failures = walked.filter("was_read IS NULL").select("cell_seq", "page_number", "url", "error_code", "error_reason")
     failures = failures.unionByName(listing.open_chains(walked, F.col("stop"), cells))
     payloads = RowPayloads(documents, seen.filter("payload_ref IS NOT NULL").dropDuplicates(["payload_ref"]))
-    return Capture.of(spark, items, listing.listing_totals(walked.filter("was_read")), failures, payloads=payloads), rejected
+    return Capture.of(spark, items, listing.listing_totals(walked.filter("was_read")), failures, payloads=payloads, rejects=rejected), rejected
 
 
 def _seen_documents(documents: DataFrame, adapter: SourceAdapter) -> DataFrame:

@@ -46,17 +46,22 @@ class Workspace:
 def _logged(
     workspace: Workspace, result: StageResult, stage: str, source: str, start: date, end: date, run_ts: datetime, began: float
 ) -> StageResult:
-    """Store the run's outcomes, summaries and failures and return them as stored."""
+    """Store the run's outcomes, summaries, failures and rejects and return them as stored."""
     run_id, stamp = f"{stage}-{uuid.uuid4().hex}", F.lit(run_ts)
     cells = workspace.log.append("cell_summary", run_id, result.cell_summary.withColumn("run_ts", stamp))
     outcomes = result.decided.select(*(part.split()[0] for part in schemas.OUTCOMES.split(", ")))
     outcomes = workspace.log.append("outcomes", run_id, outcomes.withColumn("run_ts", stamp)).drop("run_ts")
     total = accounting.run_summary(cells, stage, source, start, end).withColumn("duration_seconds", F.lit(round(time.monotonic() - began, 3)))
+    rejects = result.rejects
+    if rejects is not None:
+        shaped = rejects.select(*(part.split()[0] for part in schemas.REJECTS.split(", ")))
+        rejects = workspace.log.append("rejects", run_id, shaped.withColumn("run_ts", stamp)).drop("run_ts")
     return StageResult(
         outcomes,
         cells.drop("run_ts"),
         workspace.log.append("run_summary", run_id, total.withColumn("run_ts", stamp)).drop("run_ts"),
         workspace.log.append("failures", run_id, result.failures.withColumn("run_ts", stamp)).drop("run_ts"),
+        rejects,
     )
 
 

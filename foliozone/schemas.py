@@ -54,5 +54,8 @@ FAILURES = (
     "error_code STRING, reason STRING, is_collection BOOLEAN"
 )
 
+# Listing entries set aside, with where they stood.
+REJECTS = "cell_seq BIGINT, page_number INT, position INT, identifier STRING, title STRING, document_url STRING, reject_reason STRING"
+
 # The tables of the run log.
-RUN_LOG = {"cell_summary": CELL_SUMMARY, "run_summary": RUN_SUMMARY, "failures": FAILURES, "outcomes": OUTCOMES}
+RUN_LOG = {"cell_summary": CELL_SUMMARY, "run_summary": RUN_SUMMARY, "failures": FAILURES, "outcomes": OUTCOMES, "rejects": REJECTS}

@@ -22,7 +22,8 @@ BAD_LINE_REASON = "not a JSON object: "
 class Capture:
     """Everything a fetch brought home, for all cells of a run at once.
 
-    Items hold their ``payload``, or the ``payload_ref`` of one that lies in ``payloads``.
+    Items hold their ``payload``, or the ``payload_ref`` of one that lies in ``payloads``. ``rejects``
+    are listing entries that were set aside; a run logs them.
     """
 
     items: DataFrame
@@ -30,9 +31,10 @@ class Capture:
     listing_failures: DataFrame
     dead_cells: DataFrame
     payloads: Payloads | None = None
+    rejects: DataFrame | None = None
 
     @classmethod
-    def of(cls, spark: SparkSession, items: DataFrame, totals=None, listing_failures=None, dead_cells=None, payloads=None) -> "Capture":
+    def of(cls, spark: SparkSession, items: DataFrame, totals=None, listing_failures=None, dead_cells=None, payloads=None, rejects=None) -> "Capture":
         def given(df, schema):
             return df if df is not None else spark.createDataFrame([], schema)
 
@@ -42,6 +44,7 @@ class Capture:
             given(listing_failures, schemas.LISTING_FAILURES),
             given(dead_cells, schemas.DEAD_CELLS),
             payloads,
+            rejects,
         )
 
 

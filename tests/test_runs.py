@@ -353,6 +353,17 @@ def test_vacuum_removes_what_a_compaction_replaced(spark, workspace, tmp_path):
     assert workspace.landing.snapshot().runs == (3,)
 
 
+def test_rejected_entries_are_logged(spark, workspace):
+    bad = listing(entry("CASE-0001", "/en/cases/2024/february/case-0001.html"), entry("NO-DATE", "/en/cases/2024/x.html", day="tomorrow"), entry("NO-LINK", None))
+    result = runs.ingest_date_range(workspace, ADAPTER, capture(spark, first=bad), JAN, FEB, RUN_TS)
+    kept = {(r["cell_seq"], r["page_number"], r["identifier"]) for r in workspace.log.read("rejects").collect()}
+    assert kept == {(0, 1, "NO-DATE"), (0, 1, "NO-LINK")} and result.rejects.filter("reject_reason IS NULL").count() == 0
+    assert only(result.run_summary)["records_written"] == 1
+    # a dead cell leaves none
+    got = replace(capture(spark, first=bad), dead_cells=spark.createDataFrame([(0, "crawl failed")], schemas.DEAD_CELLS))
+    assert runs.ingest_date_range(workspace, ADAPTER, got, JAN, FEB, RUN_TS).rejects.count() == 0
+
+
 def test_a_run_leaves_nothing_staged(spark, workspace):
     from foliozone import session
 
