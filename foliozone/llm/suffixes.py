@@ -12,7 +12,7 @@ for the others. Where all stretches of an anchor are equal, nothing is left to d
 
 **Rounds.** Windows of an anchor are told apart by their offset, the bytes that they reach before it.
 Block by block of offsets, all windows of a block share some bytes around the anchor, and halving the
-block lets these bytes grow: 2 * 32 offsets share ``span - 31`` bytes, then ``span - 15``, and so on to
+blocks lets these bytes grow: 32 offsets share ``span - 31`` bytes, 16 share ``span - 15``, and so on to
 ``span``. In each round Spark sorts the pairs (rank so far, bytes that came to it) and numbers them
 anew; a rank of one stretch is unique and leaves, and so do copies of an equal part of a stretch,
 to be removed. The last round's blocks are single positions, equal in all of their ``span`` bytes.
