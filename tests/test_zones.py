@@ -123,3 +123,19 @@ def test_a_zone_keeps_its_buckets(spark, zone):
     zone.compact()
     zone.vacuum()
     assert other.snapshot().current().count() == 15
+
+
+def test_staged_tables_go_when_discarded_or_released(spark):
+    from pathlib import Path
+
+    from foliozone import session
+
+    place = lambda table: Path(table.inputFiles()[0].removeprefix("file://").removeprefix("file:"))
+    with session.released(spark):
+        first, second, third = (session.stage(spark.range(3), "t", kept) for kept in (False, False, True))
+        files = [place(t) for t in (first, second, third)]
+        session.discard(first, spark.range(1))
+        assert [f.exists() for f in files] == [False, True, True]
+    assert [f.exists() for f in files] == [False, False, True] and third.count() == 3
+    session.discard(third)
+    assert not files[2].exists()
