@@ -48,9 +48,9 @@ LONGEST = 4
 HEAVY = 0.002
 
 #: Bytes of text whose words a task counts together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: Rows that a task sums before it hands them on, and those it hands on at once.
-HELD, HANDED = 1 << 19, 1 << 16
+HELD, HANDED = 1 << 18, 1 << 15
 
 STOPS = byte_class(*((b, b) for b in b".,;:!?"), (0x0A, 0x0D))
 WORD = ~(STOPS | byte_class((0x20, 0x20), (0x09, 0x09)))
