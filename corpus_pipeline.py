@@ -16,8 +16,8 @@ from foliozone.session import discard, released, stage
 
 #: A document goes if its language is unknown, or less sure than all others together.
 LEAST_SCORE = 0.5
-#: Near-duplicates share this much of their shingles of so many words (Jaccard similarity).
-SHINGLE, SIMILARITY = 5, 0.8
+#: Near-duplicates: fingerprints of shingles of so many words that differ in so many bits at most.
+SHINGLE, DISTANCE = 4, 4
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of every component of near-duplicates."""
-    return simhash.first_of_each(docs, simhash.near_duplicates(docs, shingle=SHINGLE, similarity=SIMILARITY))
+    return simhash.first_of_each(docs, simhash.near_duplicates(docs, DISTANCE, SHINGLE))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
