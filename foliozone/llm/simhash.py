@@ -14,11 +14,6 @@ not reached yet, which gives a spanning forest of its links instead of all pairs
 than ``MOST`` rows is dealt to blocks, and every pair of blocks is searched so, in its own task.
 Components of the links then span all documents.
 
-With a ``similarity``, fingerprints within the distance only propose pairs, as do bands of minima of
-the shingle sets (``similar.py``), since copies of similarity 0.8 differ in ten bits on average, too
-many to search by fingerprint alone; a link then is a pair whose shingle sets have at least that
-Jaccard similarity, and texts of one set link anyway.
-
 Null, empty and blank texts have the fingerprint zero and link like any other. Repeated rows get
 equal results, one each. ``component_id`` is the smallest doc_id that is not null of a component.
 """
@@ -38,7 +33,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from foliozone.llm import similar
 from foliozone.llm.components import components
 from foliozone.llm.tables import same, small_batches, text_key, wrapped
 from foliozone.session import stage
@@ -260,14 +254,9 @@ def near_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(verify, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
-    """(doc_id, text_key, fp, root, component_id), a row for every row of ``docs``; root: a fingerprint.
-
-    With a ``similarity``, only links of that similarity count, and root is the key of a shingle set.
-    """
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_key, fp, root, component_id), a row for every row of ``docs``; root: a fingerprint."""
     small_batches(docs.sparkSession)
-    if similarity is not None:
-        return _verified(docs, distance, shingle, similarity)
     seen = stage(docs.select("doc_id", text_key().alias("text_key"), fingerprints_of(shingle)("text").alias("fp")), "fingerprints")
     prints = stage(seen.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
     linked = components(near_links(prints, distance)).withColumnRenamed("id", "fp")
@@ -276,29 +265,6 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
     return seen.join(rooted.select("fp", "root").join(smallest, "root"), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
-def _verified(docs: DataFrame, distance: int, shingle: int, similarity: float) -> DataFrame:
-    sketch = similar.sketches(shingle)("text")
-    seen = docs.select("doc_id", text_key().alias("text_key"), fingerprints_of(shingle)("text").alias("fp"), sketch.alias("s"))
-    seen = stage(seen.select("doc_id", "text_key", "fp", "s.*"), "sketches")
-    # texts of one set have one fingerprint but for repeated shingles: any of them proposes as well
-    sets = seen.groupBy("set_key").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands"))
-    sets = stage(sets, "shingle_sets")
-    prints = stage(sets.groupBy("fp").agg(F.min("set_key").alias("one")), "distinct_fingerprints")
-    ones = prints.select(F.col("fp").alias("a"), F.col("one").alias("one_a")), prints.select(F.col("fp").alias("b"), F.col("one").alias("one_b"))
-    near = near_links(prints, distance).distinct().join(ones[0], "a").join(ones[1], "b").select(F.col("one_a").alias("a"), F.col("one_b").alias("b"))
-    equal = sets.join(prints, "fp").filter("set_key <> one").select(F.col("set_key").alias("a"), F.col("one").alias("b"))
-    groups = components(similar.band_links(sets).unionByName(near).unionByName(equal)).select(F.col("id").alias("set_key"), F.col("root").alias("grp"))
-    wanted = stage(groups.join(sets.select("set_key", "text_key"), "set_key"), "candidates")
-    # one text for a set: its text key is enough to find it
-    held = docs.select(text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text")).filter(similar.among(wanted.select("text_key"))("text_key"))
-    texts = stage(held.join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"]), "candidate_texts")
-    members = texts.join(wanted, "text_key").select("grp", "set_key", "text")
-    linked = components(similar.similar_links(members, shingle, similarity)).withColumnRenamed("id", "set_key")
-    rooted = sets.join(linked, "set_key", "left").select("set_key", "first", F.coalesce("root", "set_key").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return seen.join(rooted.select("set_key", "root").join(smallest, "root"), "set_key").select("doc_id", "text_key", "fp", "root", "component_id")
-
-
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their component, one for each component.
 
