@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliozone.llm.native import let, matches, no_nulls
+from foliozone.llm.native import indices, let, matches, no_nulls, running
 
 # Word characters of the contract: digits, ASCII letters, everything beyond ASCII.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -187,7 +187,7 @@ def keywords(all_rules: list[dict]) -> list[str]:
 
 
 _SCHEMA = "array<struct<label:string,keywords:array<string>,regex:string,priority:int,score:double,rank:int>>"
-_NONE = "array<struct<label:string,priority:int,score:double,rank:int,first:int,end:int>>"
+_NONE = "array<struct<first:int,end:int,rank:int,label:string,priority:int,score:double>>"
 
 
 def detections(text: Column, all_rules: list[dict] | None = None) -> Column:
@@ -202,7 +202,7 @@ def detections(text: Column, all_rules: list[dict] | None = None) -> Column:
                 used,
                 lambda r: F.transform(
                     F.when(F.regexp_like(text, r["regex"]), matches(text, r["regex"])).otherwise(F.array().cast("array<struct<first:int,end:int,found:string>>")),
-                    lambda m: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), r["score"].alias("score"), r["rank"].alias("rank"), m["first"].alias("first"), m["end"].alias("end")),
+                    lambda m: F.struct(m["first"].alias("first"), m["end"].alias("end"), r["rank"].alias("rank"), r["label"].alias("label"), r["priority"].alias("priority"), r["score"].alias("score")),
                 ),
             )
         )
@@ -213,8 +213,15 @@ def detections(text: Column, all_rules: list[dict] | None = None) -> Column:
         meets = (o["first"] < d["end"]) & (d["first"] < o["end"])
         return (inside & ~equal & (o["priority"] >= d["priority"])) | (equal & (o["rank"] < d["rank"])) | (meets & (o["priority"] > d["priority"]))
 
+    def left(spans: Column) -> Column:
+        """In order of their starts, detections meet only within runs that nothing before reaches into."""
+        reached = running(F.transform(spans, lambda d: d["end"]), F.greatest)
+        starts = let(reached, lambda r: F.filter(indices(F.size(spans)), lambda i: (i == 0) | (F.get(spans, i)["first"] >= F.get(r, i - 1))))
+        of_run = lambda run: F.filter(run, lambda d: ~F.exists(run, lambda o: loses(d, o)))
+        return let(starts, lambda at: F.flatten(F.transform(at, lambda a, k: let(F.slice(spans, a + 1, F.coalesce(F.get(at, k + 1), F.size(spans)) - a), of_run))))
+
     def judged(held: Column) -> Column:
-        kept = let(found(held), lambda all_: F.filter(all_, lambda d: ~F.exists(all_, lambda o: loses(d, o))))
+        kept = let(F.array_sort(found(held)), left)
         return F.when(F.size(held) > 0, kept).otherwise(F.array().cast(_NONE))
 
     # a plain search for each keyword, which costs far less than one regex of them all

@@ -32,26 +32,39 @@ def indices(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
+#: An aggregate that appends to an array copies it each time, so arrays are scanned in chunks of so many.
+CHUNK = 64
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What ``merge``, which is associative, makes of each element and all before it."""
+
+    def scanned(part: Column) -> Column:
+        add = lambda acc, x: F.concat(acc, F.array(merge(F.element_at(acc, -1), x)))
+        return F.aggregate(F.slice(part, 2, F.size(part)), F.slice(part, 1, 1), add)
+
+    def joined(parts: Column) -> Column:
+        ends = scanned(F.transform(parts, lambda part: F.element_at(part, -1)))
+        later = lambda e: F.transform(parts, lambda part, c: F.when(c == 0, part).otherwise(F.transform(part, lambda x: merge(F.get(e, c - 1), x))))
+        return F.flatten(let(ends, later))
+
+    def chunks(v: Column) -> Column:
+        return F.transform(indices(F.ceil(F.size(v) / CHUNK).cast("int")), lambda c: scanned(F.slice(v, c * CHUNK + 1, CHUNK)))
+
+    return let(values, lambda v: let(chunks(v), joined))
+
+
 def matches(text: Column, regex: str | Column) -> Column:
     """Array of (first, end, found): matches from left to right, in code points, end exclusive.
 
     Spark tells what matches but not where; the pieces between matches give the places.
     """
     pattern = F.lit(regex) if isinstance(regex, str) else regex
-    empty = F.array().cast("array<struct<first:int,end:int,found:string>>")
 
     def placed(between: Column, found: Column) -> Column:
-        def add(acc: Column, i: Column) -> Column:
-            first = acc["end"] + F.length(F.get(between, i))
-            return let(
-                first,
-                lambda a: F.struct(
-                    (a + F.length(F.get(found, i))).alias("end"),
-                    F.concat(acc["out"], F.array(F.struct(a.alias("first"), (a + F.length(F.get(found, i))).alias("end"), F.get(found, i).alias("found")))).alias("out"),
-                ),
-            )
-
-        return F.aggregate(indices(F.size(found)), F.struct(F.lit(0).alias("end"), empty.alias("out")), add, lambda acc: acc["out"])
+        steps = F.transform(found, lambda f, i: F.length(F.get(between, i)) + F.length(f))
+        span = lambda end, f: F.struct((end - F.length(f)).alias("first"), end.alias("end"), f.alias("found"))
+        return let(running(steps, lambda a, b: a + b), lambda ends: F.transform(found, lambda f, i: span(F.get(ends, i), f)))
 
     return let(
         F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("found")),

@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliozone.llm.native import indices, let, matches, no_nulls
+from foliozone.llm.native import indices, let, matches, no_nulls, running
 from foliozone.llm.tables import wrapped
 
 #: The base patterns.
@@ -60,12 +60,21 @@ def base_spans(text: Column) -> Column:
 
 def _pairs(token: Column) -> Column:
     """The number of each pair of neighbouring characters."""
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1)))
-    return F.transform(indices(F.length(token) - 1), lambda i: code(i + 1) * _SIZE + code(i + 2))
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    return let(codes, lambda n: F.transform(indices(F.size(n) - 1), lambda i: F.get(n, i) * _SIZE + F.get(n, i + 1)))
 
 
-def _outside(token: Column, spans: Column) -> Column:
-    return ~F.exists(spans, lambda s: (s["first"] < token["end"]) & (token["first"] < s["end"]))
+def _outside(tokens: Column, base: Column) -> Column:
+    """The tokens (kind 3) that meet no base span: none before reaches in, none starts before the end."""
+    far = F.lit(2**31 - 1)
+
+    def apart(spans: Column) -> Column:
+        reached = running(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), F.greatest)
+        ahead = F.reverse(running(F.reverse(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["first"]).otherwise(far))), F.least))
+        both = F.struct(reached.alias("reached"), ahead.alias("ahead"))
+        return let(both, lambda b: F.filter(spans, lambda s, i: (s["kind"] == 3) & (F.get(b["reached"], i) <= s["first"]) & (F.get(b["ahead"], i) >= s["end"])))
+
+    return F.when(F.size(tokens) == 0, _none()).otherwise(let(F.array_sort(F.concat(base, tokens)), apart))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
@@ -73,9 +82,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     share = min(1.0, sample / max(1, docs.count()))
     text = no_nulls()
     chosen = docs.filter(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < round(share * 1_000_000)).select(text.alias("t"))
-    spans = chosen.select("t", base_spans(F.col("t")).alias("b"), matches(F.col("t"), r"[A-Za-z0-9+/_=-]{12,}").alias("k"))
+    spans = chosen.select("t", base_spans(F.col("t")).alias("b"), _of(F.col("t"), r"[A-Za-z0-9+/_=-]{12,}", 3).alias("k"))
     value = lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["found"], ASSIGN, 2)).otherwise(s["found"])
-    ordinary = F.filter("k", lambda k: _outside(k, F.col("b")))
+    ordinary = _outside(F.col("k"), F.col("b"))
     label = lambda kind: lambda t: F.struct(F.lit(kind).alias("random"), t.alias("token"))
     tokens = spans.select(F.explode(F.concat(F.transform(F.transform("b", value), label(1)), F.transform(F.transform(ordinary, lambda k: k["found"]), label(0)))).alias("x"))
     counts = tokens.select("x.random", F.explode(_pairs(F.col("x.token"))).alias("pair")).groupBy("random", "pair").count()
@@ -105,7 +114,7 @@ def scan(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
     base = base_spans(text)
     tokens = _of(text, TOKEN, 3)
     both = F.struct(base.alias("base"), tokens.alias("tokens"))
-    added = let(both, lambda s: F.struct(s["base"].alias("base"), F.array_sort(F.concat(s["base"], F.filter(s["tokens"], lambda k: _outside(k, s["base"]) & likely(k["found"])))).alias("spans")))
+    added = let(both, lambda s: F.struct(s["base"].alias("base"), F.array_sort(F.concat(s["base"], F.filter(_outside(s["tokens"], s["base"]), lambda k: likely(k["found"])))).alias("spans")))
     return wrapped(docs).select("doc", "doc_id", "text", added.alias("found")).select("doc", "doc_id", "text", "found.*")
 
 
