@@ -22,6 +22,13 @@ def test_matches_are_placed_in_code_points(spark, regex):
         assert [(m["first"], m["end"], m["found"]) for m in r["m"]] == [(m.start(), m.end(), m[0]) for m in re.finditer(plain, r["t"])]
 
 
+def test_running_values_across_chunks(spark):
+    for n in (0, 1, 63, 64, 65, 200):
+        values = [(7 * i) % 31 for i in range(n)]
+        row = spark.createDataFrame([(values,)], "v array<int>").select(native.running(F.col("v"), lambda a, b: a + b).alias("s"), native.running(F.col("v"), F.greatest).alias("m")).first()
+        assert row["s"] == [sum(values[: i + 1]) for i in range(n)] and row["m"] == [max(values[: i + 1]) for i in range(n)]
+
+
 # --- secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -77,6 +84,17 @@ def test_models_tell_random_strings_from_identifiers(spark):
     assert sum((r["n"] > 0) == r["random"] for r in rows) >= 0.95 * len(rows)
 
 
+def test_many_spans_in_one_text(spark):
+    text = " ".join(f"{i:032x} token=abc{i:05d} Zx8Qp2Lk9Vt4Rw7Yb1Nm{i:03d}" for i in range(200))
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = secret_scan.scan(docs, [1.0] * secret_scan._SIZE**2).first()
+    base = plain_base(text)
+    assert [(s["first"], s["kind"], s["end"]) for s in row["base"]] == base
+    tokens = [(m.start(), m.end()) for m in re.finditer(secret_scan.TOKEN, text)]
+    added = [(a, 3, b) for a, b in tokens if all(b <= x or y <= a for x, _, y in base)]
+    assert len(added) == 200 and [(s["first"], s["kind"], s["end"]) for s in row["spans"]] == sorted(base + added)
+
+
 def test_secret_scans_of_odd_tables(messy, clashing, empty):
     assert same_rows(secret_scan.digest(secret_scan.scan(messy)), secret_scan.digest(secret_scan.scan(clashing)))
     assert secret_scan.digest(secret_scan.scan(messy)).count() == messy.count()
@@ -178,6 +196,7 @@ def test_detections_and_suppression_equal_the_plain_version(spark):
         "Redistribution and use in source and binary forms, with or without modification; BSD 3-Clause license",
         "https://opensource.org/licenses/MIT and http://www.apache.org/licenses/LICENSE-2.0",
         "mozilla public license 2.0, MPL-2.0, EPL 1.0, boost software license - version 1.0",
+        " x ".join(["Licensed under the Apache License, Version 2.0; MIT License."] * 100),
         "json ruby vim mit with die mit der",
     ]
     rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
