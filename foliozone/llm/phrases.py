@@ -154,8 +154,9 @@ def edges_of(names: np.ndarray, frequent: np.ndarray, joined: np.ndarray) -> tup
     places = np.flatnonzero(frequent)
     live, columns = np.ones(len(places), dtype=bool), [names[places]]
     for k in range(1, LONGEST):
-        at = np.minimum(places + k, len(names) - 1)
-        live = live & joined[at - 1]
+        inside = places + k < len(names)  # behind the last word there is none, whatever the one before it joins
+        at = np.where(inside, places + k, 0)
+        live = live & inside & joined[at - 1]
         columns.append(np.where(live, names[at], np.uint64(0)))
     return _sums(columns, np.ones(len(places), dtype=np.int64))
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 from samples import prose
 
 from foliozone.llm import filter_audit, phrases
@@ -128,6 +129,17 @@ def test_phrases_survive_small_tables_of_words(spark, monkeypatch):
     assert sorted(map(tuple, phrases.mine(spark.createDataFrame(rows, "text string, lang string")).collect())) == plain_phrases(rows)
 
 
+def test_no_word_follows_the_last_one_of_a_block(spark):
+    # each block of texts ends in two words that are joined: a word after its last one would be a phrase
+    names, every = np.array([5, 6, 7], dtype=np.uint64), np.ones(3, dtype=bool)
+    columns, n = phrases.edges_of(names, every, np.array([True, True, False]))
+    assert sorted(zip(*(c.tolist() for c in columns), n.tolist(), strict=True)) == [(5, 6, 7, 0, 1), (6, 7, 0, 0, 1), (7, 0, 0, 0, 1)]
+    rows = [("on the mat", "en"), ("mat mat", "en")] * 29 + [("the cat on the mat", "en")] * 11
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(40)
+    for least in (30, 3):
+        assert sorted(map(tuple, phrases.mine(docs, least).collect())) == plain_phrases(rows, least)
+
+
 def test_paths_are_fixed_expressions(spark):
     docs = spark.createDataFrame(phrase_docs(), "text string, lang string")
     words = phrases.word_counts(docs)
