@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliozone.functions import keys
+from foliozone.session import pieces, small_batches
 from foliozone.sources import markup
 
 # Fixed value: the reason of a page without content.
@@ -51,10 +52,10 @@ def extract_content(documents: DataFrame, profile, html: Column | None = None) -
     def clean(batches):
         inside = [markup.compile_selector(s) for s in containers]
         outside = [markup.compile_selector(s) for s in stripped]
-        for batch in batches:
+        for batch in pieces(batches, column):
             cleaned = [
                 None if p is None else _clean(p, inside, outside, return_text, template)
-                for p in batch.column(column).to_pylist()
+                for p in (payload.as_py() for payload in batch.column(column))
             ]
             errors = [
                 NO_CONTAINER if c is None and p else None
@@ -64,6 +65,7 @@ def extract_content(documents: DataFrame, profile, html: Column | None = None) -
             arrays[column] = pa.array(cleaned, pa.binary())
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
+    small_batches(documents.sparkSession)
     return (
         documents.filter(html)
         .mapInArrow(clean, schema)

@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -22,6 +25,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Rows that Python gets and hands back at once, and bytes of their payloads that it holds at once.
+BATCH_ROWS, BATCH_BYTES = int(SETTINGS["spark.sql.execution.arrow.maxRecordsPerBatch"]), 8 << 20
+
 # AQE joins small shuffle partitions but splits only skewed ones, so a cluster starts with many.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
@@ -41,6 +47,26 @@ def build_session(master: str | None = None, app: str = "foliozone", **extra: st
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of payload rows in a session that was not built here; the default is 10,000 rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= 2 * BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``BATCH_ROWS`` and about ``BATCH_BYTES`` of a binary column at a time."""
+    for batch in batches:
+        first = held = 0
+        for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+            if i > first and (i - first >= BATCH_ROWS or held + (size or 0) > BATCH_BYTES):
+                yield batch.slice(first, i - first)
+                first, held = i, 0
+            held += size or 0
+        if first < len(batch):
+            yield batch.slice(first)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, else one made for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
