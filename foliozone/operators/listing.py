@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone.functions import dates, keys, text
+from foliozone.session import pieces, small_batches
 from foliozone.sources import markup
 
 _ROW = "struct<href:string,link_text:string,date_text:string,reference:string,description:string>"
@@ -34,35 +35,37 @@ def read_listing_rows(pages: DataFrame, profile) -> DataFrame:
         profile.reference_selector,
         profile.description_selector,
     )
-    row_type = pa.struct(
-        [pa.field(n, pa.string()) for n in ("href", "link_text", "date_text", "reference", "description")]
-    )
+    names = ["href", "link_text", "date_text", "reference", "description"]
 
     def read(batches):
         row, *parts = [markup.compile_selector(s) for s in selectors]
 
         def read_row(item):
-            link, date, reference, description = (markup.select_one(item, p) for p in parts)
-            return {
-                "href": link.attrs["href"] if link else None,
-                "link_text": link.text(" ") if link else None,
-                "date_text": date.stripped_text() if date else None,
-                "reference": reference.text(" ") if reference else None,
-                "description": description.text(" ") if description else None,
-            }
-
-        for batch in batches:
-            totals, rows = [], []
-            for payload in batch.column(2).to_pylist():
-                page = markup.parse(payload)
+            link, date, reference, description = markup.select_firsts(item, parts)
+            return (
+                link.attrs["href"] if link else None,
+                link.text(" ") if link else None,
+                date.stripped_text() if date else None,
+                reference.text(" ") if reference else None,
+                description.text(" ") if description else None,
+            )
+
+        for batch in pieces(batches, 2):
+            totals, rows, ends = [], [], [0]
+            for payload in batch.column(2):
+                page = markup.parse(payload.as_py())
                 found = _TOTAL.search(page.text(" "))
                 totals.append(found.group(0) if found else None)
-                rows.append([read_row(item) for item in markup.select(page, row)])
+                rows += [read_row(item) for item in markup.select(page, row)]
+                ends.append(len(rows))
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            entries = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(totals, pa.string()), pa.array(rows, pa.list_(row_type))],
+                [batch.column(0), batch.column(1), pa.array(totals, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)],
                 names=["cell_seq", "page_number", "total_text", "rows"],
             )
 
+    small_batches(pages.sparkSession)
     schema = f"cell_seq BIGINT, page_number INT, total_text STRING, rows ARRAY<{_ROW}>"
     return (
         pages.filter(F.col("payload").isNotNull())

@@ -76,6 +76,65 @@ def test_selectors():
     assert find("div.b.a li a") == ["a", "a"] and find("li#k a[href]") == ["a"] and find(".a .a") == [] and find("ul div") == []
 
 
+def test_plain_tokens_give_the_tree_of_the_library():
+    import random
+
+    def tree(node):
+        return (node.name, node.attrs, [tree(c) if isinstance(c, markup.Element) else c for c in node.children])
+
+    def by_library(page):
+        builder = markup._Builder()
+        builder.feed(page)
+        builder.close()
+        builder.flush()
+        return tree(builder.root)
+
+    bits = ["<p>", "</p>", '<div class=" a  b ">', "</div>", "<br>", "<br/>", '<img alt="a&amp;b">', '<a href="x" href="y">', "<a href=x>", "<a b>", '</a b="c">', "<P>", "</ p>", "</>", "text", " ", "\n", "&amp;", "&lt", "<", ">"]
+    bits += ["<!-- c -->", "<!---->", "<!-->", "<!-- a -- b -->", "<!--a-- >", "<!DOCTYPE html>", "<!x>", "<?pi?>", "<![CDATA[x]]>", "<script>", "</script>", "<script>a&amp;b</script>", '<script>a<b "</p>"</script>', "<script/>", "<style></style>", "<title>A &amp; B</title>", "<title><i>", "<pre> </pre>", "<template>x</template>", '<a href="x']
+    r = random.Random(3)
+    for _ in range(5000):
+        page = "".join(r.choice(bits) for _ in range(r.randint(1, 9)))
+        assert tree(markup.parse(page.encode())) == by_library(page), page
+
+
+def test_a_plain_page_needs_no_tolerant_parser(monkeypatch):
+    left = []
+    monkeypatch.setattr(markup._Builder, "feed", lambda self, rest: left.append(rest))
+    markup.parse(listing(entry("X/1", "/x"), "<!-- c --><script>a</script><br/>") + b" end")
+    assert left == [" end"]
+
+
+def test_one_walk_finds_what_single_walks_find():
+    page = markup.parse(b'<ul><li class="x"><b>1</b><i>2</i><b>3</b></li><li><i class="k">4</i></li></ul>')
+    several = [markup.compile_selector(s) for s in ("b", "i.k", "li.x i", "u", ".k")]
+    for root in (page, *markup.select(page, several[0])):
+        assert markup.select_firsts(root, several) == [markup.select_one(root, steps) for steps in several]
+
+
+def test_python_holds_few_pages_at_once(spark):
+    import pyarrow as pa
+
+    from foliozone import session
+
+    payloads = [b"x" * 3_000_000, None, b"y" * 3_000_000, b"", b"z" * 3_000_000, b"w" * 20_000_000, b"v"] + [b"u"] * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(payloads))), pa.array(payloads, pa.binary())], names=["i", "payload"])
+    cut = list(session.pieces([batch, batch.slice(0, 0)], 1))
+    assert pa.Table.from_batches(cut) == pa.Table.from_batches([batch])
+    assert [len(b) for b in cut] == [4, 1, 1, 256, 256, 256, 233]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        rows = spark.createDataFrame([(0, bytearray(decision()), "text/html")], "i INT, payload BINARY, content_type STRING")
+        ADAPTER.extract(rows)
+        assert spark.conf.get(key) == "256"
+        spark.conf.set(key, "10000")
+        ADAPTER.listing_rows(rows.selectExpr("1L AS cell_seq", "1 AS page_number", "payload"))
+        assert spark.conf.get(key) == "256"
+    finally:
+        spark.conf.set(key, usual)
+
+
 def read(spark, *payloads):
     df = spark.createDataFrame(
         [(0, i + 1, bytearray(p) if p is not None else None) for i, p in enumerate(payloads)],
