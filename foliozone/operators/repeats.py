@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliozone.functions.text import blank_to_null, quoted
+from foliozone.operators.changes import seen_twice
 from foliozone.session import stage
 
 # Error codes and messages of failed rows.
@@ -37,16 +38,17 @@ def mark_repeats(items: DataFrame) -> DataFrame:
 
     Rows are ordered by their number, then their url, then ``row_id`` where they carry one, so that
     equal numbers do not make two first rows; null references are one reference like any other.
-    Keys are counted with map-side combine over key columns only, and just the keys seen twice or
+    Keys are counted with map-side combine over their hashes only, and just the keys seen twice or
     more are staged and go back to the rows. Those are few on real listings, so the planner
     broadcasts them by file size and the rows do not move. If there are many, or one reference
     holds a large share of all rows, their side is still one row per key and the rows' side can
-    be split. ``items`` is read twice: pass narrow rows.
+    be split. ``items`` is read three times: pass narrow rows.
     """
     order = F.struct(*(c for c in ("item_seq", "document_url", "row_id") if c in items.columns))
     owners = items.filter(F.coalesce(F.col("error_code") != UNPLACED, F.lit(True)))
     repeated = stage(
-        owners.groupBy(*REFERENCE)
+        seen_twice(owners, REFERENCE)
+        .groupBy(*REFERENCE)
         .agg(
             F.count("*").alias("n"),
             F.min(order).alias("first_place"),

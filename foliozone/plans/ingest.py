@@ -135,6 +135,14 @@ def rebased(outcomes: DataFrame, settled: DataFrame, before: Snapshot, now: Snap
     return stage(outcomes.join(met, changes.KEY, "left_anti").unionByName(again), "ingest_decided")
 
 
+def meets(now: Snapshot, before: Snapshot, outcomes: DataFrame) -> bool:
+    """Whether a run that came after ``before`` wrote a key that is to be written."""
+    if set(now.names) <= set(before.names):
+        return False
+    own = outcomes.filter("keep_metadata").select(*changes.KEY)
+    return not now.since(before).select(*changes.KEY).join(own, changes.KEY, "left_semi").isEmpty()
+
+
 def collection_failures(capture: Capture) -> DataFrame:
     return repeats.listing_failures(capture.listing_failures).unionByName(
         accounting.dead_cells_as_failures(capture.dead_cells)
@@ -234,10 +242,14 @@ def store(
 ) -> DataFrame:
     """Write what was decided on ``before`` and return what came of every row.
 
-    Where a run that committed meanwhile wrote some of the keys, these are decided again and the
-    run's objects are written anew; every round means that another run has ended.
+    Where a run that committed meanwhile wrote some of the keys, these are decided again: before
+    anything is written if that run has ended by then, else the run's objects are written anew.
+    Every round means that another run has ended.
     """
     while True:
+        now = zone.snapshot()
+        if meets(now, before, outcomes):
+            outcomes, before = rebased(outcomes, settled, before, now), now
         decided = changes.keep_last_object(outcomes, PLACE)
         if decided.filter("keep_metadata").isEmpty():
             return decided

@@ -341,6 +341,24 @@ def test_overlapping_runs_end_as_if_one_came_first(spark, workspace, monkeypatch
     assert len(list(folder.glob("run=*"))) == len(list((folder.parent / "metadata").glob("run=*"))) == 5
 
 
+def test_a_run_that_is_late_before_it_writes_writes_once(spark, workspace, monkeypatch):
+    from foliozone.sources.zones import Zone
+
+    zone, cells = workspace.landing, periods.plan_cells(spark, ADAPTER, JAN, FEB)
+    first, late = capture(spark, decision("One.")), capture(spark, decision("Two."))
+    before = zone.snapshot()
+    settled = ingest.settle(late.items, cells, ADAPTER, late.payloads)
+    outcomes = ingest.checked(settled, before.current())
+    ingest.ingest(zone, first, cells, ADAPTER, JAN, FEB, RUN_TS)
+    appended, original = [], Zone.append
+    monkeypatch.setattr(Zone, "append", lambda self, *args, **kwargs: (appended.append(args[0].names), original(self, *args, **kwargs))[1])
+    decided = ingest.store(zone, before, late, settled, outcomes, cells, ADAPTER, RUN_TS)
+    assert [len(names) for names in appended] == [1] and zone.snapshot().runs == (1, 2)
+    assert {r["action"] for r in decided.collect()} >= {"written"}
+    # none of its keys: what was decided holds
+    assert not ingest.meets(zone.snapshot(), before, outcomes.withColumn("identifier", F.concat("identifier", F.lit("?"))))
+
+
 def test_vacuum_removes_what_a_compaction_replaced(spark, workspace, tmp_path):
     for text in ("One.", "Two."):
         runs.ingest_date_range(workspace, ADAPTER, capture(spark, decision(text)), JAN, FEB, RUN_TS)
