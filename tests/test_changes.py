@@ -109,6 +109,12 @@ def test_last_write_to_a_key_wins(spark):
     assert sorted((r["cell_seq"], r["item_seq"]) for r in kept) == [(0, 9), (1, 0)]
 
 
+def test_keys_seen_twice_are_kept_with_their_nulls(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c"), (2, None), (2, None), (None, None), (3, "a")]
+    found = changes.seen_twice(spark.createDataFrame(rows, "k INT, v STRING"), ["k", "v"]).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(1, "a"), (1, "a"), (None, "c"), (None, "c"), (2, None), (2, None)], key=str)
+
+
 def test_matching_is_exact_whichever_set_travels(spark, monkeypatch):
     wide = spark.range(100).selectExpr("id", "repeat('x', 10) payload")
     for bound in (1_000_000, 0):
