@@ -6,15 +6,20 @@ Nothing here filters rows away: every table is read whole.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from datetime import date, datetime, timedelta
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliozone.functions import hashing, keys
 from foliozone.plans.runs import Workspace
-from foliozone.session import shared_folder
+from foliozone.session import make_folder, shared_folder, small_batches, stage
 from foliozone.sources.adapter import Body, SiteProfile, SourceAdapter
+from foliozone.sources.payloads import write_file, write_folder
 
 SITE = "https://example.test"
 RUN_TS = datetime(2025, 1, 1)
@@ -140,6 +145,44 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_cell(page_records(spark, sf_dir), pages_site(sf_dir), YEAR[0])
 
 
+#: Files of pages in one folder.
+FOLDER_FILES = 4096
+
+
+def page_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Write every page to a file of its own, a line a row, as a fetcher would; ``page_id, path`` of each.
+
+    Spark's writers would make and commit a folder for every page. Only pages of several rows are
+    shuffled, to be written by one task each.
+    """
+    folder = make_folder(spark, folder)
+    small_batches(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    several = stage(pages.groupBy("page_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("page_id").alias("several")), "pages_of_several_rows")
+    same = F.col("page_id").eqNullSafe(F.col("several"))
+    gathered = pages.join(several, same, "left_semi").repartition("page_id").sortWithinPartitions("page_id")
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((key, html or "") for batch in batches for key, html in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        done = []
+        for n, (key, lines) in enumerate(groupby(rows, key=lambda row: row[0])):
+            if n % FOLDER_FILES == 0:
+                yield _named(done)
+                done, inside = [], f"{folder}/{TaskContext.get().partitionId()}-{n // FOLDER_FILES}"
+                write_folder(inside)
+            path = f"{inside}/page_id={key}.html"
+            write_file(path, (f"{html}\n".encode() for _, html in lines))
+            done.append((key, path))
+        yield _named(done)
+
+    named = [rows.mapInArrow(written, "page_id BIGINT, path STRING") for rows in (pages.join(several, same, "left_anti"), gathered)]
+    return stage(named[0].unionByName(named[1]), "page_files")
+
+
+def _named(files: list[tuple[int | None, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in files], pa.int64()), pa.array([f[1] for f in files], pa.string())], names=["page_id", "path"])
+
+
 def re_served(items: DataFrame, which: Column | None = None) -> DataFrame:
     """The same pages served again, with only the volatile marker moved (on some of them)."""
     moved = F.encode(F.regexp_replace(F.decode("payload", "UTF-8"), "<!-- ad ", "<!-- ad 9"), "UTF-8")

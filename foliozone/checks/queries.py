@@ -429,9 +429,8 @@ def payload_attach(spark, sf_dir):
     import uuid
 
     root = f"{shared_folder(spark)}/handoff/{uuid.uuid4().hex}"
-    table(spark, sf_dir, "pages").select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(f"{root}/documents")
+    held = inputs.page_files(spark, sf_dir, f"{root}/documents").withColumnsRenamed({"page_id": "item_seq", "path": "local_path"})
     files = handoff.read_payloads(spark, f"{root}/documents")
-    held = files.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("bigint").alias("item_seq"), F.col("path").alias("local_path"))
     key = F.col("item_seq") % 10
     items = inputs.page_items(spark, sf_dir).drop("payload", "error_code", "error_reason").join(held, "item_seq", "left")
     items = items.withColumns(

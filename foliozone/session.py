@@ -138,6 +138,19 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> str:
+    """A folder that is there from now on, by its full name."""
+    files, place = _store(spark, path)
+    files.mkdirs(place)
+    return files.getFileStatus(place).getPath().toString()
+
+
+def places(spark: SparkSession, path: str) -> list[tuple[str, int, bool]]:
+    """What a path or pattern names: full names, sizes, and whether they are folders."""
+    files, place = _store(spark, path)
+    return [(s.getPath().toString(), s.getLen(), s.isDirectory()) for s in files.globStatus(place) or ()]
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file that is not there yet; False if it is there, also if another was faster."""
     from py4j.protocol import Py4JJavaError

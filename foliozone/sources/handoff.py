@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliozone import schemas
 from foliozone.functions import keys, text
-from foliozone.sources.payloads import FilePayloads, Payloads
+from foliozone.sources.payloads import FilePayloads, Payloads, listed_files, opened_files
 
 # The three kinds of row.
 RECORD, SUMMARY, LISTING_FAILURE = "record", "summary", "listing_failure"
@@ -130,9 +130,8 @@ def split_lines(lines: DataFrame, payloads: DataFrame | None = None) -> Capture:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    )
+    """``path, content`` of every file below a folder: listed now, opened by the tasks that work on them."""
+    return opened_files(listed_files(spark, path))
 
 
 def to_lines(capture: Capture) -> DataFrame:

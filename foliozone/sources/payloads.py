@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING, Protocol
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliozone.functions import hashing, keys
-from foliozone.session import stage
+from foliozone.session import places, stage
 
 if TYPE_CHECKING:
     from foliozone.sources.adapter import SourceAdapter
@@ -32,6 +33,8 @@ GROUP_ROWS = 100_000
 BATCH_BYTES = 32 << 20
 #: Narrow rows are broadcast up to so many bytes.
 BROADCAST_BYTES = 128 << 20
+#: Tasks that list folders at least, if there are so many, and folders that one task lists at most.
+LISTING_TASKS, LISTED_FOLDERS = 32, 256
 
 
 class Payloads(Protocol):
@@ -86,7 +89,7 @@ def deal_by_bytes(rows: DataFrame, folders: list[str], size: Column, task_bytes:
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     """Spark's names of S3 stores are one scheme here; a relative path is one of the local disk."""
-    path = re.sub(r"^s3[an]://", "s3://", path)
+    path = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:(//)?", "", path))
     return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 
@@ -101,6 +104,22 @@ def _bytes(path: str) -> bytes:
         return stream.read()
 
 
+def write_folder(path: str) -> None:
+    files, inside = _place(path)
+    files.create_dir(inside)
+
+
+def write_file(path: str, parts: Iterable[bytes]) -> None:
+    """Write a file into a folder that is there, under a hidden name until it is whole."""
+    files, inside = _place(path)
+    folder, name = inside.rsplit("/", 1)
+    made = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with files.open_output_stream(made, compression=None) as stream:
+        for part in parts:
+            stream.write(part)
+    files.move(made, inside)
+
+
 def _empty_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths = [p for p in batch.column(0).to_pylist() if _size(p) == 0]
@@ -120,6 +139,55 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size, first = [], 0, i + 1
 
 
+def _shown(name: str) -> bool:
+    """Whether Spark's file sources show a file or folder of this name."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return True
+    return not (name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name))
+
+
+_LISTED = "path STRING, bytes BIGINT, is_folder BOOLEAN"
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies in each of the folders."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            files, inside = _place(folder)
+            held = [i for i in files.get_file_info(fs.FileSelector(inside)) if _shown(i.base_name) and i.type in (fs.FileType.File, fs.FileType.Directory)]
+            paths = pa.array([f"{folder.rstrip('/')}/{i.base_name}" for i in held], pa.string())
+            sizes = pa.array([i.size or 0 for i in held], pa.int64())
+            folders = pa.array([i.type == fs.FileType.Directory for i in held], pa.bool_())
+            yield pa.RecordBatch.from_arrays([paths, sizes, folders], names=["path", "bytes", "is_folder"])
+
+
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, bytes`` of every file below a folder, level by level, each folder by one of many tasks.
+
+    The driver never holds the list. Hidden files and files of no bytes are left out, as file sources do.
+    """
+    named = places(spark, path)
+    if not named:
+        spark.read.format("binaryFile").load(path)  # raises Spark's own error
+    found = level = stage(spark.createDataFrame(named, _LISTED), "listed_files")
+    while count := level.filter("is_folder").count():
+        folders = level.filter("is_folder").select("path").repartition(min(count, LISTING_TASKS + count // LISTED_FOLDERS))
+        level = stage(folders.mapInArrow(_contents, _LISTED), "listed_files")
+        found = found.unionByName(level)
+    return found.filter("NOT is_folder AND bytes > 0").select("path", "bytes")
+
+
+def opened_files(files: DataFrame) -> DataFrame:
+    """``path, content`` of listed files, as the ``binaryFile`` source gives it, dealt to tasks by bytes.
+
+    That source would give every 32 small files a task of their own.
+    """
+    named = files.select(keys.path_only(F.col("path")).alias("payload_ref"), "path", "bytes")
+    dealt = deal_by_bytes(named, [], F.col("bytes"))
+    opened = dealt.mapInArrow(_opened, "payload_ref STRING, path STRING, bytes BIGINT, payload BINARY")
+    return opened.select("path", F.col("payload").alias("content"))
+
+
 @dataclass(frozen=True)
 class FilePayloads:
     """One file a payload, named by its path; ``files`` is ``(path, content)`` as the ``binaryFile`` source gives it."""

@@ -1,10 +1,11 @@
 import hashlib
 import json
 
+import pytest
 from fixtures import ADAPTER
 from pyspark.sql import functions as F
 
-from foliozone.sources import handoff
+from foliozone.sources import handoff, payloads
 
 RECORD = {
     "row_type": "record", "identifier": "CASE-0001", "body_code": "first", "body_name": "First Tribunal",
@@ -82,6 +83,48 @@ def test_payloads_are_attached_by_path(spark, tmp_path):
     assert {r["local_path"] for r in handoff.to_lines(capture).collect()} == {None, str(files / "a b.html"), str(files / "empty.html"), str(files / "x.html")}
 
 
+def test_many_small_files_are_opened_by_few_tasks(spark, tmp_path):
+    for i in range(200):
+        folder = tmp_path / "documents" / f"f{i % 3}" / f"deep{i % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"a {i}%20#.html").write_bytes(b"x" * i)  # the first is empty
+    for hidden in (".hidden", "_hidden", "part._COPYING_"):
+        (tmp_path / "documents" / hidden).write_bytes(b"x")
+    (tmp_path / "documents" / "_a=b").mkdir()
+    (tmp_path / "documents" / "_a=b" / "one.html").write_bytes(b"\xff")
+    for place in ("documents", "documents/f*", "documents/_a=b/one.html"):
+        path = str(tmp_path / place)
+        got = handoff.read_payloads(spark, path)
+        usual = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+        assert sorted(got.collect()) == sorted(usual.collect()) and got.schema == usual.schema
+    everything = handoff.read_payloads(spark, str(tmp_path / "documents"))
+    assert everything.count() == 200 and everything.select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_no_folder_of_payloads_is_an_error_and_an_empty_one_is_not(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException) as error:
+        handoff.read_payloads(spark, str(tmp_path / "none"))
+    assert error.value.getCondition() == "PATH_NOT_FOUND"
+    (tmp_path / "empty").mkdir()
+    assert handoff.read_payloads(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_folders_are_listed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(payloads, "LISTING_TASKS", 4)
+    for i in range(40):
+        (tmp_path / "d" / f"page_id={i}").mkdir(parents=True)
+        (tmp_path / "d" / f"page_id={i}" / "f").write_bytes(bytes(i + 1))
+    staged = []
+    original = payloads.stage
+    monkeypatch.setattr(payloads, "stage", lambda df, name: staged.append(df.select(F.spark_partition_id()).distinct().count()) or original(df, name))
+    files = payloads.listed_files(spark, str(tmp_path / "d"))
+    assert sorted(r["bytes"] for r in files.collect()) == list(range(1, 41))
+    # the folder named, the folders in it, their files
+    assert staged == [1, 1, 4]
+
+
 def test_round_trip_through_lines(spark, tmp_path):
     write(tmp_path / "h" / "cell_seq=7" / "items.jsonl", {"row_type": "summary", "reported_total": 1}, RECORD, FAILURE)
     first = handoff.split_lines(handoff.read_lines(spark, str(tmp_path / "h")))

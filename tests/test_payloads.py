@@ -1,14 +1,19 @@
 """Payloads that lie apart: dealt by bytes, opened where they are written, in no exchange."""
 
+import hashlib
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from fixtures import ADAPTER, FEB, JAN, NO_ROWS, decision, entry, listing
 from pyspark.sql import functions as F
 
 from foliozone import schemas
+from foliozone.checks import inputs
+from foliozone.checks.queries import QUERIES
 from foliozone.plans import ingest, periods, runs
+from foliozone.session import shared_folder
 from foliozone.sources import handoff, payloads, zones
 from foliozone.sources import handoff as lines
 
@@ -151,3 +156,30 @@ def test_listing_rows_share_one_payload(spark, workspace, tmp_path, monkeypatch)
     objects = workspace.landing.snapshot().objects().collect()
     # one object a key: five listing rows of one cell wrote it once
     assert {(r["body_code"], bytes(r["payload"])) for r in objects} == {("first", decision("x")), ("second", decision("x")), ("third", decision("y"))} and len(objects) == 3
+
+
+def test_every_page_is_a_file_of_its_own_in_few_folders(spark, tmp_path):
+    """Rows of one page are lines of its file, a null is an empty line, and a page without a number has a file too."""
+    rows = [(i, f"https://h/en/p{i}.html", f"<p>{i}\u00e9</p>") for i in range(300)]
+    rows += [(7, "https://h/en/p7.html", "<p>7\u00e9</p>"), (300, "u", None), (301, "u", ""), (None, "u", "none")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    written = inputs.page_files(spark, str(tmp_path), str(tmp_path / "documents")).collect()
+    held = {r["page_id"]: Path(r["path"].removeprefix("file:")) for r in written}
+    assert len(written) == len(held) == 303 and set(held) == {None, *range(302)}
+    want = {i: f"<p>{i}\u00e9</p>\n" for i in range(300)} | {7: "<p>7\u00e9</p>\n" * 2, 300: "\n", 301: "\n", None: "none\n"}
+    assert {k: path.read_text(encoding="utf-8") for k, path in held.items()} == want
+    files = [p for p in (tmp_path / "documents").rglob("*") if p.is_file()]
+    assert sorted(files) == sorted(held.values()) and len({p.parent for p in files}) <= 4
+
+
+def test_pages_attached_by_path(spark, tmp_path):
+    """Every page has its row: stored whole, without a path, or with a path to nothing."""
+    rows = [(i, f"https://h/{'de en es fr'.split()[i % 4]}/p{i}.html", f"<p>{i}</p>" * (i % 50)) for i in range(500)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["payload_attach"](spark, str(tmp_path)).collect())
+    data = {i: f"{html}\n".encode() for i, _, html in rows}
+    sha = lambda i: "sha256:" + hashlib.sha256(data[i]).hexdigest()
+    assert got == sorted((f"PAGE {i}", sha(i), len(data[i])) if i % 10 < 8 else (f"PAGE {i}", None, None) for i in range(500))
+    # the files lie in few folders, and so do not cost a folder and a commit each
+    (folder,) = {p.parents[1] for p in Path(shared_folder(spark)).glob("handoff/*/documents/*/page_id=499.html")}
+    assert sum(p.is_dir() for p in folder.iterdir()) <= 8
