@@ -11,6 +11,8 @@ from foliozone.session import stage
 KEY = ["body_code", "identifier"]
 # An id set is broadcast up to so many bytes of its own columns.
 BROADCAST_BYTES = 128 << 20
+# So many hashes of keys are broadcast, 8 bytes each.
+FEW_HASHES = 1 << 20
 WRITTEN, UNCHANGED, FAILED = "written", "unchanged", "failed"
 
 
@@ -62,12 +64,14 @@ def detect_changes(items: DataFrame, stored: DataFrame) -> DataFrame:
 def seen_twice(rows: DataFrame, on: list[str]) -> DataFrame:
     """The rows whose key is there more than once, and a few whose key shares its hash with another.
 
-    Counting 64-bit hashes sorts nothing and moves no key, and most keys are there once. ``rows``
-    is read twice: pass narrow rows of a staged table. Nulls are equal here.
+    Counting 64-bit hashes sorts nothing and moves no key, and most keys are there once. Up to
+    ``FEW_HASHES`` of those that are there more often are broadcast. ``rows`` is read three times:
+    pass narrow rows of a staged table. Nulls are equal here.
     """
     hashed = rows.withColumn("_key_hash", F.xxhash64(*on))
-    often = stage(hashed.groupBy("_key_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_key_hash"), "repeated_hashes")
-    return hashed.join(often, "_key_hash", "left_semi").drop("_key_hash")
+    often = hashed.groupBy("_key_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_key_hash")
+    few = often.count() <= FEW_HASHES
+    return hashed.join(F.broadcast(often) if few else often, "_key_hash", "left_semi").drop("_key_hash")
 
 
 def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
@@ -75,7 +79,7 @@ def keep_last_object(decided: DataFrame, order: list[str]) -> DataFrame:
 
     Written keys are counted first, by their hashes, and only the collided ones are staged and
     joined back, so a file name shared by a large share of a cell costs one row per key, not one
-    group in one task. ``decided`` is read three times, so pass a staged table.
+    group in one task. ``decided`` is read four times, so pass a staged table.
     """
     place = F.struct(*order)
     collided = stage(

@@ -42,7 +42,7 @@ def mark_repeats(items: DataFrame) -> DataFrame:
     more are staged and go back to the rows. Those are few on real listings, so the planner
     broadcasts them by file size and the rows do not move. If there are many, or one reference
     holds a large share of all rows, their side is still one row per key and the rows' side can
-    be split. ``items`` is read three times: pass narrow rows.
+    be split. ``items`` is read four times: pass narrow rows.
     """
     order = F.struct(*(c for c in ("item_seq", "document_url", "row_id") if c in items.columns))
     owners = items.filter(F.coalesce(F.col("error_code") != UNPLACED, F.lit(True)))

@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Plans name all their filters, however long the numbers of columns have become.
+    "spark.sql.maxMetadataStringLength": "1000",
 }
 
 #: Rows that Python gets and hands back at once, and bytes of their payloads that it holds at once.
