@@ -13,7 +13,6 @@ from foliozone import schemas
 from foliozone.checks import inputs
 from foliozone.checks.queries import QUERIES
 from foliozone.plans import ingest, periods, runs
-from foliozone.session import shared_folder
 from foliozone.sources import handoff, payloads, zones
 from foliozone.sources import handoff as lines
 
@@ -172,14 +171,15 @@ def test_every_page_is_a_file_of_its_own_in_few_folders(spark, tmp_path):
     assert sorted(files) == sorted(held.values()) and len({p.parent for p in files}) <= 4
 
 
-def test_pages_attached_by_path(spark, tmp_path):
+def test_pages_attached_by_path(spark, tmp_path, monkeypatch):
     """Every page has its row: stored whole, without a path, or with a path to nothing."""
     rows = [(i, f"https://h/{'de en es fr'.split()[i % 4]}/p{i}.html", f"<p>{i}</p>" * (i % 50)) for i in range(500)]
     spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr("foliozone.checks.queries.shared_folder", lambda spark: str(tmp_path))
     got = sorted(tuple(r) for r in QUERIES["payload_attach"](spark, str(tmp_path)).collect())
     data = {i: f"{html}\n".encode() for i, _, html in rows}
     sha = lambda i: "sha256:" + hashlib.sha256(data[i]).hexdigest()
     assert got == sorted((f"PAGE {i}", sha(i), len(data[i])) if i % 10 < 8 else (f"PAGE {i}", None, None) for i in range(500))
     # the files lie in few folders, and so do not cost a folder and a commit each
-    (folder,) = {p.parents[1] for p in Path(shared_folder(spark)).glob("handoff/*/documents/*/page_id=499.html")}
+    (folder,) = tmp_path.glob("handoff/*/documents")
     assert sum(p.is_dir() for p in folder.iterdir()) <= 8
